@@ -638,15 +638,17 @@ def runs_reeval(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -------------------------------------------------------------------------
 
 
+def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream; the pattern matches one name, whether it is a file or a folder."""
+    return jobs.file_stream(spark, f"{sf_dir}/{name}.parque[t]", st.table(spark, sf_dir, name).schema)
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    return jobs.file_stream(spark, path, spark.read.parquet(path).schema)
+    return _table_stream(spark, sf_dir, "events")
 
 
 def _post_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/documents.parquet"
-    stream = jobs.file_stream(spark, path, spark.read.parquet(path).schema)
-    return stream.select(
+    return _table_stream(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("full_text"),
         "lang",

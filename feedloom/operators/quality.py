@@ -44,11 +44,11 @@ class CheckFailed(ValueError):
     pass
 
 
-def _result(check: str, column: str | None, unexpected: Column) -> Column:
+def _result(check: str, column: str, unexpected: Column) -> Column:
     bad = unexpected.cast("bigint")
     return F.struct(
         F.lit(check).alias("check"),
-        F.lit(column).cast("string").alias("column"),
+        F.lit(column).alias("column"),
         (bad == 0).alias("success"),
         bad.alias("unexpected"),
     )
@@ -80,7 +80,7 @@ def run_checks(df: DataFrame, *checks: Check) -> DataFrame:
         match check:
             case RowCount(low, high):
                 outside = F.when(F.col("_rows").between(low, high), 0).otherwise(1)
-                rows.append(_result("row_count_between", None, outside))
+                rows.append(_result("row_count_between", "*", outside))
             case Between(column):
                 rows.append(_result("values_between", column, F.col(f"_out{ranges.index(check)}")))
             case Unique(column):
