@@ -608,7 +608,7 @@ def lr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, test = _learning_text(spark, sf_dir)
     train, test = _features(train, [test], 1 << 18)
     counts_ = training.ClassCounts.of(train)
-    model = training.fit_weighted(train, counts_, counts_.n1 / counts_.n0, 1.0)
+    model = training.fit_weighted(training.compact(train, counts_.rows), counts_, counts_.n1 / counts_.n0, 1.0)
     return metrics.class_report(metrics.confusion(model.transform(test)))
 
 

@@ -8,8 +8,8 @@ abbreviation" instead of a trained model.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,61 +21,78 @@ NOISE = r"@[^ ]+|http[^ ]+|www[^\n][^ ]+|#[^ ]+|[0-9]"
 NOISE_AND_NEGATION = NOISE + "|n't"
 LEADING_NON_LETTERS = r"^[^a-zA-Z]*"
 
-# Treebank conventions, applied in this order. HELD stands for the period
-# of an abbreviation until the end of the chain.
+# Whitespace other than the plain space; it becomes one before anything else.
+ODD_SPACE = SPACE.replace(r"\x{20}", r"\x{1f}")
+
+# Treebank conventions. Rules run in order on text padded with one space at
+# both ends. HELD stands for an abbreviation's period until the end of the chain.
 HELD = "﷐"
 ABBREVIATIONS = (
-    "mr|mrs|ms|dr|prof|rev|hon|gen|col|capt|lt|sgt|sen|rep|gov|pres|st|jr|sr|"
-    "jan|feb|mar|apr|jun|jul|aug|sep|sept|oct|nov|dec|"
-    "inc|corp|co|ltd|bros|vs|etc|al|ed|vol|approx|dept|univ|ave|blvd"
-)
+    "mr mrs ms dr prof rev hon gen col capt lt sgt sen rep gov pres st jr sr "
+    "jan feb mar apr jun jul aug sep sept oct nov dec "
+    "inc corp co ltd bros vs etc al ed vol approx dept univ ave blvd"
+).split()
+EITHER_CASE = "|".join(f"[{w[0].upper()}{w[0]}]{w[1:]}" for w in ABBREVIATIONS)
 CLOSERS = "[\\])}>\"'»”’]*"
-TOKEN_RULES: tuple[tuple[str, str], ...] = (
+RULES: tuple[tuple[str, str], ...] = (
+    (rf"[{ODD_SPACE}]", r" "),
     # abbreviations keep their period, except at the very end
-    (rf"(?i)(^|[^\p{{L}}\p{{N}}_])({ABBREVIATIONS})\.", rf"$1$2{HELD}"),
-    (r"(^|[^\p{L}\p{N}_.])((?:\p{L}\.){1,6}\p{L})\.", rf"$1$2{HELD}"),
-    (rf"{HELD}({CLOSERS})[{SPACE}]*\z", r".$1 "),
+    (rf"([^\p{{L}}\p{{N}}_.])({EITHER_CASE}|(?:\p{{L}}\.){{1,6}}\p{{L}})\.", rf"$1$2{HELD}"),
+    (rf"{HELD}({CLOSERS}) *\z", r".$1 "),
     # opening quotes
-    (r"([«“‘„]|`+)", r" $1 "),
-    (rf"(^|[{SPACE}(\[{{<])(?:\"|'')", r"$1 `` "),
-    (r"(?i)'([abce-lo-ru-z0-9_])([^\p{L}\p{N}_]|\z)", r"' $1$2"),
+    (r"[«“‘„`]`*", r" $0 "),
+    (r"([ (\[{<])(?:\"|'')", r"$1 `` "),
     # punctuation
-    (rf"([^.])\.({CLOSERS})([{SPACE}]|\z)", r"$1 . $2 $3"),
     (r"([:,])([^\p{Nd}])", r" $1 $2"),
-    (rf"([:,])[{SPACE}]*\z", r" $1 "),
     (r"\.{2,}", r" $0 "),
     (r"[;@#$%&]", r" $0 "),
-    (r"[?!]", r" $0 "),
-    (r"([^'])' ", r"$1 ' "),
-    (r"[*]", r" $0 "),
-    (r"[\]\[(){}<>]", r" $0 "),
+    (rf"([^.])\.({CLOSERS}) ", r"$1 . $2 "),
+    (r"[?!*\[\](){}<>»”’]", r" $0 "),
     (r"--", r" -- "),
-    # closing quotes and clitics
-    (r"([»”’])", r" $1 "),
+)
+# Only texts with an apostrophe need these.
+APOSTROPHE_RULES: tuple[tuple[str, str], ...] = (
+    (r"(?i)'([abce-lo-ru-z0-9_])([^\p{L}\p{N}_])", r"' $1$2"),
+    (r"([^'])' ", r"$1 ' "),
+    (r"([^' ])('[sS]|'[mM]|'[dD]) ", r"$1 $2 "),
+    (r"([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", r"$1 $2 "),
+    (r"(?i) (d)('ye) ", r" $1 $2 "),
+    (r"(?i) (more)('n) ", r" $1 $2 "),
+    (r"(?i) ('t)(is|was) ", r" $1 $2 "),
+)
+CLOSING_RULES: tuple[tuple[str, str], ...] = (
     (r"''", r" '' "),
     (r"\"", r" '' "),
-    (rf"[{SPACE}]+", r" "),
-    (r"([^' ])('[sS]|'[mM]|'[dD]|') ", r"$1 $2 "),
-    (r"([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", r"$1 $2 "),
-    # fused words
     (r"(?i) (can)(not) ", r" $1 $2 "),
-    (r"(?i) (d)('ye) ", r" $1 $2 "),
     (r"(?i) (gim|lem)(me) ", r" $1 $2 "),
     (r"(?i) (gon|wan)(na) ", r" $1 $2 "),
     (r"(?i) (got)(ta) ", r" $1 $2 "),
-    (r"(?i) (more)('n) ", r" $1 $2 "),
-    (r"(?i) ('t)(is|was) ", r" $1 $2 "),
     (HELD, r"."),
 )
+TOKEN_RULES = (*RULES, *APOSTROPHE_RULES, *CLOSING_RULES)
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times in ``body``.
+
+    A column named inside a lambda may be replaced by its whole expression and computed
+    again per element; a lambda's own variable is not.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _apply(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    for pattern, replacement in rules:
+        text = F.regexp_replace(text, pattern, replacement)
+    return text
+
+
 def treebank_tokens(text: Column) -> Column:
     """Treebank-style tokens of a whole text."""
-    text = F.concat(F.lit(" "), text, F.lit(" "))
-    for pattern, replacement in TOKEN_RULES:
-        text = F.regexp_replace(text, pattern, replacement)
-    return F.filter(F.split(text, " "), lambda t: t != "")
+    opened = _apply(F.concat(F.lit(" "), text, F.lit(" ")), RULES)
+    split = bind(opened, lambda t: F.when(F.contains(t, F.lit("'")), _apply(t, APOSTROPHE_RULES)).otherwise(t))
+    return F.filter(F.split(_apply(split, CLOSING_RULES), " "), lambda t: t != "")
 
 
 def normalise(text: Column, negation: str = "drop") -> Column:
@@ -110,15 +127,6 @@ def without_stop_words(tokens: Column, stop_words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(*stop_words))
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times in ``body``.
-
-    A column named inside a lambda may be replaced by its whole expression and computed
-    again per element; a lambda's own variable is not.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def ngrams(tokens: Column, longest: int = 3) -> Column:
     """All 1..longest-grams of a token array, shortest first, joined by spaces.
 
@@ -136,19 +144,25 @@ def ngrams(tokens: Column, longest: int = 3) -> Column:
 
 
 def contains_any(text: Column, words: Sequence[str], case_sensitive: bool = False) -> Column:
-    """True when a text holds any word as a literal substring; one pass, one fold.
+    """True when a text holds any word as a literal substring; the text is folded once.
 
     NULL text never matches.
     """
     if not words:
         return F.lit(False)
-    folded = text if case_sensitive else F.lower(text)
-    quoted = "|".join(re.escape(w if case_sensitive else w.lower()) for w in words)
-    return F.coalesce(folded.rlike(f"(?:{quoted})"), F.lit(False))
+
+    def any_in(folded: Column) -> Column:
+        return reduce(Column.__or__, [F.contains(folded, F.lit(w if case_sensitive else w.lower())) for w in words])
+
+    return F.coalesce(any_in(text) if case_sensitive else bind(F.lower(text), any_in), F.lit(False))
 
 
 def contained_words(text: Column, words: Sequence[str], case_sensitive: bool = False) -> Column:
     """The words a text holds, as an array."""
-    folded = text if case_sensitive else F.lower(text)
-    listed = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    return F.filter(listed, lambda w: F.contains(folded, w if case_sensitive else F.lower(w)))
+    if not words:
+        return F.array().cast("array<string>")
+
+    def found_in(folded: Column) -> Column:
+        return F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(folded, w if case_sensitive else F.lower(w)))
+
+    return bind(text if case_sensitive else F.lower(text), found_in)

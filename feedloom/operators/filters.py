@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import contained_words, contains_any
 from feedloom.functions.urls import news_flag
-from feedloom.operators.joins import BROADCAST_ROWS, fits_broadcast, spread_join
+from feedloom.operators.joins import spread_join
 
 INLINE_WORDS = 200
+BROADCAST_WORDS = 100_000
 GRAM = 3
 
 
@@ -58,13 +59,16 @@ def _matches_by_gram(posts: DataFrame, column: str, words: DataFrame, case_sensi
     listed = words.select("word", fold(F.col("word")).alias("needle")).withColumn("gram", F.substring("needle", 1, GRAM))
     texts = posts.select(F.col(key), fold(F.col(column)).alias("_text")).where(F.col("_text").isNotNull())
 
-    def grams_of(length: int):
-        found = F.regexp_extract_all(F.col("_text"), F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
-        return F.array_distinct(found)
+    def grams_of(length: int) -> Column:
+        return F.regexp_extract_all(F.col("_text"), F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
 
-    every = F.array_distinct(F.concat(F.array(F.lit("")), *[grams_of(n) for n in range(1, GRAM + 1)]))
+    size = listed.agg(F.count(F.lit(1)).alias("words"), F.min(F.length("needle")).alias("shortest")).first()
+    if not size["words"]:
+        return texts.select(key, F.lit("").alias("word")).where(F.lit(False))
+    lengths = range(min(GRAM, size["shortest"]), GRAM + 1)
+    every = F.array_distinct(F.concat(*[F.array(F.lit("")) if n == 0 else grams_of(n) for n in lengths]))
     located = texts.select(key, F.explode_outer(every).alias("_gram"))
-    if fits_broadcast(listed, BROADCAST_ROWS // 10):
+    if size["words"] <= BROADCAST_WORDS:
         met = located.join(F.broadcast(listed), F.col("_gram") == F.col("gram"))
     else:
         met = spread_join(located, listed, "_gram", "gram", "inner", [key])
