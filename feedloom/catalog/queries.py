@@ -599,7 +599,7 @@ def _learning_text(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def _features(train: DataFrame, others: list[DataFrame], size: int) -> list[DataFrame]:
-    prepared = Pipeline(stages=training.feature_stages(stop_words=st.STOP_WORDS, vectoriser="hashed", size=size)).fit(train)
+    prepared = training.fit_features(train, stop_words=st.STOP_WORDS, vectoriser="hashed", size=size)
     return [prepared.transform(d).select("id", "label", "features").persist(StorageLevel.MEMORY_AND_DISK) for d in [train, *others]]
 
 

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from feedloom.sources.tables import empty, exists
 
-POINTER = "_CURRENT"
+POINTER = "CURRENT"
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -22,7 +22,7 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def read_batches(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
     """All batches with their ``batch_id``; empty before the first."""
-    with_batch = StructType(columns.fields).add("batch_id", "long")
+    with_batch = StructType([*columns.fields, StructField("batch_id", LongType())])
     if not exists(spark, path):
         return empty(spark, with_batch)
     return spark.read.schema(with_batch).parquet(path)
