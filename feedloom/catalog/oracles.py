@@ -6,7 +6,7 @@ apply as a chain of replacements.
 
 from __future__ import annotations
 
-from feedloom.functions.text import NOISE, NOISE_AND_NEGATION, TOKEN_RULES, WORD
+from feedloom.functions.text import KEEPS_PERIOD, NOISE, NOISE_AND_NEGATION, TOKEN_RULES, WORD
 from feedloom.functions.urls import AUTHORITY, OWN_HOSTS, SHORT_HOSTS, SPACE, URL
 from feedloom.sources import standins as st
 
@@ -115,7 +115,9 @@ def tokens(text: str) -> str:
         for group in "0123":
             replacement = replacement.replace(f"${group}", f"\\{group}")
         chain = f"regexp_replace({chain}, {quote(pattern)}, {quote(replacement)}, 'g')"
-    return f"list_filter(string_split({chain}, ' '), lambda t: t <> '')"
+    parts = f"list_filter(string_split({chain}, ' '), lambda t: t <> '')"
+    ends = f"t[-1] = '.' AND NOT regexp_matches(t, {quote(KEEPS_PERIOD)})"
+    return f"flatten(list_transform({parts}, lambda t: CASE WHEN {ends} THEN [t[:-2], '.'] ELSE [t] END))"
 
 
 def cleaned(text: str, noise: str = NOISE_AND_NEGATION, lead: bool = True) -> str:

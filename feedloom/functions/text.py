@@ -2,8 +2,8 @@
 
 Every pattern is valid in Java and in RE2 with the same meaning, so the whole chain can
 be checked against another engine. The tokeniser follows the published Penn Treebank
-conventions; sentence ends are "period, then a space or the end, not after a known
-abbreviation" instead of a trained model.
+conventions; a sentence ends at a token's final period, unless the token is a known
+abbreviation, instead of where a trained model says.
 """
 
 from __future__ import annotations
@@ -21,37 +21,33 @@ NOISE = r"@[^ ]+|http[^ ]+|www[^\n][^ ]+|#[^ ]+|[0-9]"
 NOISE_AND_NEGATION = NOISE + "|n't"
 LEADING_NON_LETTERS = r"^[^a-zA-Z]*"
 
-# Whitespace other than the plain space; it becomes one before anything else.
-ODD_SPACE = SPACE.replace(r"\x{20}", r"\x{1f}")
-
 # Treebank conventions. Rules run in order on text padded with one space at
-# both ends. HELD stands for an abbreviation's period until the end of the chain.
-HELD = "﷐"
+# both ends; the period of a token is judged after the split.
 ABBREVIATIONS = (
     "mr mrs ms dr prof rev hon gen col capt lt sgt sen rep gov pres st jr sr "
     "jan feb mar apr jun jul aug sep sept oct nov dec "
     "inc corp co ltd bros vs etc al ed vol approx dept univ ave blvd"
 ).split()
-EITHER_CASE = "|".join(f"[{w[0].upper()}{w[0]}]{w[1:]}" for w in ABBREVIATIONS)
+KEEPS_PERIOD = rf"^(?:\.+|(?:\p{{L}}\.)+|(?i:{'|'.join(ABBREVIATIONS)})\.)\z"
 CLOSERS = "[\\])}>\"'»”’]*"
-RULES: tuple[tuple[str, str], ...] = (
-    (rf"[{ODD_SPACE}]", r" "),
-    # abbreviations keep their period, except at the very end
-    (rf"([^\p{{L}}\p{{N}}_.])({EITHER_CASE}|(?:\p{{L}}\.){{1,6}}\p{{L}})\.", rf"$1$2{HELD}"),
-    (rf"{HELD}({CLOSERS}) *\z", r".$1 "),
+HIGH = r"[\x{1680}-\x{3000}]"
+HIGH_SPACE = r"[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+Rules = tuple[tuple[str, str], ...]
+HIGH_RULES: Rules = ((HIGH_SPACE, r" "),)
+RULES: Rules = (
+    (r"[\t-\r\x{1c}-\x{1f}\x{85}\x{a0}]", r" "),
+    # the last period of a text always stands alone
+    (rf"([^.])\.({CLOSERS}) *\z", r"$1 . $2 "),
     # opening quotes
-    (r"[«“‘„`]`*", r" $0 "),
+    (r"`+", r" $0 "),
     (r"([ (\[{<])(?:\"|'')", r"$1 `` "),
-    # punctuation
+    # punctuation, brackets and typographic quotes
     (r"([:,])([^\p{Nd}])", r" $1 $2"),
     (r"\.{2,}", r" $0 "),
-    (r"[;@#$%&]", r" $0 "),
-    (rf"([^.])\.({CLOSERS}) ", r"$1 . $2 "),
-    (r"[?!*\[\](){}<>»”’]", r" $0 "),
+    (r"[;@#$%&?!*\[\](){}<>«»“”‘’„]", r" $0 "),
     (r"--", r" -- "),
 )
-# Only texts with an apostrophe need these.
-APOSTROPHE_RULES: tuple[tuple[str, str], ...] = (
+APOSTROPHE_RULES: Rules = (
     (r"(?i)'([abce-lo-ru-z0-9_])([^\p{L}\p{N}_])", r"' $1$2"),
     (r"([^'])' ", r"$1 ' "),
     (r"([^' ])('[sS]|'[mM]|'[dD]) ", r"$1 $2 "),
@@ -60,16 +56,15 @@ APOSTROPHE_RULES: tuple[tuple[str, str], ...] = (
     (r"(?i) (more)('n) ", r" $1 $2 "),
     (r"(?i) ('t)(is|was) ", r" $1 $2 "),
 )
-CLOSING_RULES: tuple[tuple[str, str], ...] = (
+CLOSING_RULES: Rules = (
     (r"''", r" '' "),
     (r"\"", r" '' "),
     (r"(?i) (can)(not) ", r" $1 $2 "),
     (r"(?i) (gim|lem)(me) ", r" $1 $2 "),
     (r"(?i) (gon|wan)(na) ", r" $1 $2 "),
     (r"(?i) (got)(ta) ", r" $1 $2 "),
-    (HELD, r"."),
 )
-TOKEN_RULES = (*RULES, *APOSTROPHE_RULES, *CLOSING_RULES)
+TOKEN_RULES: Rules = (*HIGH_RULES, *RULES, *APOSTROPHE_RULES, *CLOSING_RULES)
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -82,17 +77,30 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _apply(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
+def _apply(text: Column, rules: Rules) -> Column:
     for pattern, replacement in rules:
         text = F.regexp_replace(text, pattern, replacement)
     return text
 
 
+def _apply_where(text: Column, needed: Callable[[Column], Column], rules: Rules) -> Column:
+    """Rules that change nothing on most texts run only where a cheap test says so."""
+    return bind(text, lambda t: F.when(needed(t), _apply(t, rules)).otherwise(t))
+
+
+def _parted(token: Column) -> Column:
+    """A token without its period, and the period, unless an abbreviation keeps it."""
+    ends = token.endswith(".") & ~token.rlike(KEEPS_PERIOD)
+    return F.when(ends, F.array(F.substring(token, F.lit(1), F.length(token) - 1), F.lit("."))).otherwise(F.array(token))
+
+
 def treebank_tokens(text: Column) -> Column:
     """Treebank-style tokens of a whole text."""
-    opened = _apply(F.concat(F.lit(" "), text, F.lit(" ")), RULES)
-    split = bind(opened, lambda t: F.when(F.contains(t, F.lit("'")), _apply(t, APOSTROPHE_RULES)).otherwise(t))
-    return F.filter(F.split(_apply(split, CLOSING_RULES), " "), lambda t: t != "")
+    text = F.concat(F.lit(" "), text, F.lit(" "))
+    text = _apply(_apply_where(text, lambda t: t.rlike(HIGH), HIGH_RULES), RULES)
+    text = _apply_where(text, lambda t: F.contains(t, F.lit("'")), APOSTROPHE_RULES)
+    tokens = F.filter(F.split(_apply(text, CLOSING_RULES), " "), lambda t: t != "")
+    return F.flatten(F.transform(tokens, _parted))
 
 
 def normalise(text: Column, negation: str = "drop") -> Column:

@@ -71,7 +71,7 @@ def _matches_by_gram(posts: DataFrame, column: str, words: DataFrame, case_sensi
     if size["words"] <= BROADCAST_WORDS:
         met = located.join(F.broadcast(listed), F.col("_gram") == F.col("gram"))
     else:
-        met = spread_join(located, listed, "_gram", "gram", "inner", [key])
+        met = spread_join(located, listed, {"_gram": "gram"}, "inner", [key])
     candidates = met.select(F.col(key).alias("_id"), "word", "needle")
     return (
         texts.join(candidates, F.col(key) == F.col("_id"))

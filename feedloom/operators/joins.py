@@ -8,6 +8,7 @@ per piece. Nothing is dropped, and no task receives a whole hot key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +24,13 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.count() <= limit
 
 
-def key_load(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key, as ``hot_key, load``."""
-    return df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("load"))
+def key_load(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows per key, as the key columns and ``load``."""
+    return df.where(_any_null(keys) == F.lit(False)).groupBy(*keys).agg(F.count(F.lit(1)).alias("load"))
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
 
 def hot_keys(load: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
@@ -36,14 +41,14 @@ def hot_keys(load: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame
     """
     total = load.agg(F.coalesce(F.sum("load"), F.lit(0))).scalar()
     threshold = F.greatest(F.lit(rows_per_piece).cast("double"), total / F.lit(HOT_KEYS))
-    return load.where(F.col("load") > threshold).select("hot_key", F.ceil(F.col("load") / threshold).alias("pieces"))
+    keys = [c for c in load.columns if c != "load"]
+    return load.where(F.col("load") > threshold).select(*keys, F.ceil(F.col("load") / threshold).alias("pieces"))
 
 
 def spread_join(
     left: DataFrame,
     right: DataFrame,
-    left_key: str,
-    right_key: str,
+    on: dict[str, str],
     how: str,
     spread_by: Sequence[str],
     load: DataFrame | None = None,
@@ -51,33 +56,30 @@ def spread_join(
 ) -> DataFrame:
     """Equi-join whose hot left keys are cut into pieces.
 
-    ``spread_by`` names left columns that differ between rows of one key. NULL left keys
-    match nothing and are spread as well. ``right_key`` must not be a left column name;
-    it is part of the result only for inner and left joins. ``load`` is the row count per
-    left key where the caller has it already.
+    ``on`` maps left to right key columns; the names must not overlap. ``spread_by``
+    names left columns that differ between rows of one key. NULL left keys match nothing
+    and are spread as well. Right columns are part of the result only for inner and left
+    joins. ``load`` is the row count per left key where the caller has it already.
     """
-    hot = F.broadcast(hot_keys(key_load(left, left_key) if load is None else load, rows_per_piece))
+    loads = key_load(left, *on) if load is None else load
+    hot = hot_keys(loads.withColumnsRenamed({k: f"_hot_{k}" for k in on}), rows_per_piece)
+    hot = F.broadcast(hot)
+
+    def with_pieces(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return df.join(hot, [F.col(k) == F.col(f"_hot_{of}") for k, of in zip(keys, on)], "left")
+
     slot = F.xxhash64(*spread_by)
-    cut_left = (
-        left.join(hot, left[left_key] == hot["hot_key"], "left")
-        .withColumn(
-            "_piece",
-            F.when(F.col(left_key).isNull(), F.pmod(slot, F.lit(65_536)))
-            .when(F.col("pieces").isNotNull(), F.pmod(slot, F.col("pieces")))
-            .otherwise(F.lit(0).cast("bigint")),
-        )
-        .drop("hot_key", "pieces")
-    )
-    cut_right = (
-        right.join(hot, right[right_key] == hot["hot_key"], "left")
-        .withColumn(
-            "_copy",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("pieces"), F.lit(1)) - 1)),
-        )
-        .drop("hot_key", "pieces")
+    piece = (
+        F.when(_any_null(list(on)), F.pmod(slot, F.lit(65_536)))
+        .when(F.col("pieces").isNotNull(), F.pmod(slot, F.col("pieces")))
+        .otherwise(F.lit(0).cast("bigint"))
     )
-    on = (cut_left[left_key] == cut_right[right_key]) & (cut_left["_piece"] == cut_right["_copy"])
-    return cut_left.join(cut_right, on, how).drop("_piece", "_copy")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
+    spare = [*hot.columns]
+    cut_left = with_pieces(left, list(on)).withColumn("_piece", piece).drop(*spare)
+    cut_right = with_pieces(right, list(on.values())).withColumn("_copy", copies).drop(*spare)
+    matched = [F.col(a) == F.col(b) for a, b in on.items()] + [F.col("_piece") == F.col("_copy")]
+    return cut_left.join(cut_right, matched, how).drop("_piece", "_copy")
 
 
 def _by_membership(df: DataFrame, key: str, members: DataFrame | Sequence, how: str, spread_by: Sequence[str]) -> DataFrame:
@@ -90,7 +92,7 @@ def _by_membership(df: DataFrame, key: str, members: DataFrame | Sequence, how:
     named = members.select(F.col(members.columns[0]).alias("_member")).where(F.col("_member").isNotNull())
     if fits_broadcast(named):
         return df.join(F.broadcast(named), F.col(key) == F.col("_member"), how)
-    return spread_join(df, named.distinct(), key, "_member", how, spread_by)
+    return spread_join(df, named.distinct(), {key: "_member"}, how, spread_by)
 
 
 def keep_members(df: DataFrame, key: str, members: DataFrame | Sequence, spread_by: Sequence[str] = ("id",)) -> DataFrame:

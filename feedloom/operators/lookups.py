@@ -53,8 +53,9 @@ def upsert_scores(current: DataFrame, fresh: DataFrame) -> DataFrame:
 def with_thread_text(posts: DataFrame) -> DataFrame:
     """Append the replied-to and the quoted post's text; both separators always appear.
 
-    Only posts that link somewhere take part in the lookup, as narrow rows, and a target
-    that many posts link to is cut into pieces. Duplicate ids resolve to the latest text.
+    Only posts that link somewhere take part in the lookup, as narrow rows, against only
+    the texts they link to; a target that many posts link to is cut into pieces.
+    Duplicate ids resolve to the latest text.
     """
     links = posts.select(
         "id",
@@ -65,11 +66,13 @@ def with_thread_text(posts: DataFrame) -> DataFrame:
             )
         ).alias("link"),
     ).select("id", "link.kind", "link.target").where(F.col("target").isNotNull())
-    texts = posts.groupBy(F.col("id").alias("_target")).agg(
+    wanted = links.select(F.col("target").alias("_wanted")).distinct()
+    linked = posts.select("id", "full_text", "created_at").join(wanted, F.col("id") == F.col("_wanted"), "left_semi")
+    texts = linked.groupBy(F.col("id").alias("_target")).agg(
         F.max_by("full_text", F.coalesce(F.col("created_at"), F.lit("0001-01-01").cast("timestamp_ntz"))).alias("linked_text")
     )
     found = (
-        spread_join(links, texts, "target", "_target", "inner", ["id", "kind"])
+        spread_join(links, texts, {"target": "_target"}, "inner", ["id", "kind"])
         .groupBy(F.col("id").alias("_linking"))
         .agg(_text_of("reply").alias("reply_text"), _text_of("quote").alias("quote_text"))
     )

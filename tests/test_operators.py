@@ -86,7 +86,7 @@ def test_spread_join_equals_plain_join(spark, how):
     left = spark.createDataFrame(rows, "id bigint, k bigint")
     right = spark.createDataFrame([(i, f"v{i}") for i in range(0, 600, 2)] + [(1, "hot")], "rk bigint, v string")
     plain = left.join(right, F.col("k") == F.col("rk"), how)
-    cut = joins.spread_join(left, right, "k", "rk", how, ["id"], rows_per_piece=20)
+    cut = joins.spread_join(left, right, {"k": "rk"}, how, ["id"], rows_per_piece=20)
     assert sorted(cut.columns) == sorted(plain.columns)
     assert Counter(map(tuple, cut.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
 
@@ -94,7 +94,7 @@ def test_spread_join_equals_plain_join(spark, how):
 def test_hot_keys_are_cut_and_bounded(spark):
     left = spark.createDataFrame([(i, 1 if i % 3 == 0 else i) for i in range(3000)], "id bigint, k bigint")
     hot = joins.hot_keys(joins.key_load(left, "k"), rows_per_piece=100).collect()
-    assert [(r["hot_key"], r["pieces"]) for r in hot] == [(1, 11)]
+    assert [(r["k"], r["pieces"]) for r in hot] == [(1, 11)]
 
 
 def test_large_membership_uses_the_spread_join(spark, monkeypatch):

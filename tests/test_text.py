@@ -100,6 +100,7 @@ def test_drop_empty(spark):
         ("I don't know. You cannot go!", "do know you can not go"),
         ("Dr. Smith met Mr. Jones. Then left.", "dr. smith met mr. jones then left"),
         ("the u.s. army is in the u.s.", "the u.s. army is in the u.s"),
+        ("He left (at last.) Then 'stop.' and so on...", "he left at last then 'stop and so on ..."),
         ("創作漢字 kanji", "kanji"),
         ("", ""),
     ],
