@@ -31,7 +31,7 @@ def delete(expr: str, patterns) -> str:
 
 MINUTES = "TIMESTAMP '2024-01-01 00:00:00' + to_minutes"
 POSTS = f"""posts AS (
-  SELECT doc_id AS id, CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS "user", text AS full_text,
+  SELECT doc_id AS id, TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS "user", text AS full_text,
          {MINUTES}(n_chars) AS created_at, lang, CASE WHEN n_chars < 400 THEN doc_id END AS retweeted_status,
          n_chars AS favorite_count
   FROM documents)"""

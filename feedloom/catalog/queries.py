@@ -6,7 +6,8 @@ Each entry reads its tables whole. Output columns are the ones the matching SQL
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
@@ -598,32 +599,40 @@ def _learning_text(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return cleaned, split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
 
 
-def _features(train: DataFrame, others: list[DataFrame], size: int) -> list[DataFrame]:
+@contextmanager
+def _features(size: int, train: DataFrame, *others: DataFrame) -> Iterator[list[DataFrame]]:
+    """Ready features of each table, kept until the fits are done."""
     prepared = training.fit_features(train, stop_words=st.STOP_WORDS, vectoriser="hashed", size=size)
-    return [prepared.transform(d).select("id", "label", "features").persist(StorageLevel.MEMORY_AND_DISK) for d in [train, *others]]
+    ready = [prepared.transform(d).select("id", "label", "features").persist(StorageLevel.MEMORY_AND_DISK) for d in (train, *others)]
+    try:
+        yield ready
+    finally:
+        for df in ready:
+            df.unpersist()
 
 
 @query
 def lr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, test = _learning_text(spark, sf_dir)
-    train, test = _features(train, [test], 1 << 18)
-    counts_ = training.ClassCounts.of(train)
-    model = training.fit_weighted(training.compact(train, counts_.rows), counts_, counts_.n1 / counts_.n0, 1.0)
-    return metrics.class_report(metrics.confusion(model.transform(test)))
+    with _features(1 << 18, train, test) as (ready, held_out):
+        counts_ = training.ClassCounts.of(ready)
+        model = training.fit_weighted(training.compact(ready, counts_.rows), counts_, counts_.n1 / counts_.n0, 1.0)
+        rows = training.confusion_rows(model, held_out)
+    return metrics.class_report(spark.createDataFrame(rows, "label int, prediction int, n bigint"))
 
 
 @query
 def weight_grid_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, test = _learning_text(spark, sf_dir)
-    train, test = _features(train, [test], 1 << 14)
-    return training.weight_grid_report(train, test)
+    with _features(1 << 14, train, test) as (ready, held_out):
+        return training.weight_grid_report(ready, held_out)
 
 
 @query
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned, train, _ = _learning_text(spark, sf_dir)
-    (ready,) = _features(train, [], 1 << 14)
-    return training.cv_scores(ready, training.weight_range(0.1, 0.9, 5))
+    _, train, _ = _learning_text(spark, sf_dir)
+    with _features(1 << 14, train) as (ready,):
+        return training.cv_scores(ready, training.weight_range(0.1, 0.9, 5))
 
 
 @query
@@ -660,7 +669,7 @@ def _post_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = shared_folder(spark, "ingest"), shared_folder(spark, "ingest-state")
     events = _event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
-    jobs.ingest(events, "event_id", out, checkpoint)
+    jobs.ingest(events, "event_id", out, checkpoint, event_time="ts")
     return sinks.read_batches(spark, out, events.schema).drop("batch_id")
 
 

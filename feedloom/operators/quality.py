@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.schema import LABEL_SET_ROWS, SCORE_RANGE
 
 @dataclass(frozen=True)
 class RowCount:
@@ -44,6 +45,10 @@ class CheckFailed(ValueError):
     pass
 
 
+SCORES_SUITE: tuple[Check, ...] = (Between("predicted", *SCORE_RANGE), Unique("id"), HasColumn("id"), HasColumn("predicted"))
+LABEL_SET_SUITE: tuple[Check, ...] = (RowCount(*LABEL_SET_ROWS),)
+
+
 def _result(check: str, column: str, unexpected: Column) -> Column:
     bad = unexpected.cast("bigint")
     return F.struct(

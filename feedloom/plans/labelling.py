@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom import schema
 from feedloom.operators.filters import in_language
+from feedloom.operators.quality import LABEL_SET_SUITE, Check, enforce, run_checks
+from feedloom.sources.sinks import fingerprint, publish_version, read_version
 
 
 def label_set(posts: DataFrame, positive: DataFrame, negative: DataFrame, lang: str = "en") -> DataFrame:
@@ -16,3 +19,14 @@ def label_set(posts: DataFrame, positive: DataFrame, negative: DataFrame, lang:
     marked = positive.select("id", F.lit(1.0).alias("labels")).unionByName(negative.select("id", F.lit(0.0).alias("labels")))
     verdict = marked.groupBy(F.col("id").alias("_labelled")).agg(F.max("labels").alias("labels"))
     return in_language(posts, lang).join(verdict, F.col("id") == F.col("_labelled")).drop("_labelled")
+
+
+def publish_label_set(labelled: DataFrame, root: str, suite: tuple[Check, ...] = LABEL_SET_SUITE) -> DataFrame:
+    """Write the next version, check what was written, and return its fingerprint.
+
+    A failed check stops the job; the version before it is still there.
+    """
+    version = publish_version(labelled.select(*schema.LABEL_SET.names), root)
+    written = read_version(labelled.sparkSession, root, schema.LABEL_SET, version)
+    enforce(run_checks(written, *suite))
+    return fingerprint(written)

@@ -13,6 +13,7 @@ from feedloom.functions.text import clean_text
 from feedloom.operators.joins import keep_last
 from feedloom.operators.lookups import unscored, upsert_scores
 from feedloom.operators.metrics import best_run
+from feedloom.operators.quality import SCORES_SUITE, enforce, run_checks
 from feedloom.plans.feed import FeedRules, feed_batch
 from feedloom.plans.training import positive_probability
 from feedloom.sources.sinks import publish_version, read_version
@@ -48,9 +49,14 @@ def score_posts(posts: DataFrame, scorer: Scorer, scores: DataFrame, delivery_lo
 
 
 def update_score_table(spark: SparkSession, root: str, posts: DataFrame, scorer: Scorer, delivery_log: DataFrame | None, mode: str = "append") -> int | None:
-    """Publish the next version of the score table; nothing to score publishes nothing."""
+    """Publish the next version of the score table and check it.
+
+    Nothing to score publishes nothing.
+    """
     stored = read_version(spark, root, schema.SCORES)
     batch = feed_batch(posts, FeedRules(remove_news=False), delivery_log)
     if (unscored(batch, stored) if mode == "append" else batch).isEmpty():
         return None
-    return publish_version(score_posts(posts, scorer, stored, delivery_log, mode), root)
+    version = publish_version(score_posts(posts, scorer, stored, delivery_log, mode), root)
+    enforce(run_checks(read_version(spark, root, schema.SCORES, version), *SCORES_SUITE))
+    return version

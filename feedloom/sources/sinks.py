@@ -7,10 +7,13 @@ half-written table and the previous version stays as the backup.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from feedloom.schema import REJECTED_DUMP_ABOVE
 from feedloom.sources.tables import empty, exists
 
 POINTER = "CURRENT"
@@ -61,6 +64,15 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def dump_rejected(rejected: DataFrame, folder: str, at: datetime, limit: int = REJECTED_DUMP_ABOVE) -> str | None:
+    """Export the rejected ids under a time-stamped name once there are too many."""
+    if rejected.count() <= limit:
+        return None
+    path = f"{folder}/{at:%Y_%m_%d_%H%M}_not_relevant_list"
+    write_json(rejected, path)
+    return path
+
+
 def fingerprint(df: DataFrame, *columns: str) -> DataFrame:
     """Row count and two order-free content hashes; equal tables give equal rows.
 

@@ -47,7 +47,7 @@ def posts(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     """Documents as posts; a text under 400 characters stands in for a repost."""
     return read(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
-        F.regexp_extract("source", "([0-9]+)$", 1).cast("bigint").alias("user"),
+        F.regexp_extract("source", "([0-9]+)$", 1).try_cast("bigint").alias("user"),
         F.col("text").alias("full_text"),
         _minutes_after_start(F.col("n_chars")).alias("created_at"),
         "lang",
@@ -77,7 +77,7 @@ def page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     has = lambda mark: F.contains("url", F.lit(mark))
     return texts_of(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"),
-        F.regexp_extract("url", "/([0-9]+)", 1).cast("bigint").alias("user"),
+        F.regexp_extract("url", "/([0-9]+)", 1).try_cast("bigint").alias("user"),
         page_text().alias("full_text"),
         _minutes_after_start(F.col("page_id")).alias("created_at"),
         F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"),

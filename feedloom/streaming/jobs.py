@@ -43,17 +43,22 @@ def _earlier(spark: SparkSession, path: str, columns: StructType, batch_id: int)
     return read_batches(spark, path, columns).where(F.col("batch_id") < batch_id)
 
 
-def ingest(stream: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
+def ingest(stream: DataFrame, key: str, path: str, checkpoint: str, event_time: str | None = None) -> StreamingQuery:
     """Append rows whose key has not landed before, however late they arrive.
 
     Keys are compared with the stored table, not with bounded state, so no late row is
-    lost and no old one returns.
+    lost and no old one returns. Where a row's ``event_time`` never changes, naming it
+    limits the look back to the span of the batch.
     """
     columns = stream.schema
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        stored = _earlier(batch.sparkSession, path, columns, batch_id).select(key)
-        fresh = drop_members(batch.dropDuplicates([key]), key, stored, spread_by=[key])
+        stored = _earlier(batch.sparkSession, path, columns, batch_id)
+        if event_time:
+            span = batch.agg(F.min(event_time).alias("low"), F.max(event_time).alias("high")).first()
+            untimed = F.col(event_time).isNull()
+            stored = stored.where(F.col(event_time).between(F.lit(span["low"]), F.lit(span["high"])) | untimed)
+        fresh = drop_members(batch.dropDuplicates([key]), key, stored.select(key), spread_by=[key])
         append_batch(fresh, path, batch_id)
 
     return run_available(stream, work, checkpoint)

@@ -1,13 +1,15 @@
 """Sinks, training, scoring and streaming, end to end on small tables."""
 
 import math
+from datetime import datetime
 
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from feedloom import schema
-from feedloom.plans import feed, scoring, training
+from feedloom.operators import quality
+from feedloom.plans import feed, labelling, scoring, training
 from feedloom.sources import sinks, tables
 from feedloom.streaming import jobs
 from test_operators import ids, make_posts
@@ -53,6 +55,21 @@ def test_versions_keep_the_backup(spark, tmp_path):
     assert sinks.read_version(spark, root, schema.SCORES, 1).first()["predicted"] == 0.1
 
 
+def test_rejected_dump_waits_for_its_limit(spark, tmp_path):
+    rejected = spark.range(3)
+    at = datetime(2024, 1, 2, 3, 4)
+    assert sinks.dump_rejected(rejected, str(tmp_path), at, limit=3) is None
+    path = sinks.dump_rejected(rejected, str(tmp_path), at, limit=2)
+    assert path.endswith("2024_01_02_0304_not_relevant_list") and spark.read.json(path).count() == 3
+
+
+def test_label_set_is_checked_when_published(spark, tmp_path):
+    posts = make_posts(spark, [(1, 1, "a")]).withColumn("labels", F.lit(1.0))
+    assert labelling.publish_label_set(posts, f"{tmp_path}/set", (quality.RowCount(1, 2),)).first()["rows"] == 1
+    with pytest.raises(quality.CheckFailed):
+        labelling.publish_label_set(posts, f"{tmp_path}/set")
+
+
 def test_fingerprint_ignores_order_and_sees_change(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "id int, t string")
     first = sinks.fingerprint(df).first()
@@ -160,6 +177,16 @@ def test_ingest_is_the_same_in_one_or_many_batches(spark, tmp_path, files):
     assert ids(sinks.read_batches(spark, out, parts[0].schema)) == [1, 2, 3, 4, 5]
 
 
+def test_ingest_looks_back_over_the_span_of_the_batch(spark, tmp_path):
+    schema_ = "id bigint, t timestamp_ntz"
+    day = lambda d: datetime(2024, 1, d)
+    first = spark.createDataFrame([(1, day(1)), (2, day(5)), (3, None)], schema_)
+    land(spark, f"{tmp_path}/in", [first, spark.createDataFrame([(2, day(5)), (3, None), (4, day(2))], schema_)])
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", first.schema, files_per_trigger=1)
+    jobs.ingest(stream, "id", f"{tmp_path}/out", f"{tmp_path}/state", event_time="t")
+    assert ids(sinks.read_batches(spark, f"{tmp_path}/out", first.schema)) == [1, 2, 3, 4]
+
+
 def test_replaying_a_batch_changes_nothing(spark, tmp_path):
     posts = make_posts(spark, [(1, 1, "a"), (2, 1, "b")])
     land(spark, f"{tmp_path}/in", [posts])
