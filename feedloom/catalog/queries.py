@@ -10,7 +10,6 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -614,7 +613,7 @@ def _features(size: int, train: DataFrame, *others: DataFrame) -> Iterator[list[
 @query
 def lr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, test = _learning_text(spark, sf_dir)
-    with _features(1 << 18, train, test) as (ready, held_out):
+    with _features(1 << 16, train, test) as (ready, held_out):
         counts_ = training.ClassCounts.of(ready)
         model = training.fit_weighted(training.compact(ready, counts_.rows), counts_, counts_.n1 / counts_.n0, 1.0)
         rows = training.confusion_rows(model, held_out)
@@ -684,11 +683,7 @@ def stream_ingest_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, _ = _learning_text(spark, sf_dir)
-    stages = training.feature_stages(stop_words=st.STOP_WORDS, vectoriser="hashed", size=1 << 14)
-    counts_ = training.ClassCounts.of(train)
-    weight_0 = counts_.n1 / counts_.n0
-    estimator = training.logistic_regression(counts_.total_weight(weight_0, 1.0))
-    model = Pipeline(stages=[*stages, estimator]).fit(training.weighted(train, weight_0, 1.0))
+    model = training.fit_pipeline(train, stop_words=st.STOP_WORDS, vectoriser="hashed", size=1 << 14)
     out, checkpoint = shared_folder(spark, "scores"), shared_folder(spark, "scores-state")
     jobs.score(_post_stream(spark, sf_dir), scoring.model_scorer(model), out, checkpoint)
     return jobs.stored_scores(spark, out)

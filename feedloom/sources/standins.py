@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feedloom import schema
 from feedloom.operators import metrics
@@ -25,8 +26,15 @@ STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "i
 THRESHOLDS = (0.2, 0.4, 0.6, 0.8)
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table by name. Its schema is inferred once; inferring runs a job each time."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def texts_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
