@@ -557,8 +557,8 @@ def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ids_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = st.turn_posts(spark, sf_dir).select("user", F.expr("id % 100").alias("turn"), "id")
-    return payloads.id_batches(turns, "user", "turn").select(F.col("user").alias("conv_id"), "batch", "ids")
+    turns = st.table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.col("conv_id") * 100 + F.col("turn")).alias("id"))
+    return payloads.id_batches(turns, "conv_id", "turn").select("conv_id", "batch", "ids")
 
 
 @query

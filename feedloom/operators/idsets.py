@@ -31,7 +31,8 @@ def muted_author_ids(posts: DataFrame, muted: DataFrame) -> DataFrame:
 
 def news_ids(posts: DataFrame, news_domains: Sequence[str]) -> DataFrame:
     """Posts that link to news themselves or through the post they answer or quote."""
-    return flag_news(no_reposts(with_thread_text(posts)), news_domains).where(F.col("contains_news") == 1).select("id")
+    threads = with_thread_text(no_reposts(posts), lookup=posts)
+    return flag_news(threads, news_domains).where(F.col("contains_news") == 1).select("id")
 
 
 def negative_ids(**reasons: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def hot_keys(load: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame
     total = load.agg(F.coalesce(F.sum("load"), F.lit(0))).scalar()
     threshold = F.greatest(F.lit(rows_per_piece).cast("double"), total / F.lit(HOT_KEYS))
     keys = [c for c in load.columns if c != "load"]
-    return load.where(F.col("load") > threshold).select(*keys, F.ceil(F.col("load") / threshold).alias("pieces"))
+    return load.where(F.col("load") > threshold).select(*keys, F.ceil(F.col("load") / threshold).alias("_pieces"))
 
 
 def spread_join(
@@ -71,10 +71,10 @@ def spread_join(
     slot = F.xxhash64(*spread_by)
     piece = (
         F.when(_any_null(list(on)), F.pmod(slot, F.lit(65_536)))
-        .when(F.col("pieces").isNotNull(), F.pmod(slot, F.col("pieces")))
+        .when(F.col("_pieces").isNotNull(), F.pmod(slot, F.col("_pieces")))
         .otherwise(F.lit(0).cast("bigint"))
     )
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
     spare = [*hot.columns]
     cut_left = with_pieces(left, list(on)).withColumn("_piece", piece).drop(*spare)
     cut_right = with_pieces(right, list(on.values())).withColumn("_copy", copies).drop(*spare)

@@ -50,14 +50,18 @@ def upsert_scores(current: DataFrame, fresh: DataFrame) -> DataFrame:
     return keep_last(both, ["id"], "seq").drop("seq")
 
 
-def with_thread_text(posts: DataFrame) -> DataFrame:
+def with_thread_text(posts: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """Append the replied-to and the quoted post's text; both separators always appear.
 
-    Only posts that link somewhere take part in the lookup, as narrow rows, against only
-    the texts they link to; a target that many posts link to is cut into pieces.
+    Texts are looked up among ``posts`` or a wider ``lookup``. Posts that link nowhere
+    are finished where they are read. The others join through narrow link rows, against
+    only the texts they link to; a target that many posts link to is cut into pieces.
     Duplicate ids resolve to the latest text.
     """
-    links = posts.select(
+    lookup = posts if lookup is None else lookup
+    linking = F.col("in_reply_to_status_id").isNotNull() | F.col("quoted_status").isNotNull()
+    linked_posts = posts.where(linking)
+    links = linked_posts.select(
         "id",
         F.explode(
             F.array(
@@ -67,8 +71,8 @@ def with_thread_text(posts: DataFrame) -> DataFrame:
         ).alias("link"),
     ).select("id", "link.kind", "link.target").where(F.col("target").isNotNull())
     wanted = links.select(F.col("target").alias("_wanted")).distinct()
-    linked = posts.select("id", "full_text", "created_at").join(wanted, F.col("id") == F.col("_wanted"), "left_semi")
-    texts = linked.groupBy(F.col("id").alias("_target")).agg(
+    candidates = lookup.select("id", "full_text", "created_at").join(wanted, F.col("id") == F.col("_wanted"), "left_semi")
+    texts = candidates.groupBy(F.col("id").alias("_target")).agg(
         F.max_by("full_text", F.coalesce(F.col("created_at"), F.lit("0001-01-01").cast("timestamp_ntz"))).alias("linked_text")
     )
     found = (
@@ -76,10 +80,12 @@ def with_thread_text(posts: DataFrame) -> DataFrame:
         .groupBy(F.col("id").alias("_linking"))
         .agg(_text_of("reply").alias("reply_text"), _text_of("quote").alias("quote_text"))
     )
-    joined = posts.join(found, F.col("id") == F.col("_linking"), "left")
+    joined = linked_posts.join(found, F.col("id") == F.col("_linking"), "left")
     parts = [F.coalesce(F.col(c), F.lit("")) for c in ("reply_text", "quote_text")]
     full = F.concat(F.col("full_text"), F.lit(" "), parts[0], F.lit(" "), parts[1])
-    return joined.withColumn("full_text", full).select(*posts.columns)
+    threaded = joined.withColumn("full_text", full).select(*posts.columns)
+    alone = posts.where(~linking).withColumn("full_text", F.concat(F.col("full_text"), F.lit("  ")))
+    return alone.unionByName(threaded)
 
 
 def _text_of(kind: str) -> Column:

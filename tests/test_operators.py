@@ -94,7 +94,7 @@ def test_spread_join_equals_plain_join(spark, how):
 def test_hot_keys_are_cut_and_bounded(spark):
     left = spark.createDataFrame([(i, 1 if i % 3 == 0 else i) for i in range(3000)], "id bigint, k bigint")
     hot = joins.hot_keys(joins.key_load(left, "k"), rows_per_piece=100).collect()
-    assert [(r["k"], r["pieces"]) for r in hot] == [(1, 11)]
+    assert [(r["k"], r["_pieces"]) for r in hot] == [(1, 11)]
 
 
 def test_large_membership_uses_the_spread_join(spark, monkeypatch):
