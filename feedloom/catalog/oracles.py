@@ -390,6 +390,10 @@ ORACLES["url_domain"] = f"SELECT page_id, {domain('url')} AS domain FROM pages"
 ORACLES["drop_empty"] = """SELECT page_id, array_to_string(list_filter(string_split(url, '/'), lambda p: p <> ''), '|') AS parts
 FROM pages"""
 ORACLES["news_flag"] = f"WITH {TEXTS} SELECT page_id, CAST({is_news('text')} AS INTEGER) AS contains_news FROM texts"
+ORACLES["news_flag_long"] = f"""WITH {TEXTS},
+campaign AS (SELECT DISTINCT {domain('url')} AS domain FROM pages WHERE contains(url, 'utm_source')),
+found AS (SELECT page_id, unnest({domains('text')}) AS domain FROM texts)
+SELECT page_id, CAST(page_id IN (SELECT page_id FROM found JOIN campaign USING (domain)) AS INTEGER) AS contains_news FROM texts"""
 ORACLES["clean_text"] = f"SELECT doc_id AS id, {cleaned('text')} AS text FROM documents"
 ORACLES["clean_text_neg"] = f"""SELECT doc_id AS id, replace({cleaned('text', NOISE, lead=False)}, 'n''t', 'not') AS text
 FROM documents"""

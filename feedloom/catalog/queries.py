@@ -531,6 +531,14 @@ def news_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(spark, sf_dir).select("page_id", ux.news_flag(F.col("text"), st.NEWS_DOMAINS).alias("contains_news"))
 
 
+@query
+def news_flag_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table form: the domains of all campaign links are the news list."""
+    pages = st.table(spark, sf_dir, "pages").where(F.contains("url", F.lit("utm_source")))
+    campaign = pages.select(ux.url_domain(F.col("url")).alias("domain"))
+    return filters.flag_news(_pages(spark, sf_dir), campaign, column="text", key="page_id").select("page_id", "contains_news")
+
+
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.posts(spark, sf_dir, st.texts_of).select("id", "full_text")
 

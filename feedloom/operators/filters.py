@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import contained_words, contains_any
-from feedloom.functions.urls import news_flag
-from feedloom.operators.joins import spread_join
+from feedloom.functions.urls import news_flag, url_domains
+from feedloom.operators.joins import keep_members, spread_join
 
 INLINE_WORDS = 200
+INLINE_DOMAINS = 500
 BROADCAST_WORDS = 100_000
 GRAM = 3
 
@@ -80,12 +81,21 @@ def _matches_by_gram(posts: DataFrame, column: str, words: DataFrame, case_sensi
     )
 
 
-def flag_news(posts: DataFrame, news_domains: Sequence[str], column: str = "full_text") -> DataFrame:
-    """Add ``contains_news`` (0 or 1)."""
-    return posts.withColumn("contains_news", news_flag(F.col(column), news_domains))
+def flag_news(posts: DataFrame, news_domains: Sequence[str] | DataFrame, column: str = "full_text", key: str = "id") -> DataFrame:
+    """Add ``contains_news`` (0 or 1).
+
+    A short list is tested in place. A long one, or a table, meets the posts' domains in
+    a join of narrow rows; only then must ``key`` be unique.
+    """
+    if not isinstance(news_domains, DataFrame) and len(news_domains) <= INLINE_DOMAINS:
+        return posts.withColumn("contains_news", news_flag(F.col(column), news_domains))
+    links = posts.select(key, F.explode_outer(url_domains(F.col(column))).alias("_domain")).where(F.col("_domain").isNotNull())
+    hits = keep_members(links, "_domain", news_domains, spread_by=[key]).select(F.col(key).alias("_news")).distinct()
+    flagged = posts.join(hits, F.col(key) == F.col("_news"), "left")
+    return flagged.withColumn("contains_news", F.col("_news").isNotNull().cast("int")).drop("_news")
 
 
-def filter_news(posts: DataFrame, news_domains: Sequence[str], remove_news: bool = True) -> DataFrame:
+def filter_news(posts: DataFrame, news_domains: Sequence[str] | DataFrame, remove_news: bool = True) -> DataFrame:
     """Drop posts that link to a listed domain, or keep all with the flag added."""
     flagged = flag_news(posts, news_domains)
     return flagged.where(F.col("contains_news") == 0) if remove_news else flagged

@@ -29,7 +29,7 @@ def muted_author_ids(posts: DataFrame, muted: DataFrame) -> DataFrame:
     return keep_members(posts, "user", muted).select("id")
 
 
-def news_ids(posts: DataFrame, news_domains: Sequence[str]) -> DataFrame:
+def news_ids(posts: DataFrame, news_domains: Sequence[str] | DataFrame) -> DataFrame:
     """Posts that link to news themselves or through the post they answer or quote."""
     threads = with_thread_text(no_reposts(posts), lookup=posts)
     return flag_news(threads, news_domains).where(F.col("contains_news") == 1).select("id")

@@ -19,19 +19,19 @@ Members = DataFrame | Sequence[int]
 
 @dataclass(frozen=True)
 class FeedRules:
-    """What a batch keeps. ``None`` switches a rule off."""
+    """What a batch keeps. Word and domain lists may be tables."""
 
     lang: str = "en"
-    mute_words: Sequence[str] = ()
-    mute_words_cs: Sequence[str] = ()
-    news_domains: Sequence[str] = ()
+    mute_words: Sequence[str] | DataFrame = ()
+    mute_words_cs: Sequence[str] | DataFrame = ()
+    news_domains: Sequence[str] | DataFrame = ()
     remove_news: bool = True
     min_likes: int = 0
 
 
 @dataclass(frozen=True)
 class Audience:
-    """Whose posts may appear."""
+    """Whose posts may appear. ``None`` switches a rule off."""
 
     owner: int | None = None
     muted: Members | None = None

@@ -53,6 +53,18 @@ def test_null_text_is_kept_by_mute_and_news(spark):
     assert filters.filter_news(posts.limit(0), ["cnn.com"]).count() == 0
 
 
+def test_domain_table_equals_domain_list(spark):
+    texts = [None, "x", "http://cnn.com/a http://edition.cnn.com/b", "https://www.bbc.co.uk/n", "http://t.co/x"]
+    posts = make_posts(spark, [(i, 1, t) for i, t in enumerate(texts)])
+    table = spark.createDataFrame([("cnn.com",), ("bbc.co.uk",), ("cnn.com",)], "domain string")
+    flags = lambda df: {r["id"]: r["contains_news"] for r in df.collect()}
+    expected = {0: 0, 1: 0, 2: 1, 3: 1, 4: 0}
+    assert flags(filters.flag_news(posts, ["cnn.com", "bbc.co.uk"])) == expected
+    assert flags(filters.flag_news(posts, table)) == expected
+    many = ["cnn.com", "bbc.co.uk", *[f"d{i}.org" for i in range(1_200)]]
+    assert flags(filters.flag_news(posts, many)) == expected
+
+
 def test_long_word_lists_equal_brute_force(spark):
     texts = ["the Quick brown fox", "a", "", "x🍿y", None, "ab" * 50 + "needle" + "z" * 50, "É tude"]
     posts = make_posts(spark, [(i, 1, t) for i, t in enumerate(texts)])
