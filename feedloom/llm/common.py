@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def held_out(key: Column) -> Column:
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``most`` bytes, one row at least."""
     at, size = 0, 0
-    lengths = [0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()]
+    lengths = [0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()]
     for i, n in enumerate(lengths):
         if i > at and size + n > most:
             yield batch.slice(at, i - at)

@@ -6,12 +6,34 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedloom.llm import quality_crf, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
-from feedloom.llm.common import ship_package, table
+from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.packing import pack
 
 
+def _learnable(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Labelled texts that a fit may use: ids whose crc32 leaves a remainder."""
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", F.col(label).alias("label"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+
+
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chain = quality_crf.fit(_learnable(spark, sf_dir, "quality"))
+    return _judged(quality_crf.score(table(spark, sf_dir, "documents").select("doc_id", "text"), chain), 0.3)
+
+
+def op10_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(_learnable(spark, sf_dir, "toxic"))
+    return _judged(toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model), 0.5)
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -32,7 +54,9 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _shipped(query)
     for query in (
+        op1_quality_crf,
         op3_mixture_packing,
         op7_bit_planes,
+        op10_toxic_lexicon,
     )
 }
