@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import quality_crf, toxicity
+from feedloom.llm import ownership, quality_crf, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.packing import pack
@@ -42,6 +42,10 @@ def op7_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op9_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ownership.digest_of(ownership.scan(table(spark, sf_dir, "documents")))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_crf,
         op3_mixture_packing,
         op7_bit_planes,
+        op9_secret_owners,
         op10_toxic_lexicon,
     )
 }
