@@ -40,7 +40,7 @@ BLOCK_IDS = 1 << 16
 KINDS = {"byte": 4, "bit": 32}
 
 MANIFEST = "path string, part long, n_docs long, n_ids long"
-READ = "path string, doc_id long, start long, n_tokens long, ids_crc32 long"
+READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -207,27 +207,26 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     One row per file decides its place; the ids themselves are read by tasks that take
     whole files each and hold one block at a time.
     """
-    files = manifest.withColumn("before", F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, at in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist()):
                 system, inner = _opened(path)
                 with system.open_input_file(inner) as f:
                     rows = []
                     for doc_id, start, n, crc in PlaneReader(f, f.size()).documents():
-                        rows.append((path, doc_id, start, n, crc))
+                        rows.append((doc_id, at + start, n, crc))
                         if len(rows) >= 10_000:
                             yield _rows(rows)
                             rows = []
                     if rows:
                         yield _rows(rows)
 
-    n_files = max(1, manifest.count())
-    each = manifest.select("path").repartition(n_files, "path").mapInArrow(read, READ)
-    return each.join(files.select("path", "before"), "path").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    files = manifest.select("path", before.alias("before"))
+    return files.repartition(max(1, manifest.count()), "path").mapInArrow(read, READ)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [("path", pa.string()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+    kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(zip(*rows), kinds)], schema=pa.schema(kinds))
