@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import ownership, quality_crf, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
+from feedloom.llm.onebit import nearest
 from feedloom.llm.packing import pack
 
 
@@ -42,6 +43,10 @@ def op7_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op8_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.digest_of(ownership.scan(table(spark, sf_dir, "documents")))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_crf,
         op3_mixture_packing,
         op7_bit_planes,
+        op8_one_bit_codes,
         op9_secret_owners,
         op10_toxic_lexicon,
     )
