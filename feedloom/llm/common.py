@@ -37,6 +37,19 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, documents: int, purpose: str) -> DataFrame:
+    """Texts for a fit, as (o, text, label): the first ``documents`` rows of ``labels(doc_id, label)`` in a hash order.
+
+    Only ids are ordered; the chosen ones, at most ``documents``, are broadcast to one scan
+    of the texts. NULL ids, labels and texts teach nothing; a repeated id teaches once per row.
+    """
+    known = labels.select("doc_id", F.col("label").cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+    order = F.xxhash64("doc_id")
+    chosen = known.withColumn("o", order).orderBy("o", "doc_id", "label").limit(documents).select(F.col("doc_id").alias("_id"), "o", "label")
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    return stored(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("o", "text", "label"), purpose)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``most`` bytes, one row at least."""
     at, size = 0, 0

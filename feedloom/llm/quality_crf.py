@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import slices
+from feedloom.llm.common import labelled_sample, slices
 
 #: Bounds of the fit: labelled documents in the order of a hash of their ids, and their lines.
 FIT_DOCUMENTS = 4_000
@@ -200,26 +200,23 @@ def calibrated(chain: Chain, rows: np.ndarray, lengths: np.ndarray, counts: np.n
     return Chain(chain.weights, chain.transitions, max(float(at[0]), 1e-3), float(at[1]))
 
 
-def fit(labelled: DataFrame, documents: int = FIT_DOCUMENTS, lines: int = FIT_LINES) -> Chain:
-    """A chain learned from ``labelled(doc_id, text, label)``.
+def fit(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS, lines: int = FIT_LINES) -> Chain:
+    """A chain learned from the texts of ``docs(doc_id, text)`` that ``labels(doc_id, label)`` marks.
 
-    Takes the ``documents`` rows first in a hash order of their ids, and of those as many as
-    hold ``lines`` lines. Rows whose label or text is NULL teach nothing.
+    Takes the ``documents`` labels first in a hash order of their ids, and of those as many as
+    hold ``lines`` lines. NULL ids, labels and texts teach nothing.
     """
-    known = labelled.where(F.col("label").isNotNull() & F.col("text").isNotNull())
-    order = F.xxhash64("doc_id", "text")
-    chosen = known.select("doc_id", order.alias("o"), F.size(F.split("text", "\n", -1)).alias("n")).orderBy("o").limit(documents)
+    sample = labelled_sample(docs, labels, documents, "crf-sample")
     ids, total = [], 0
-    for r in chosen.collect():
+    for r in sample.select("o", F.size(F.split("text", "\n", -1)).alias("n")).orderBy("o").collect():
         total += r["n"]
         if total > lines and ids:
             break
         ids.append(r["o"])
     if not ids:
         return fit_chain(np.empty((0, N_FEATURES)), np.empty(0, dtype=int), np.empty(0, dtype=int))
-    rows = known.where(order <= ids[-1]).select(order.alias("o"), "text", F.col("label").cast("int").alias("label"))
-    packed = rows.mapInArrow(_packed, "o long, n long, label int, lengths binary, bits binary").collect()
-    packed.sort(key=lambda r: (r["o"], r["label"]))
+    packed = sample.where(F.col("o") <= ids[-1]).mapInArrow(_packed, "o long, n long, label int, lengths binary, bits binary").collect()
+    packed.sort(key=lambda r: (r["o"], r["label"], r["n"], r["lengths"]))
     bits = np.concatenate([np.frombuffer(r["bits"], dtype=np.uint8).reshape(r["n"], -1) for r in packed])
     shapes, labels = np.unpackbits(bits, axis=1, count=N_FEATURES).astype(np.float32), np.array([r["label"] for r in packed])
     lengths, counts = np.concatenate([np.frombuffer(r["lengths"]) for r in packed]), np.array([r["n"] for r in packed])

@@ -16,9 +16,8 @@ from feedloom.llm.packing import pack
 
 
 def _learnable(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    """Labelled texts that a fit may use: ids whose crc32 leaves a remainder."""
-    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", F.col(label).alias("label"))
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    """Labels that a fit may use: ids whose crc32 leaves a remainder."""
+    return table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", F.col(label).alias("label"))
 
 
 def _judged(scored: DataFrame, threshold: float) -> DataFrame:
@@ -26,13 +25,15 @@ def _judged(scored: DataFrame, threshold: float) -> DataFrame:
 
 
 def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chain = quality_crf.fit(_learnable(spark, sf_dir, "quality"))
-    return _judged(quality_crf.score(table(spark, sf_dir, "documents").select("doc_id", "text"), chain), 0.3)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = quality_crf.fit(docs, _learnable(spark, sf_dir, "quality"))
+    return _judged(quality_crf.score(docs, chain), 0.3)
 
 
 def op10_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(_learnable(spark, sf_dir, "toxic"))
-    return _judged(toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model), 0.5)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _learnable(spark, sf_dir, "toxic"))
+    return _judged(toxicity.score(docs, model), 0.5)
 
 
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import slices
+from feedloom.llm.common import labelled_sample, slices
 
 #: Bound of the fit: labelled documents in the order of a hash of their ids.
 FIT_DOCUMENTS = 10_000
@@ -248,16 +248,13 @@ def choose_terms(counts: Iterable[tuple[str, int, int]], toxic: int, clean: int)
     return chosen
 
 
-def fit(labelled: DataFrame, documents: int = FIT_DOCUMENTS) -> ToxicModel:
-    """A model learned from ``labelled(doc_id, text, label)``: the ``documents`` rows first in a hash order of their ids.
+def fit(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS) -> ToxicModel:
+    """A model learned from the texts of ``docs(doc_id, text)`` that ``labels(doc_id, label)`` marks.
 
-    Rows whose label or text is NULL teach nothing. Without toxic rows the lexicon is empty
-    and every score is the same.
+    Takes the ``documents`` labels first in a hash order of their ids. NULL ids, labels and
+    texts teach nothing. Without toxic rows the lexicon is empty and every score is the same.
     """
-    order = F.xxhash64("doc_id", "text")
-    known = labelled.where(F.col("label").isNotNull() & F.col("text").isNotNull()).select(order.alias("o"), "text", F.col("label").cast("int").alias("label"))
-    last = known.select("o").orderBy("o").limit(documents).agg(F.max("o")).first()[0]
-    sample = known.where(F.col("o") <= F.lit(last).cast("long"))
+    sample = labelled_sample(docs, labels, documents, "toxic-sample")
     size = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
     least = max(2, math.floor(LEAST_RATIO / (2 * math.log(1 + clean / max(toxic, 1)) + 1e-9) * 0.5)) if toxic else 2
@@ -289,7 +286,7 @@ def fit(labelled: DataFrame, documents: int = FIT_DOCUMENTS) -> ToxicModel:
                 rows = features(batch.column("text").to_pylist(), own)
                 yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("label"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["o", "label", "x"])
 
-    rows = sorted(sample.mapInArrow(featured, "o long, label int, x binary").collect(), key=lambda r: (r["o"], r["label"]))
+    rows = sorted(sample.mapInArrow(featured, "o long, label int, x binary").collect(), key=lambda r: (r["o"], r["label"], r["x"]))
     if not rows:
         return ToxicModel(lexicon, np.zeros(7))
     return ToxicModel(lexicon, fit_curve(np.stack([np.frombuffer(r["x"]) for r in rows]), np.array([r["label"] for r in rows])))
