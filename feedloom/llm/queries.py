@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import ownership, quality_crf, toxicity
+from feedloom.llm import metric_join, ownership, quality_crf, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.onebit import nearest
@@ -40,6 +40,11 @@ def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = metric_join.join(table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents")))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_quality_crf,
         op3_mixture_packing,
+        op5_jaccard_regions,
         op7_bit_planes,
         op8_one_bit_codes,
         op9_secret_owners,
