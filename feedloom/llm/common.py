@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, documents: int, purpose:
     return stored(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("o", "text", "label"), purpose)
 
 
+def bitmap(df: DataFrame, slot: Column, bits: int) -> np.ndarray:
+    """Which of ``2 ** bits`` slots occur, as booleans packed in 64-bit words: its size does not depend on ``df``.
+
+    Words are combined on the executors, so the driver gets ``2 ** (bits - 6)`` rows at most.
+    """
+    at = df.select(F.pmod(slot, F.lit(1 << bits)).alias("s"))
+    words = at.groupBy(F.shiftright("s", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << max(0, bits - 6), dtype=np.int64)
+    out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def slots_set(words: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Whether each of ``slots`` (unsigned) is set in a bitmap."""
+    return (words[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``most`` bytes, one row at least."""
     at, size = 0, 0

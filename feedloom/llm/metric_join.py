@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import slices, stored
+from feedloom.llm.common import bitmap, slices, slots_set, stored
 from feedloom.llm.components import components
 from feedloom.llm.shingles import mixed, set_id, shingle_sets
 
@@ -44,6 +44,8 @@ LOCALLY_COMMON = 8
 FLUSH_TOKENS = 1_500_000
 BUCKET_TOKENS = 1_500_000
 PIVOTS = 64
+#: Size of the bitmap of wanted sets.
+BITMAP_BITS = 24
 #: Names one task remembers to pass a set on once.
 SEEN = 200_000
 
@@ -236,22 +238,20 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     A bitmap of fixed size keeps most other sets in their task; the join decides.
     """
-    slots = 1 << 22
-    marked = np.zeros(slots, dtype=bool)
-    marked[nodes.select(F.pmod("node", F.lit(slots)).alias("s")).distinct().toArrow().column("s").to_numpy()] = True
-    packed = np.packbits(marked)
+    marked = bitmap(nodes, F.col("node"), BITMAP_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = np.unpackbits(packed).astype(bool), set()
+        seen: set[int] = set()
         for _, sets in _texts(batches):
             rows = []
             for s in sets:
                 node = set_id(s) if len(s) else None
-                if node is not None and known[node % slots] and node not in seen:
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(node)
-                    rows.append((node, s.tobytes()))
+                if node is None or node in seen or not slots_set(marked, np.array([node % (1 << BITMAP_BITS)], dtype=np.uint64))[0]:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(node)
+                rows.append((node, s.tobytes()))
             if rows:
                 yield _batch("node long, shingles binary", *zip(*rows))
 

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import metric_join, ownership, quality_crf, toxicity
+from feedloom.llm import metric_join, ownership, quality_crf, templates, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.onebit import nearest
@@ -36,6 +36,11 @@ def op10_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(docs, model), 0.5)
 
 
+def op2_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "covered", "n_windows", "coverage", "reworded")
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _shipped(query)
     for query in (
         op1_quality_crf,
+        op2_template_leaks,
         op3_mixture_packing,
         op5_jaccard_regions,
         op7_bit_planes,
