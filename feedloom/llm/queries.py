@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import metric_join, ownership, quality_crf, templates, toxicity
+from feedloom.llm import metric_join, ownership, pseudo_likelihood, quality_crf, templates, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.onebit import nearest
@@ -50,6 +50,11 @@ def op5_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.train(docs))
+
+
 def op7_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents")))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_template_leaks,
         op3_mixture_packing,
         op5_jaccard_regions,
+        op6_pseudo_likelihood,
         op7_bit_planes,
         op8_one_bit_codes,
         op9_secret_owners,
