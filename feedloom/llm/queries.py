@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import metric_join, ownership, pseudo_likelihood, quality_crf, templates, toxicity
+from feedloom.llm import metric_join, ownership, pseudo_likelihood, quality_crf, suffix_dedup, templates, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.onebit import nearest
@@ -45,6 +45,11 @@ def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op4_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removal(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     members, _ = metric_join.join(table(spark, sf_dir, "documents"))
     return members.select("doc_id", "n_shingles", "component_id")
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_crf,
         op2_template_leaks,
         op3_mixture_packing,
+        op4_induced_suffixes,
         op5_jaccard_regions,
         op6_pseudo_likelihood,
         op7_bit_planes,
