@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, difference
+from feedloom.catalog import oracles
+from feedloom.catalog import queries as catalogue
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalogue.QUERIES
+ORACLES = oracles.ORACLES
 SLOW = {"weight_grid_report", "cv_scores", "runs_reeval", "lr_fit", "stream_score"}
 
 
@@ -18,6 +20,8 @@ def con(sf_dir):
 def test_sql_exists_for_all_but_the_learned_ones():
     assert set(QUERIES) - set(ORACLES) == SLOW
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
