@@ -177,8 +177,11 @@ SELECT p.id, w.word, false AS case_sensitive FROM posts p JOIN (SELECT unnest([{
 UNION ALL
 SELECT p.id, w.word, true FROM posts p JOIN (SELECT unnest([{listed(st.MUTE_WORDS_CS)}]) AS word) w
   ON contains(p.full_text, w.word)"""
-ORACLES["mute_matches_long"] = f"""WITH {POSTS}, words AS (
-  SELECT lower(c_mktsegment) AS word FROM customer UNION SELECT split_part({domain('url')}, '.', 1) FROM pages)
+LONG_WORDS = f"""words AS (
+  SELECT lower(c_mktsegment) AS word FROM customer UNION SELECT split_part({domain('url')}, '.', 1) FROM pages)"""
+ORACLES["mute_drop_long"] = f"""WITH {POSTS}, {LONG_WORDS}
+SELECT id FROM posts p WHERE NOT EXISTS (SELECT 1 FROM words w WHERE contains(lower(p.full_text), lower(w.word)))"""
+ORACLES["mute_matches_long"] = f"""WITH {POSTS}, {LONG_WORDS}
 SELECT p.id, w.word FROM posts p JOIN words w ON contains(lower(p.full_text), lower(w.word))"""
 ORACLES["news_filter"] = f"WITH {PAGE_POSTS} SELECT id FROM page_posts WHERE NOT {is_news('full_text')}"
 ORACLES["author_exclude"] = posts_where('"user" NOT IN (3, 7, 11)')
@@ -241,9 +244,10 @@ ORACLES["release_unseen"] = f"""WITH {SCORES}, {LOG}, batch AS (
 all_ AS (SELECT post_id, err_reason FROM log UNION ALL SELECT post_id, 'no_errors' FROM batch)
 SELECT post_id, err_reason FROM all_ a
 WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.position > 12 AND b.post_id = a.post_id)"""
-ORACLES["label_set"] = f"""WITH {POSTS}, {TURNS}, {LIKES}, {POSITIVE}, {MUTED}, {REJECTED}, negative AS (
+ORACLES["label_set"] = f"""WITH {POSTS}, {PAGE_POSTS}, {NEWS_IDS}, {TURNS}, {LIKES}, {POSITIVE}, {MUTED}, {REJECTED}, negative AS (
   SELECT id FROM posts WHERE {muted_words('full_text')}
   UNION SELECT p.id FROM posts p JOIN muted m ON m.id = p."user"
+  UNION SELECT id FROM news
   UNION SELECT id FROM rejected)
 SELECT p.id, CASE WHEN p.id IN (SELECT id FROM positive) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS labels
 FROM posts p
@@ -293,8 +297,8 @@ n AS (SELECT label, count(*) AS docs FROM words GROUP BY label),
 df AS (SELECT label, term, count(*) AS df FROM tf GROUP BY label, term),
 w AS (SELECT tf.id, tf.label, tf.term, tf.tf * (ln((1 + n.docs) / (1 + df.df)) + 1) AS w
       FROM tf JOIN df ON df.label = tf.label AND df.term = tf.term JOIN n ON n.label = tf.label),
-norm AS (SELECT id, sqrt(sum(w * w)) AS len FROM w GROUP BY id),
-valued AS (SELECT w.label, w.term, round(sum(w.w / norm.len), 6) AS value FROM w JOIN norm ON norm.id = w.id GROUP BY w.label, w.term)
+norm AS (SELECT id, label, sqrt(sum(w * w)) AS len FROM w GROUP BY id, label),
+valued AS (SELECT w.label, w.term, round(sum(w.w / norm.len), 6) AS value FROM w JOIN norm ON norm.id = w.id AND norm.label = w.label GROUP BY w.label, w.term)
 SELECT * FROM ({RANKED}) WHERE rank <= 20"""
 ORACLES["ngram_counts"] = f"""WITH {CLEAN_DOCS}, {WORDS}, {GRAMS}
 SELECT id, term, count(*) AS n FROM grams GROUP BY id, term"""
@@ -427,3 +431,25 @@ ORACLES["stream_ingest_watermark"] = ORACLES["stream_ingest"]
 ORACLES["stream_feed"] = f"""WITH {POSTS}, {LOG}
 SELECT id AS post_id, 'no_errors' AS err_reason FROM posts p
 WHERE lang = 'en' AND retweeted_status IS NULL AND NOT EXISTS (SELECT 1 FROM log l WHERE l.post_id = p.id)"""
+
+ORACLES["stream_score"] = ORACLES["score_overwrite"]
+
+# --- written and read back -------------------------------------------------------------
+
+ORACLES["csv_log"] = f"WITH {LOG} SELECT post_id, err_reason FROM log"
+ORACLES["csv_scores"] = f"WITH {SCORES} SELECT id, predicted FROM scores"
+ORACLES["json_words"] = "SELECT DISTINCT c_mktsegment AS word FROM customer"
+ORACLES["label_export_array"] = f"""WITH {POSTS}
+SELECT id, full_text, created_at, CAST(quality AS DOUBLE) AS labels FROM posts JOIN labels ON doc_id = id"""
+ORACLES["label_export_lines"] = ORACLES["label_export_array"]
+ORACLES["member_dump"] = ORACLES["muted_members"]
+ORACLES["log_append"] = f"""WITH {LOG}
+SELECT post_id, err_reason, CAST(CASE WHEN err_reason = 'no_errors' THEN 0 ELSE 1 END AS BIGINT) AS batch_id FROM log"""
+ORACLES["version_backup"] = f"""WITH {SCORES}
+SELECT id, predicted, CAST(2 AS BIGINT) AS version FROM scores
+UNION ALL SELECT id, predicted, 1 FROM scores WHERE predicted < 0.5"""
+ORACLES["deliver_batch"] = f"""WITH {POSTS}, {SCORES}, ranked AS (
+  SELECT p.id, row_number() OVER (ORDER BY coalesce(s.predicted, 0) DESC, p.id) - 1 AS place
+  FROM posts p LEFT JOIN scores s ON s.id = p.id
+  WHERE p.lang = 'en' AND p.retweeted_status IS NULL AND p."user" IS DISTINCT FROM 17 AND p.created_at < TIMESTAMP '2024-01-02 00:00:00')
+SELECT id AS post_id, 'no_errors' AS err_reason, CAST(place // 10 AS BIGINT) AS batch_id FROM ranked WHERE place < 30"""

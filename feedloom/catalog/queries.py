@@ -53,6 +53,80 @@ def scan_likes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.likes(spark, sf_dir).select(F.col("post_id").alias("id"), "user_id")
 
 
+@query
+def csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery log written as CSV and read back."""
+    path = shared_folder(spark, "csv-log")
+    st.delivery_log(spark, sf_dir).write.csv(path, header=True)
+    return tables.read_delivery_log(spark, path, "csv")
+
+
+@query
+def csv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "csv-scores")
+    st.scores(spark, sf_dir).write.csv(path, header=True)
+    return tables.read_scores(spark, path, "csv")
+
+
+@query
+def json_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct customer names as one JSON array of strings, read back as a word list."""
+    path = shared_folder(spark, "json-words")
+    names = st.table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
+    names.agg(F.to_json(F.collect_list("c_mktsegment")).alias("value")).write.text(path)
+    return tables.read_string_list(spark, path)
+
+
+def _labelled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = st.labelled(spark, sf_dir).select(F.col("id").alias("_id"), F.col("label").cast("double").alias("labels"))
+    return st.posts(spark, sf_dir, st.texts_of).join(labels, F.col("id") == F.col("_id")).select(*schema.LABEL_SET.names)
+
+
+@query
+def label_export_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "label-array")
+    sinks.write_json(_labelled_posts(spark, sf_dir), path, "array")
+    return tables.read_label_set(spark, path, "array").select("id", "full_text", "created_at", "labels")
+
+
+@query
+def label_export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "label-lines")
+    sinks.write_json(_labelled_posts(spark, sf_dir), path)
+    return tables.read_label_set(spark, path).select("id", "full_text", "created_at", "labels")
+
+
+@query
+def member_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "members")
+    sinks.write_json(idsets.muted_members(st.members(spark, sf_dir), st.MUTED_LISTS), path)
+    return spark.read.schema("id bigint").json(path)
+
+
+@query
+def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches appended, the second one twice."""
+    path, log = shared_folder(spark, "log"), st.delivery_log(spark, sf_dir)
+    for batch_id, reason in ((0, "no_errors"), (1, "not_found"), (1, "not_found")):
+        sinks.append_batch(log.where(F.col("err_reason") == reason), path, batch_id)
+    return sinks.read_batches(spark, path, schema.DELIVERY_LOG)
+
+
+@query
+def version_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of the score table, and a third that fails its check: the second is current, the first its backup."""
+    root, scores = shared_folder(spark, "versions"), st.scores(spark, sf_dir)
+    for table in (scores.where(F.col("predicted") < 0.5), scores):
+        sinks.publish_version(table, root)
+    try:
+        sinks.publish_version(scores.withColumn("predicted", F.lit(2.0)), root, lambda t: quality.enforce(quality.run_checks(t, *quality.SCORES_SUITE)))
+    except quality.CheckFailed:
+        pass
+    current = sinks.current_version(spark, root)
+    tagged = [sinks.read_version(spark, root, schema.SCORES, v).withColumn("version", F.lit(v).cast("bigint")) for v in (current, current - 1)]
+    return tagged[0].unionByName(tagged[1])
+
+
 @query
 def reject_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idsets.overflow(st.rejected(spark, sf_dir), schema.REJECTED_DUMP_ABOVE)
@@ -127,13 +201,22 @@ def mute_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idsets.muted_word_matches(st.posts(spark, sf_dir, st.texts_of), st.MUTE_WORDS, st.MUTE_WORDS_CS)
 
 
-@query
-def mute_matches_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long-list form: every customer name and every domain label of the pages is a word."""
+def _long_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer name and every domain label of the pages."""
     names = st.members(spark, sf_dir).select(F.lower("list_name").alias("word"))
     hosts = st.table(spark, sf_dir, "pages").select(F.split_part(ux.url_domain(F.col("url")), F.lit("."), F.lit(1)).alias("word"))
-    words = names.unionByName(hosts).distinct()
-    return filters.word_matches(st.posts(spark, sf_dir, st.texts_of), "full_text", words)
+    return names.unionByName(hosts).distinct()
+
+
+@query
+def mute_matches_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long-list form, from a table of words."""
+    return filters.word_matches(st.posts(spark, sf_dir, st.texts_of), "full_text", _long_words(spark, sf_dir))
+
+
+@query
+def mute_drop_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.drop_containing(st.posts(spark, sf_dir, st.texts_of), "full_text", _long_words(spark, sf_dir)).select("id")
 
 
 @query
@@ -293,6 +376,7 @@ def label_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     negative = idsets.negative_ids(
         muted_word=idsets.muted_word_matches(posts, st.MUTE_WORDS, st.MUTE_WORDS_CS),
         muted_author=idsets.muted_author_ids(posts, muted),
+        news=idsets.news_ids(st.page_posts(spark, sf_dir), st.NEWS_DOMAINS),
         rejected=st.rejected(spark, sf_dir),
     )
     positive = idsets.positive_ids(st.own_posts(spark, sf_dir), st.likes(spark, sf_dir))
@@ -443,6 +527,18 @@ def feed_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 OWNER_AUTHOR = 17
 
 
+@query
+def deliver_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after three deliveries, of which the second ran twice; age, owner and scores apply."""
+    log = shared_folder(spark, "deliveries")
+    for batch_id in (0, 1, 1, 2):
+        feed.deliver(
+            st.posts(spark, sf_dir, st.texts_of), feed.FeedRules(remove_news=False), feed.Audience(owner=OWNER_AUTHOR), log, batch_id,
+            as_of="2024-01-03", age_days=1, size=10, scores=st.scores(spark, sf_dir),
+        )
+    return sinks.read_batches(spark, log, schema.DELIVERY_LOG)
+
+
 @query
 def top3_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.top_n(_batch(spark, sf_dir).select("id", "preds"), 3).select("preds", "position")
@@ -536,7 +632,7 @@ def news_flag_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table form: the domains of all campaign links are the news list."""
     pages = st.table(spark, sf_dir, "pages").where(F.contains("url", F.lit("utm_source")))
     campaign = pages.select(ux.url_domain(F.col("url")).alias("domain"))
-    return filters.flag_news(_pages(spark, sf_dir), campaign, column="text", key="page_id").select("page_id", "contains_news")
+    return filters.flag_news(_pages(spark, sf_dir), campaign, column="text").select("page_id", "contains_news")
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -666,6 +762,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _post_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_stream(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
+        F.regexp_extract("source", "([0-9]+)$", 1).try_cast("bigint").alias("user"),
         F.col("text").alias("full_text"),
         "lang",
         F.when(F.col("n_chars") < 400, F.col("doc_id")).alias("retweeted_status"),
@@ -690,10 +787,9 @@ def stream_ingest_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, train, _ = _learning_text(spark, sf_dir)
-    model = training.fit_pipeline(train, stop_words=st.STOP_WORDS, vectoriser="hashed", size=1 << 14)
+    """As ``score_overwrite``, post by post as they land."""
     out, checkpoint = shared_folder(spark, "scores"), shared_folder(spark, "scores-state")
-    jobs.score(_post_stream(spark, sf_dir), scoring.model_scorer(model), out, checkpoint)
+    jobs.score(_post_stream(spark, sf_dir), _byte_scorer, out, checkpoint, st.delivery_log(spark, sf_dir))
     return jobs.stored_scores(spark, out)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.text import contained_words, contains_any
 from feedloom.functions.urls import news_flag, url_domains
-from feedloom.operators.joins import keep_members, spread_join
+from feedloom.operators.joins import drop_members, fits_broadcast, keep_members, spread_join
 
 INLINE_WORDS = 200
 INLINE_DOMAINS = 500
@@ -31,68 +31,90 @@ def on_likes(posts: DataFrame, likes: int, less: bool = True) -> DataFrame:
     return posts.where(count > likes if less else count < likes)
 
 
-def drop_containing(posts: DataFrame, column: str, words: Sequence[str] | DataFrame, case_sensitive: bool = False, key: str = "id") -> DataFrame:
-    """Drop rows whose text holds any listed word as a substring; NULL text stays."""
+def drop_containing(posts: DataFrame, column: str, words: Sequence[str] | DataFrame, case_sensitive: bool = False) -> DataFrame:
+    """Drop rows whose text holds any listed word as a substring; NULL text stays.
+
+    Only the text decides: rows without an id and rows that share one are judged alike, and
+    a list gives one answer whatever its length and whether it comes as a table.
+    """
     if isinstance(words, DataFrame) or len(words) > INLINE_WORDS:
-        hits = word_matches(posts, column, words, case_sensitive, key).select(F.col(key).alias("_hit"))
-        return posts.join(hits.distinct(), F.col(key) == F.col("_hit"), "left_anti")
+        hits = _words_by_text(posts, column, _listed(posts, words), case_sensitive).select("_digest").distinct()
+        digested = posts.withColumn("_of_text", text_digest(F.col(column)))
+        return drop_members(digested, "_of_text", hits, spread_by=[column]).drop("_of_text")
     return posts.where(~contains_any(F.col(column), words, case_sensitive))
 
 
 def word_matches(posts: DataFrame, column: str, words: Sequence[str] | DataFrame, case_sensitive: bool = False, key: str = "id") -> DataFrame:
-    """One ``(key, word)`` row per listed word a text holds."""
+    """One ``(key, word)`` row for each row of ``posts`` and each listed word its text holds.
+
+    A word listed twice counts twice; rows that share a key, or have none, count each.
+    """
+    if not isinstance(words, DataFrame) and len(words) <= INLINE_WORDS:
+        hits = F.explode_outer(contained_words(F.col(column), words, case_sensitive)).alias("word")
+        return posts.select(key, hits).where(F.col("word").isNotNull())
+    found = _words_by_text(posts, column, _listed(posts, words), case_sensitive)
+    rows = posts.select(key, text_digest(F.col(column)).alias("_of_text")).where(F.col("_of_text").isNotNull())
+    met = spread_join(rows, found, {"_of_text": "_digest"}, "inner", [key])
+    return met.select(key, "word", F.explode(F.array_repeat(F.lit(1), F.col("times").cast("int"))).alias("_one")).select(key, "word")
+
+
+def text_digest(text: Column) -> Column:
+    """Stands for a text in joins, so that texts themselves are not shuffled; NULL for NULL."""
+    return F.md5(text)
+
+
+def _listed(posts: DataFrame, words: Sequence[str] | DataFrame) -> DataFrame:
     if not isinstance(words, DataFrame):
-        if len(words) <= INLINE_WORDS:
-            hits = F.explode_outer(contained_words(F.col(column), words, case_sensitive)).alias("word")
-            return posts.select(key, hits).where(F.col("word").isNotNull())
         words = posts.sparkSession.createDataFrame([(w,) for w in words], "word string")
-    return _matches_by_gram(posts, column, words.select(F.col(words.columns[0]).alias("word")).distinct(), case_sensitive, key)
+    named = words.select(F.col(words.columns[0]).alias("word")).where(F.col("word").isNotNull())
+    return named.groupBy("word").agg(F.count(F.lit(1)).alias("times"))
 
 
-def _matches_by_gram(posts: DataFrame, column: str, words: DataFrame, case_sensitive: bool, key: str) -> DataFrame:
-    """Substring matches against a long word list, as an equi-join.
+def _words_by_text(posts: DataFrame, column: str, listed: DataFrame, case_sensitive: bool) -> DataFrame:
+    """(_digest, word, times): which distinct texts hold which listed words, as an equi-join.
 
-    A word can only occur where its first three characters occur, so texts and words
-    meet on that gram and only the meetings are verified. Words of one or two characters
-    meet on themselves; an empty word is in every text.
+    A word occurs only where its first three characters do. Every position of a text gives those
+    and a tail as long as the longest word; they meet the words with that start, and the tail
+    decides on the spot. No text is shuffled, and nothing but true matches leaves the join.
+    Words of one or two characters meet on themselves; an empty word is in every text.
     """
     fold = (lambda c: c) if case_sensitive else F.lower
-    listed = words.select("word", fold(F.col("word")).alias("needle")).withColumn("gram", F.substring("needle", 1, GRAM))
-    texts = posts.select(F.col(key), fold(F.col(column)).alias("_text")).where(F.col("_text").isNotNull())
-
-    def grams_of(length: int) -> Column:
-        return F.regexp_extract_all(F.col("_text"), F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
-
-    size = listed.agg(F.count(F.lit(1)).alias("words"), F.min(F.length("needle")).alias("shortest")).first()
-    if not size["words"]:
-        return texts.select(key, F.lit("").alias("word")).where(F.lit(False))
+    needles = listed.select("word", "times", fold(F.col("word")).alias("needle")).withColumn("gram", F.substring("needle", 1, GRAM))
+    texts = posts.select(text_digest(F.col(column)).alias("_digest"), fold(F.col(column)).alias("_text")).where(F.col("_text").isNotNull())
+    size = needles.agg(F.min(F.length("needle")).alias("shortest"), F.max(F.length("needle")).alias("longest")).first()
+    if size["longest"] is None:
+        return texts.select("_digest", F.lit("").alias("word"), F.lit(0).cast("bigint").alias("times")).where(F.lit(False))
+    tails = F.regexp_extract_all(F.col("_text"), F.lit(f"(?s)(?=(.{{1,{max(1, size['longest'])}}}))"), F.lit(1))
+    tails = F.array_distinct(F.concat(tails, F.array(F.lit("")))) if size["shortest"] == 0 else F.array_distinct(tails)
+    located = texts.select("_digest", F.explode_outer(tails).alias("_tail")).where(F.col("_tail").isNotNull())
     lengths = range(min(GRAM, size["shortest"]), GRAM + 1)
-    every = F.array_distinct(F.concat(*[F.array(F.lit("")) if n == 0 else grams_of(n) for n in lengths]))
-    located = texts.select(key, F.explode_outer(every).alias("_gram"))
-    if size["words"] <= BROADCAST_WORDS:
-        met = located.join(F.broadcast(listed), F.col("_gram") == F.col("gram"))
+    grams = F.array_distinct(F.array(*[F.substring("_tail", 1, n) if n else F.lit("") for n in lengths]))
+    located = located.select("_digest", "_tail", F.explode(grams).alias("_gram"))
+    if fits_broadcast(needles, BROADCAST_WORDS):
+        met = located.join(F.broadcast(needles), (F.col("_gram") == F.col("gram")) & F.startswith("_tail", "needle"))
     else:
-        met = spread_join(located, listed, {"_gram": "gram"}, "inner", [key])
-    candidates = met.select(F.col(key).alias("_id"), "word", "needle")
-    return (
-        texts.join(candidates, F.col(key) == F.col("_id"))
-        .where(F.contains("_text", "needle"))
-        .select(key, "word")
-    )
+        met = spread_join(located, needles, {"_gram": "gram"}, "inner", ["_digest", "_tail"]).where(F.startswith("_tail", "needle"))
+    return met.select("_digest", "word", "times").distinct()
 
 
-def flag_news(posts: DataFrame, news_domains: Sequence[str] | DataFrame, column: str = "full_text", key: str = "id") -> DataFrame:
+def flag_news(posts: DataFrame, news_domains: Sequence[str] | DataFrame, column: str = "full_text") -> DataFrame:
     """Add ``contains_news`` (0 or 1).
 
-    A short list is tested in place. A long one, or a table, meets the posts' domains in
-    a join of narrow rows; only then must ``key`` be unique.
+    A short list is tested in place. A long one, or a table, meets the domains of each
+    text in a join of narrow rows, and the answer comes back by a digest of the text, so rows
+    without an id and rows that share one are judged by their own text.
     """
     if not isinstance(news_domains, DataFrame) and len(news_domains) <= INLINE_DOMAINS:
         return posts.withColumn("contains_news", news_flag(F.col(column), news_domains))
-    links = posts.select(key, F.explode_outer(url_domains(F.col(column))).alias("_domain")).where(F.col("_domain").isNotNull())
-    hits = keep_members(links, "_domain", news_domains, spread_by=[key]).select(F.col(key).alias("_news")).distinct()
-    flagged = posts.join(hits, F.col(key) == F.col("_news"), "left")
-    return flagged.withColumn("contains_news", F.col("_news").isNotNull().cast("int")).drop("_news")
+    links = posts.select(text_digest(F.col(column)).alias("_digest"), F.explode_outer(url_domains(F.col(column))).alias("_domain"))
+    links = links.where(F.col("_domain").isNotNull()).distinct()
+    hits = keep_members(links, "_domain", news_domains, spread_by=["_digest"]).select(F.col("_digest").alias("_news")).distinct()
+    digested = posts.withColumn("_of_text", text_digest(F.col(column)))
+    if fits_broadcast(hits):
+        flagged = digested.join(F.broadcast(hits), F.col("_of_text") == F.col("_news"), "left")
+    else:
+        flagged = spread_join(digested, hits, {"_of_text": "_news"}, "left", [column])
+    return flagged.withColumn("contains_news", F.col("_news").isNotNull().cast("int")).drop("_news", "_of_text")
 
 
 def filter_news(posts: DataFrame, news_domains: Sequence[str] | DataFrame, remove_news: bool = True) -> DataFrame:

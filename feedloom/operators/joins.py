@@ -1,6 +1,6 @@
 """Joins that hold when one key carries a large share of the rows.
 
-Sides are broadcast only after a count. Past the limit, rows of hot keys are cut into
+Sides are broadcast only after a bounded count of rows and bytes. Past the limit, rows of hot keys are cut into
 pieces: the large side picks one piece per row, the other side repeats the hot rows once
 per piece. Nothing is dropped, and no task receives a whole hot key.
 """
@@ -15,13 +15,17 @@ from pyspark.sql import functions as F
 
 INLINE_VALUES = 1_000
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 ROWS_PER_PIECE = 1_000_000
 HOT_KEYS = 20_000
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Count before broadcasting. Used on narrow tables, so rows bound bytes too."""
-    return df.count() <= limit
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is small enough to broadcast; reads no more than ``limit + 1`` of its rows."""
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.typeName() == "string"]
+    width = reduce(Column.__add__, strings, F.lit(16 * len(df.columns)))
+    size = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes")).first()
+    return size["rows"] <= limit and size["bytes"] <= most_bytes
 
 
 def key_load(df: DataFrame, *keys: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.joins import drop_members, has_duplicates, keep_last, spread_join
@@ -43,50 +43,39 @@ def add_scores(posts: DataFrame, scores: DataFrame, on_duplicate: str = "dedup")
 
 
 def upsert_scores(current: DataFrame, fresh: DataFrame) -> DataFrame:
-    """The score table after an append: fresh rows win over stored ones."""
-    both = current.select("id", "predicted", F.lit(0).alias("seq")).unionByName(
-        fresh.select("id", "predicted", F.lit(1).alias("seq"))
+    """The score table after an append: fresh rows win over stored ones.
+
+    Of several rows of one id on the same side the greatest score stays.
+    """
+    both = current.select("id", "predicted", F.lit(0).alias("side")).unionByName(
+        fresh.select("id", "predicted", F.lit(1).alias("side"))
     )
-    return keep_last(both, ["id"], "seq").drop("seq")
+    return both.groupBy("id").agg(F.max_by("predicted", F.struct("side", "predicted")).alias("predicted"))
 
 
 def with_thread_text(posts: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """Append the replied-to and the quoted post's text; both separators always appear.
 
-    Texts are looked up among ``posts`` or a wider ``lookup``. Posts that link nowhere
-    are finished where they are read. The others join through narrow link rows, against
-    only the texts they link to; a target that many posts link to is cut into pieces.
-    Duplicate ids resolve to the latest text.
+    Texts are looked up among ``posts`` or a wider ``lookup``, by link target: posts
+    without an id get their thread, and posts that share an id each get their own. A NULL
+    text counts as empty. Posts that link nowhere are finished where they are read. The
+    others meet only the texts they link to; a target that many posts link to is cut into
+    pieces. Of repeated target ids the latest text counts, of equally late ones the greatest.
     """
     lookup = posts if lookup is None else lookup
-    linking = F.col("in_reply_to_status_id").isNotNull() | F.col("quoted_status").isNotNull()
+    reply, quote = F.col("in_reply_to_status_id"), F.col("quoted_status")
+    linking = reply.isNotNull() | quote.isNotNull()
     linked_posts = posts.where(linking)
-    links = linked_posts.select(
-        "id",
-        F.explode(
-            F.array(
-                F.struct(F.lit("reply").alias("kind"), F.col("in_reply_to_status_id").alias("target")),
-                F.struct(F.lit("quote").alias("kind"), F.col("quoted_status").alias("target")),
-            )
-        ).alias("link"),
-    ).select("id", "link.kind", "link.target").where(F.col("target").isNotNull())
-    wanted = links.select(F.col("target").alias("_wanted")).distinct()
-    candidates = lookup.select("id", "full_text", "created_at").join(wanted, F.col("id") == F.col("_wanted"), "left_semi")
-    texts = candidates.groupBy(F.col("id").alias("_target")).agg(
-        F.max_by("full_text", F.coalesce(F.col("created_at"), F.lit("0001-01-01").cast("timestamp_ntz"))).alias("linked_text")
-    )
-    found = (
-        spread_join(links, texts, {"target": "_target"}, "inner", ["id", "kind"])
-        .groupBy(F.col("id").alias("_linking"))
-        .agg(_text_of("reply").alias("reply_text"), _text_of("quote").alias("quote_text"))
-    )
-    joined = linked_posts.join(found, F.col("id") == F.col("_linking"), "left")
-    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("reply_text", "quote_text")]
-    full = F.concat(F.col("full_text"), F.lit(" "), parts[0], F.lit(" "), parts[1])
-    threaded = joined.withColumn("full_text", full).select(*posts.columns)
-    alone = posts.where(~linking).withColumn("full_text", F.concat(F.col("full_text"), F.lit("  ")))
+    targets = linked_posts.select(F.explode(F.array(reply, quote)).alias("target")).where(F.col("target").isNotNull())
+    load = targets.groupBy("target").agg(F.count(F.lit(1)).alias("load"))
+    candidates = lookup.select("id", "full_text", "created_at").join(load.select(F.col("target").alias("_wanted")), F.col("id") == F.col("_wanted"), "left_semi")
+    written = F.coalesce(F.col("created_at"), F.lit("0001-01-01").cast("timestamp_ntz"))
+    texts = candidates.groupBy(F.col("id").alias("_target")).agg(F.max_by("full_text", F.struct(written, "full_text")).alias("_linked"))
+    threaded = linked_posts
+    for column, name in (("in_reply_to_status_id", "_reply"), ("quoted_status", "_quote")):
+        of_kind = texts.select(F.col("_target").alias(f"{name}_target"), F.col("_linked").alias(name))
+        threaded = spread_join(threaded, of_kind, {column: f"{name}_target"}, "left", ["id", "full_text"], load.withColumnRenamed("target", column)).drop(f"{name}_target")
+    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("full_text", "_reply", "_quote")]
+    threaded = threaded.withColumn("full_text", F.concat_ws(" ", *parts)).select(*posts.columns)
+    alone = posts.where(~linking).withColumn("full_text", F.concat(F.coalesce(F.col("full_text"), F.lit("")), F.lit("  ")))
     return alone.unionByName(threaded)
-
-
-def _text_of(kind: str) -> Column:
-    return F.max(F.when(F.col("kind") == kind, F.col("linked_text")))

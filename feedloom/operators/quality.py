@@ -63,12 +63,15 @@ def run_checks(df: DataFrame, *checks: Check) -> DataFrame:
     """``check, column, success, unexpected`` for every check, from one pass.
 
     A uniqueness check groups by its column first; counts and range violations ride
-    along on that grouping, so the table is read once.
+    along on that grouping, so the table is read once. A check of a column that is not
+    there fails: every row is unexpected, and at least one is reported.
     """
-    unique = [c for c in checks if isinstance(c, Unique)]
+    there = lambda c: c.column in df.columns
+    unique = [c for c in checks if isinstance(c, Unique) and there(c)]
     if len(unique) > 1:
         raise ValueError("one uniqueness check per pass")
-    ranges = [c for c in checks if isinstance(c, Between)]
+    ranges = [c for c in checks if isinstance(c, Between) and there(c)]
+    missing = F.greatest(F.col("_rows"), F.lit(1))
     measures = [F.count(F.lit(1)).alias("_rows")] + [
         F.count_if(~F.col(c.column).between(c.low, c.high)).alias(f"_out{i}") for i, c in enumerate(ranges)
     ]
@@ -87,9 +90,9 @@ def run_checks(df: DataFrame, *checks: Check) -> DataFrame:
                 outside = F.when(F.col("_rows").between(low, high), 0).otherwise(1)
                 rows.append(_result("row_count_between", "*", outside))
             case Between(column):
-                rows.append(_result("values_between", column, F.col(f"_out{ranges.index(check)}")))
+                rows.append(_result("values_between", column, F.col(f"_out{ranges.index(check)}") if there(check) else missing))
             case Unique(column):
-                rows.append(_result("values_unique", column, F.col("_repeated")))
+                rows.append(_result("values_unique", column, F.col("_repeated") if there(check) else missing))
             case HasColumn(column):
                 rows.append(_result("column_exists", column, F.lit(0 if column in df.columns else 1)))
     return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

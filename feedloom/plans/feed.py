@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom import schema
 from feedloom.operators import filters, lookups, ranking
 from feedloom.operators.counts import frequencies
 from feedloom.operators.joins import drop_members, keep_members
-from feedloom.sources.sinks import append_batch
+from feedloom.schema import REJECTED_DUMP_ABOVE
+from feedloom.sources.sinks import append_batch, dump_rejected, read_batches
 from feedloom.sources.tables import posts_by_age
 
 Members = DataFrame | Sequence[int]
@@ -99,14 +102,27 @@ def deliver(
     size: int = 30,
     delivery_log: DataFrame | None = None,
     scores: DataFrame | None = None,
+    rejected: DataFrame | None = None,
+    dump_folder: str | None = None,
+    dump_limit: int = REJECTED_DUMP_ABOVE,
 ) -> DataFrame:
     """Write the next batch to the delivery log and return its outcome counts.
 
-    The batch is its own directory of the log, so running a batch id again replaces it.
+    The batch is its own directory of the log. What counts as delivered is read here: the
+    batches with smaller ids, and ``delivery_log`` where another log counts too. So a batch
+    that runs again gets the same posts. A batch without posts raises and writes nothing. Once
+    the rejected ids exceed ``dump_limit`` they are exported to ``dump_folder``, if that is named.
     """
+    spark = posts.sparkSession
+    seen = read_batches(spark, log_path, schema.DELIVERY_LOG).where(F.col("batch_id") < batch_id).select("post_id")
+    if delivery_log is not None:
+        seen = seen.unionByName(delivery_log.select("post_id"))
     aged = posts_by_age(posts, as_of, age_days, latest)
-    batch = ranking.top_n(feed_batch(from_audience(aged, audience), rules, delivery_log, scores), size)
-    delivered = batch.select(F.col("id").alias("post_id"), F.lit("no_errors").alias("err_reason"))
-    append_batch(delivered, log_path, batch_id)
-    written = posts.sparkSession.read.parquet(f"{log_path}/batch_id={batch_id}")
+    batch = ranking.top_n(feed_batch(from_audience(aged, audience), rules, seen, scores), size)
+    delivered = batch.select(F.col("id").alias("post_id"), F.lit("no_errors").alias("err_reason")).persist()
+    append_batch(filters.raise_if_empty(delivered), log_path, batch_id)
+    delivered.unpersist()
+    if rejected is not None and dump_folder is not None:
+        dump_rejected(rejected, dump_folder, datetime.now(timezone.utc), dump_limit)
+    written = spark.read.schema(schema.DELIVERY_LOG).parquet(f"{log_path}/batch_id={batch_id}")
     return frequencies(written, "err_reason")

@@ -24,9 +24,7 @@ def label_set(posts: DataFrame, positive: DataFrame, negative: DataFrame, lang:
 def publish_label_set(labelled: DataFrame, root: str, suite: tuple[Check, ...] = LABEL_SET_SUITE) -> DataFrame:
     """Write the next version, check what was written, and return its fingerprint.
 
-    A failed check stops the job; the version before it is still there.
+    A failed check stops the job, and the version before stays current.
     """
-    version = publish_version(labelled.select(*schema.LABEL_SET.names), root)
-    written = read_version(labelled.sparkSession, root, schema.LABEL_SET, version)
-    enforce(run_checks(written, *suite))
-    return fingerprint(written)
+    version = publish_version(labelled.select(*schema.LABEL_SET.names), root, lambda written: enforce(run_checks(written, *suite)))
+    return fingerprint(read_version(labelled.sparkSession, root, schema.LABEL_SET, version))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from feedloom import schema
 from feedloom.functions.text import clean_text
-from feedloom.operators.joins import keep_last
 from feedloom.operators.lookups import unscored, upsert_scores
 from feedloom.operators.metrics import best_run
 from feedloom.operators.quality import SCORES_SUITE, enforce, run_checks
@@ -33,30 +32,36 @@ def best_scorer(runs: DataFrame, experiment: str | None = None) -> Scorer:
     return model_scorer(PipelineModel.load(chosen["model_path"]))
 
 
+def scorable(posts: DataFrame, delivery_log: DataFrame | None, lang: str = "en") -> DataFrame:
+    """Posts that a scoring run takes, in batch and in streaming alike.
+
+    News stays in and mute lists do not apply; reposts, other languages and delivered posts are left out.
+    """
+    return feed_batch(posts, FeedRules(lang=lang, remove_news=False), delivery_log)
+
+
 def score_posts(posts: DataFrame, scorer: Scorer, scores: DataFrame, delivery_log: DataFrame | None, mode: str = "append") -> DataFrame:
     """The next score table: fresh scores over stored ones, or fresh scores alone.
 
-    ``append`` scores only posts without a score; ``overwrite`` scores the whole batch.
-    News stays in and mute lists do not apply; delivered posts and reposts are left out.
+    ``append`` scores only posts without a score; ``overwrite`` scores the whole batch. An
+    id that is scored twice in one run keeps its greatest score.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
-    batch = feed_batch(posts, FeedRules(remove_news=False), delivery_log)
+    batch = scorable(posts, delivery_log)
     if mode == "append":
         return upsert_scores(scores, scorer(unscored(batch, scores)))
-    fresh = scorer(batch).withColumn("seq", F.lit(0))
-    return keep_last(fresh, ["id"], "seq").drop("seq")
+    return scorer(batch).groupBy("id").agg(F.max("predicted").alias("predicted"))
 
 
 def update_score_table(spark: SparkSession, root: str, posts: DataFrame, scorer: Scorer, delivery_log: DataFrame | None, mode: str = "append") -> int | None:
-    """Publish the next version of the score table and check it.
+    """Publish the next version of the score table once it passes its checks.
 
-    Nothing to score publishes nothing.
+    Nothing to score publishes nothing; a failed check leaves the version before current.
     """
     stored = read_version(spark, root, schema.SCORES)
-    batch = feed_batch(posts, FeedRules(remove_news=False), delivery_log)
+    batch = scorable(posts, delivery_log)
     if (unscored(batch, stored) if mode == "append" else batch).isEmpty():
         return None
-    version = publish_version(score_posts(posts, scorer, stored, delivery_log, mode), root)
-    enforce(run_checks(read_version(spark, root, schema.SCORES, version), *SCORES_SUITE))
-    return version
+    fresh = score_posts(posts, scorer, stored, delivery_log, mode)
+    return publish_version(fresh, root, lambda written: enforce(run_checks(written, *SCORES_SUITE)))

@@ -1,12 +1,14 @@
 """Writers: append by batch, publish by version, fingerprint.
 
 A batch is a directory written in overwrite mode, so a retried batch replaces itself. A
-version is a new directory made current by a pointer file, so readers never see a
-half-written table and the previous version stays as the backup.
+version is a new directory, checked before a pointer file is renamed over to make it current, so
+readers never see a half-written or a failed table and the previous version stays as the backup.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,19 +40,35 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return int(spark.read.text(pointer).first()["value"])
 
 
-def publish_version(df: DataFrame, root: str) -> int:
-    """Write the next version, then point to it. One writer at a time."""
+def publish_version(df: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None) -> int:
+    """Write the next version, check what was written, then point to it. One writer at a time.
+
+    ``check`` gets the written table and raises where it must not become current; the
+    pointer then stays where it was.
+    """
     spark = df.sparkSession
     version = (current_version(spark, root) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    jvm = spark._jvm
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    stream = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).create(pointer, True)
-    stream.write(bytearray(str(version).encode()))
-    stream.close()
+    path = f"{root}/version={version}"
+    df.write.mode("overwrite").parquet(path)
+    if check is not None:
+        check(spark.read.schema(df.schema).parquet(path))
+    _replace_text(spark, f"{root}/{POINTER}", str(version))
     return version
 
 
+def _replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write beside the file and rename over it, so that a reader finds the old text or the new one."""
+    fs, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target, fresh = fs.Path(path), fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fresh.getFileSystem(conf).create(fresh, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    overwrite = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(fs, "Options$Rename").OVERWRITE
+    qualified = target.getFileSystem(conf).makeQualified(target)
+    fs.FileContext.getFileContext(qualified.toUri(), conf).rename(fresh, target, overwrite)
+
+
 def read_version(spark: SparkSession, root: str, columns: StructType, version: int | None = None) -> DataFrame:
     """The current version, or a named one (the backup is the one before)."""
     version = version or current_version(spark, root)
@@ -59,9 +77,19 @@ def read_version(spark: SparkSession, root: str, columns: StructType, version: i
     return spark.read.schema(columns).parquet(f"{root}/version={version}")
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """Export as JSON records (label sets, member dumps, rejected ids)."""
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, layout: str = "lines") -> None:
+    """Export as JSON records (label sets, member dumps, rejected ids).
+
+    ``lines`` writes one record a line, in as many files as there are tasks. ``array`` writes
+    one JSON array, as other tools expect of a small export; it passes through one task.
+    """
+    if layout == "lines":
+        df.write.mode("overwrite").json(path)
+    elif layout == "array":
+        records = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("r"))
+        records.agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value")).write.mode("overwrite").text(path)
+    else:
+        raise ValueError(f"layout must be 'lines' or 'array', not {layout!r}")
 
 
 def dump_rejected(rejected: DataFrame, folder: str, at: datetime, limit: int = REJECTED_DUMP_ABOVE) -> str | None:

@@ -69,6 +69,8 @@ def read_string_list(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(F.from_json("value", "array<string>")).alias("word"))
 
 
-def read_label_set(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of labelled posts."""
-    return spark.read.schema(schema.LABEL_SET).json(path, multiLine=True)
+def read_label_set(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """Labelled posts in either layout of ``write_json``; an array may be spread over lines."""
+    if layout not in ("lines", "array"):
+        raise ValueError(f"layout must be 'lines' or 'array', not {layout!r}")
+    return spark.read.schema(schema.LABEL_SET).json(path, multiLine=layout == "array")

@@ -15,7 +15,7 @@ from feedloom import schema
 from feedloom.operators.filters import in_language, no_reposts
 from feedloom.operators.joins import drop_members, keep_last
 from feedloom.operators.lookups import drop_seen
-from feedloom.plans.scoring import Scorer
+from feedloom.plans.scoring import Scorer, scorable
 from feedloom.sources.sinks import append_batch, read_batches
 
 
@@ -43,11 +43,16 @@ def _earlier(spark: SparkSession, path: str, columns: StructType, batch_id: int)
     return read_batches(spark, path, columns).where(F.col("batch_id") < batch_id)
 
 
+def _once(batch: DataFrame, key: str) -> DataFrame:
+    """One row per key; rows without a key are all kept, here as against earlier batches."""
+    return batch.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(batch.where(F.col(key).isNull()))
+
+
 def ingest(stream: DataFrame, key: str, path: str, checkpoint: str, event_time: str | None = None) -> StreamingQuery:
     """Append rows whose key has not landed before, however late they arrive.
 
     Keys are compared with the stored table, not with bounded state, so no late row is
-    lost and no old one returns. Where a row's ``event_time`` never changes, naming it
+    lost and no old one returns. Rows without a key cannot repeat one, so all are kept. Where a row's ``event_time`` never changes, naming it
     limits the look back to the span of the batch.
     """
     columns = stream.schema
@@ -58,7 +63,7 @@ def ingest(stream: DataFrame, key: str, path: str, checkpoint: str, event_time:
             span = batch.agg(F.min(event_time).alias("low"), F.max(event_time).alias("high")).first()
             untimed = F.col(event_time).isNull()
             stored = stored.where(F.col(event_time).between(F.lit(span["low"]), F.lit(span["high"])) | untimed)
-        fresh = drop_members(batch.dropDuplicates([key]), key, stored.select(key), spread_by=[key])
+        fresh = drop_members(_once(batch, key), key, stored.select(key), spread_by=[key])
         append_batch(fresh, path, batch_id)
 
     return run_available(stream, work, checkpoint)
@@ -81,12 +86,15 @@ def ingest_within(stream: DataFrame, key: str, event_time: str, delay: str, path
     return query
 
 
-def score(stream: DataFrame, scorer: Scorer, path: str, checkpoint: str) -> StreamingQuery:
-    """Score posts that have no score yet and append the scores."""
+def score(stream: DataFrame, scorer: Scorer, path: str, checkpoint: str, static_log: DataFrame | None = None, lang: str = "en") -> StreamingQuery:
+    """Score eligible posts that have no score yet and append the scores.
+
+    Eligible are those a batch run would score: no reposts, one language, not delivered.
+    """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        stored = _earlier(batch.sparkSession, path, schema.SCORES, batch_id).select("id")
-        fresh = drop_members(batch.dropDuplicates(["id"]), "id", stored)
+        known = _earlier(batch.sparkSession, path, schema.SCORES, batch_id).select("id")
+        fresh = drop_members(_once(scorable(batch, static_log, lang), "id"), "id", known)
         append_batch(scorer(fresh).select("id", "predicted"), path, batch_id)
 
     return run_available(stream, work, checkpoint)

@@ -1,6 +1,7 @@
 """Sinks, training, scoring and streaming, end to end on small tables."""
 
 import math
+import os
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from feedloom import schema
-from feedloom.operators import quality
+from feedloom.operators import lookups, quality
 from feedloom.plans import feed, labelling, scoring, training
 from feedloom.sources import sinks, tables
 from feedloom.streaming import jobs
@@ -29,13 +30,16 @@ def test_text_sources(spark, tmp_path):
     assert tables.read_scores(spark, str(tmp_path / "scores.csv"), "csv").first()["predicted"] == 0.12
 
 
-def test_label_set_round_trip(spark, tmp_path):
-    posts = make_posts(spark, [(1354836528627904515, 1, "a")]).withColumn("labels", F.lit(1.0))
-    sinks.write_json(posts, f"{tmp_path}/set")
-    back = spark.read.schema(schema.LABEL_SET).json(f"{tmp_path}/set").first()
-    assert back["id"] == 1354836528627904515 and back["labels"] == 1.0
-    (tmp_path / "array.json").write_text('[{"id": 1, "full_text": "a", "labels": 0.0}, {"id": 2, "labels": 1.0}]')
-    assert ids(tables.read_label_set(spark, str(tmp_path / "array.json"))) == [1, 2]
+@pytest.mark.parametrize("layout", ["lines", "array"])
+def test_label_set_round_trip(spark, tmp_path, layout):
+    posts = make_posts(spark, [(1354836528627904515 + i, 1, t) for i, t in enumerate(["a", None, 'q"\n', "d", "e", "f"])])
+    labelled = posts.withColumn("labels", F.lit(1.0)).repartition(3)
+    sinks.write_json(labelled, f"{tmp_path}/set", layout)
+    back = tables.read_label_set(spark, f"{tmp_path}/set", layout)
+    order = lambda df: sorted(map(tuple, df.select(*schema.LABEL_SET.names).collect()))
+    assert [r[0] for r in order(back)] == [1354836528627904515 + i for i in range(6)] and order(back) == order(labelled)
+    (tmp_path / "array.json").write_text('[{"id": 1, "full_text": "a", "labels": 0.0},\n {"id": 2, "labels": 1.0}]')
+    assert ids(tables.read_label_set(spark, str(tmp_path / "array.json"), "array")) == [1, 2]
 
 
 def test_posts_reader_prunes_and_pushes(spark, tmp_path):
@@ -63,11 +67,31 @@ def test_rejected_dump_waits_for_its_limit(spark, tmp_path):
     assert path.endswith("2024_01_02_0304_not_relevant_list") and spark.read.json(path).count() == 3
 
 
-def test_label_set_is_checked_when_published(spark, tmp_path):
-    posts = make_posts(spark, [(1, 1, "a")]).withColumn("labels", F.lit(1.0))
-    assert labelling.publish_label_set(posts, f"{tmp_path}/set", (quality.RowCount(1, 2),)).first()["rows"] == 1
+def test_a_failed_check_leaves_the_version_before_current(spark, tmp_path):
+    posts, root = make_posts(spark, [(1, 1, "a")]).withColumn("labels", F.lit(1.0)), f"{tmp_path}/set"
+    assert labelling.publish_label_set(posts, root, (quality.RowCount(1, 2),)).first()["rows"] == 1
     with pytest.raises(quality.CheckFailed):
-        labelling.publish_label_set(posts, f"{tmp_path}/set")
+        labelling.publish_label_set(posts.union(posts), root)
+    assert sinks.current_version(spark, root) == 1 and sinks.read_version(spark, root, schema.LABEL_SET).count() == 1
+    scores = f"{tmp_path}/scores"
+    english = make_posts(spark, [(1, 1, "a"), (2, 1, "b")])
+    good = lambda p: p.select("id", F.lit(0.5).alias("predicted"))
+    bad = lambda p: p.select("id", F.lit(7.0).alias("predicted"))
+    assert scoring.update_score_table(spark, scores, english, good, None) == 1
+    with pytest.raises(quality.CheckFailed):
+        scoring.update_score_table(spark, scores, english, bad, None, mode="overwrite")
+    assert sinks.current_version(spark, scores) == 1
+    assert not [f for f in os.listdir(scores) if f.startswith("CURRENT.")]
+
+
+def test_a_suite_reports_columns_that_are_not_there(spark):
+    table = spark.createDataFrame([(1,), (1,)], "id bigint")
+    found = {(r["check"], r["column"]): (r["success"], r["unexpected"]) for r in quality.run_checks(table, *quality.SCORES_SUITE).collect()}
+    assert found == {
+        ("values_between", "predicted"): (False, 2), ("values_unique", "id"): (False, 2), ("column_exists", "id"): (True, 0), ("column_exists", "predicted"): (False, 1),
+    }
+    empty = quality.run_checks(table.limit(0).select(F.col("id").alias("x")), *quality.SCORES_SUITE)
+    assert empty.where("success").count() == 0
 
 
 def test_fingerprint_ignores_order_and_sees_change(spark):
@@ -79,17 +103,54 @@ def test_fingerprint_ignores_order_and_sees_change(spark):
     assert sinks.fingerprint(df.limit(0)).first()["rows"] == 0
 
 
-def test_deliver_appends_and_replays(spark, tmp_path):
-    posts = make_posts(spark, [(i, i, "t") for i in range(5)])
-    log = f"{tmp_path}/log"
-    run = lambda batch, seen=None: feed.deliver(
-        posts, feed.FeedRules(), feed.Audience(owner=0), log, batch, as_of="2024-03-01", size=2, delivery_log=seen
+def test_deliver_appends_and_replays_on_the_live_log(spark, tmp_path):
+    posts, log = make_posts(spark, [(i, i, "t") for i in range(8)]), f"{tmp_path}/log"
+    rejected = spark.range(3)
+    run = lambda batch, **more: feed.deliver(
+        posts, feed.FeedRules(), feed.Audience(owner=0), log, batch, as_of="2024-03-01", size=2, **more
     ).collect()
+    held = lambda: {(r["batch_id"], r["post_id"]) for r in sinks.read_batches(spark, log, schema.DELIVERY_LOG).collect()}
     assert [tuple(r) for r in run(0)] == [("no_errors", 2)]
-    seen = spark.createDataFrame(sinks.read_batches(spark, log, schema.DELIVERY_LOG).select("post_id").collect(), "post_id bigint")
-    run(1, seen)
-    run(1, seen)
-    assert ids(sinks.read_batches(spark, log, schema.DELIVERY_LOG), "post_id") == [1, 2, 3, 4]
+    run(1)
+    first = held()
+    run(1, rejected=rejected, dump_folder=f"{tmp_path}/dumps", dump_limit=2)
+    assert held() == first and {p for _, p in first} == {1, 2, 3, 4}
+    assert len(os.listdir(f"{tmp_path}/dumps")) == 1
+    run(2)
+    run(3, delivery_log=spark.createDataFrame([(7, "no_errors")], schema.DELIVERY_LOG).limit(0))
+    with pytest.raises(ValueError):
+        run(4)
+    assert {p for _, p in held()} == set(range(1, 8)) and max(b for b, _ in held()) == 3
+
+
+def test_scoring_a_stream_takes_what_a_batch_takes(spark, tmp_path):
+    rows = [(1, 1, "a"), (2, 1, "b", {"lang": "de"}), (3, 1, "c", {"retweeted_status": 9}), (4, 1, "d"), (5, 1, "e"), (5, 1, "e")]
+    posts = make_posts(spark, rows)
+    log = spark.createDataFrame([(4, "no_errors")], schema.DELIVERY_LOG)
+    scorer = lambda p: p.select("id", (F.col("id") / 10).alias("predicted"))
+    for k, name in ((1, "one"), (3, "three")):
+        landed, out = f"{tmp_path}/{name}", f"{tmp_path}/{name}-scores"
+        posts.repartition(k).write.parquet(landed)
+        jobs.score(jobs.file_stream(spark, landed, posts.schema, 1), scorer, out, f"{tmp_path}/{name}-state", log)
+        batch = scoring.score_posts(posts, scorer, spark.createDataFrame([], schema.SCORES), log, "overwrite")
+        assert sorted(map(tuple, jobs.stored_scores(spark, out).collect())) == sorted(map(tuple, batch.collect())) == [(1, 0.1), (5, 0.5)]
+
+
+def test_ingest_keeps_rows_without_a_key(spark, tmp_path):
+    columns = "id bigint, t string"
+    for k, rows in enumerate([[(1, "a"), (1, "a"), (None, "x"), (None, "y")], [(1, "b"), (None, "z"), (2, "c")]]):
+        spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], columns).schema, 1)
+    jobs.ingest(stream, "id", f"{tmp_path}/out", f"{tmp_path}/state")
+    found = [(r["id"], r["t"]) for r in sinks.read_batches(spark, f"{tmp_path}/out", stream.schema).collect()]
+    assert sorted(t for i, t in found if i is None) == ["x", "y", "z"] and sorted(i for i, _ in found if i) == [1, 2]
+
+
+def test_of_equal_claims_the_greatest_score_stays(spark):
+    score = lambda *rows: spark.createDataFrame(rows, schema.SCORES)
+    for fresh in ([(1, 0.1), (1, 0.9)], [(1, 0.9), (1, 0.1)]):
+        merged = lookups.upsert_scores(score((1, 1.0), (2, 0.3)), score(*fresh))
+        assert sorted(map(tuple, merged.collect())) == [(1, 0.9), (2, 0.3)]
 
 
 @pytest.fixture(scope="module")

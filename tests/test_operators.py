@@ -82,6 +82,46 @@ def test_long_word_lists_equal_brute_force(spark):
     assert filters.word_matches(posts, "full_text", table.limit(0)).count() == 0
 
 
+def test_filters_answer_alike_at_every_list_size(spark):
+    posts = make_posts(spark, [(None, 1, "has covid"), (None, 1, "clean"), (1, 1, "has COVID"), (1, 1, "clean"), (2, 1, "clean"), (3, 1, None), (4, 1, "covid covid")])
+    rows = lambda df: Counter((r["id"], r["full_text"]) for r in df.collect())
+    kept, found, flags = None, None, None
+    news = posts.withColumn("full_text", F.when(F.contains("full_text", F.lit("ovi")) | F.contains("full_text", F.lit("OVI")), F.lit("http://cnn.com/x")).otherwise(F.col("full_text")))
+    for size in (1, 200, 201, 500, 501, 1_500):
+        words = ["covid", "covid", *[f"zz{i}" for i in range(size - 1)]]
+        domains = ["cnn.com", *[f"d{i}.org" for i in range(size - 1)]]
+        for as_table in (False, True):
+            w = spark.createDataFrame([(x,) for x in words], "word string") if as_table else words
+            d = spark.createDataFrame([(x,) for x in domains], "domain string") if as_table else domains
+            now_kept = rows(filters.drop_containing(posts, "full_text", w))
+            now_found = Counter((r["id"], r["word"]) for r in filters.word_matches(posts, "full_text", w).collect())
+            now_flags = Counter((r["id"], r["full_text"], r["contains_news"]) for r in filters.flag_news(news, d).collect())
+            kept, found, flags = kept or now_kept, found or now_found, flags or now_flags
+            assert now_kept == kept and now_found == found and now_flags == flags, (size, as_table)
+    assert kept == Counter({(None, "clean"): 1, (1, "clean"): 1, (2, "clean"): 1, (3, None): 1})
+    assert found == Counter({(None, "covid"): 2, (1, "covid"): 2, (4, "covid"): 2})
+    assert sum(n for (_, _, f), n in flags.items() if f == 1) == 3
+
+
+def test_threads_follow_links_not_ids(spark):
+    posts = make_posts(spark, [
+        (1, 1, "one"), (2, 1, "two"), (7, 1, "late"), (7, 1, "later"),
+        (5, 1, "five", {"in_reply_to_status_id": 1}), (5, 1, "fifth", {"in_reply_to_status_id": 2}),
+        (None, 1, "none", {"quoted_status": 1}), (6, 1, None, {"in_reply_to_status_id": 1, "quoted_status": 7}), (8, 1, None),
+        (9, 1, "lost", {"in_reply_to_status_id": 404}),
+    ])
+    found = sorted(((r["id"] or 0, r["full_text"]) for r in lookups.with_thread_text(posts).collect()))
+    assert found == sorted([
+        (1, "one  "), (2, "two  "), (7, "late  "), (7, "later  "), (5, "five one "), (5, "fifth two "), (0, "none  one"), (6, " one later"), (8, "  "), (9, "lost  "),
+    ])
+
+
+def test_a_document_of_two_classes_is_one_in_each(spark):
+    docs = spark.createDataFrame([(1, 0, ["a"]), (1, 1, ["a"]), (2, 1, ["b", "b"])], "id int, label int, terms array<string>")
+    found = {(r["label"], r["term"]): r["value"] for r in terms.class_tfidf(docs).collect()}
+    assert all(abs(v - 1) < 1e-9 for v in found.values()) and set(found) == {(0, "a"), (1, "a"), (1, "b")}
+
+
 def test_anti_join_keeps_null_keys(spark):
     posts = make_posts(spark, [(None, None, "x"), (1, 7, "y"), (2, 8, "z")])
     log = spark.createDataFrame([(1, "no_errors"), (1, "no_errors"), (None, "no_errors")], schema.DELIVERY_LOG)

@@ -9,7 +9,7 @@ from feedloom.catalog import queries as catalogue
 
 QUERIES = catalogue.QUERIES
 ORACLES = oracles.ORACLES
-SLOW = {"weight_grid_report", "cv_scores", "runs_reeval", "lr_fit", "stream_score"}
+SLOW = {"weight_grid_report", "cv_scores", "runs_reeval", "lr_fit"}
 
 
 @pytest.fixture(scope="module")
