@@ -703,9 +703,9 @@ def _learning_text(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 @contextmanager
-def _features(size: int, train: DataFrame, *others: DataFrame) -> Iterator[list[DataFrame]]:
-    """Ready features of each table, kept until the fits are done."""
-    prepared = training.fit_features(train, stop_words=st.STOP_WORDS, vectoriser="hashed", size=size)
+def _features(train: DataFrame, *others: DataFrame) -> Iterator[list[DataFrame]]:
+    """Ready features of each table, every 1-3-gram of the training part counted, kept until the fits are done."""
+    prepared = training.fit_features(train, stop_words=st.STOP_WORDS)
     ready = [prepared.transform(d).select("id", "label", "features").persist(StorageLevel.MEMORY_AND_DISK) for d in (train, *others)]
     try:
         yield ready
@@ -717,9 +717,9 @@ def _features(size: int, train: DataFrame, *others: DataFrame) -> Iterator[list[
 @query
 def lr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, test = _learning_text(spark, sf_dir)
-    with _features(1 << 16, train, test) as (ready, held_out):
+    with _features(train, test) as (ready, held_out):
         counts_ = training.ClassCounts.of(ready)
-        model = training.fit_weighted(training.compact(ready, counts_.rows), counts_, counts_.n1 / counts_.n0, 1.0)
+        model = training.fit_weighted(training.compact(ready, counts_.rows), counts_, 1.0 / counts_.balanced, 1.0)
         rows = training.confusion_rows(model, held_out)
     return metrics.class_report(spark.createDataFrame(rows, "label int, prediction int, n bigint"))
 
@@ -727,14 +727,14 @@ def lr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def weight_grid_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, test = _learning_text(spark, sf_dir)
-    with _features(1 << 14, train, test) as (ready, held_out):
+    with _features(train, test) as (ready, held_out):
         return training.weight_grid_report(ready, held_out)
 
 
 @query
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, _ = _learning_text(spark, sf_dir)
-    with _features(1 << 14, train) as (ready,):
+    with _features(train) as (ready,):
         return training.cv_scores(ready, training.weight_range(0.1, 0.9, 5))
 
 
@@ -742,7 +742,7 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def runs_reeval(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned, train, test = _learning_text(spark, sf_dir)
     records = training.train_runs(
-        train, test, "grid", 0, shared_folder(spark, "models"), steps=3, vectoriser="hashed", size=1 << 14, stop_words=st.STOP_WORDS
+        train, test, "grid", 0, shared_folder(spark, "models"), stop_words=st.STOP_WORDS
     )
     return training.reevaluate(spark, records, cleaned, tables.exists)
 

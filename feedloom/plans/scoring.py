@@ -14,7 +14,7 @@ from feedloom.operators.lookups import unscored, upsert_scores
 from feedloom.operators.metrics import best_run
 from feedloom.operators.quality import SCORES_SUITE, enforce, run_checks
 from feedloom.plans.feed import FeedRules, feed_batch
-from feedloom.plans.training import positive_probability
+from feedloom.plans.training import load_run, positive_probability
 from feedloom.sources.sinks import publish_version, read_version
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -29,7 +29,7 @@ def best_scorer(runs: DataFrame, experiment: str | None = None) -> Scorer:
     chosen = best_run(runs, experiment).first()
     if chosen is None:
         raise ValueError("no training run to score with")
-    return model_scorer(PipelineModel.load(chosen["model_path"]))
+    return model_scorer(load_run(chosen["model_path"]))
 
 
 def scorable(posts: DataFrame, delivery_log: DataFrame | None, lang: str = "en") -> DataFrame:

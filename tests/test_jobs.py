@@ -5,7 +5,6 @@ import os
 from datetime import datetime
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from feedloom import schema
@@ -267,7 +266,14 @@ def test_feed_stream_skips_both_logs(spark, tmp_path):
     assert ids(sinks.read_batches(spark, f"{tmp_path}/out", schema.DELIVERY_LOG), "post_id") == [2]
 
 
-def test_saved_pipeline_is_one_artifact(spark, labelled, tmp_path):
+def test_a_full_vocabulary_is_refused(spark, labelled):
+    with pytest.raises(ValueError):
+        training.fit_features(labelled, longest=2, stop_words=[], size=5)
+    with pytest.raises(ValueError):
+        training.fit_pipeline(labelled.where("label = 1"), stop_words=[])
+
+
+def test_a_saved_run_is_features_and_model(spark, labelled, tmp_path):
     runs = training.train_runs(labelled, labelled, "one", 0, str(tmp_path), steps=2, longest=1, stop_words=[], vectoriser="hashed", size=256, max_iter=5)
-    model = PipelineModel.load(runs.first()["model_path"])
+    model = training.load_run(runs.first()["model_path"])
     assert model.transform(labelled).select("probability").count() == 40
