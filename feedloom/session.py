@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[.*\])?$", spark.sparkContext.master):  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         app = spark.sparkContext.applicationId
         base = _LOCAL_BASE.setdefault(app, "")
@@ -47,9 +48,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Give CPU-heavy per-row work at least one task per core.
 
-    A table stored in a few row groups is read by as few tasks. Tables with more
-    splits than cores pass through unchanged, so this costs nothing at scale. Use it on
-    a plain scan: asking a plan with joins for its partitions would run them.
+    A table stored in a few row groups is read by as few tasks. Tables with at least as many
+    splits as there are cores pass through unchanged; one with fewer is shuffled whole, texts
+    included, so it is for work that costs more than that. Use it on a plain scan: asking a
+    plan with joins for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
