@@ -6,10 +6,23 @@ apply as a chain of replacements.
 
 from __future__ import annotations
 
-from feedloom.functions.text import KEEPS_PERIOD, NOISE, NOISE_AND_NEGATION, TOKEN_RULES, WORD
-from feedloom.functions.urls import AUTHORITY, OWN_HOSTS, SHORT_HOSTS, SPACE, URL
+from feedloom.functions.text import TOKEN_RULES
 from feedloom.sources import standins as st
 
+# The patterns are written out here again, on purpose: a wrong one in the library must show.
+NOISE = r"@[^ ]+|http[^ ]+|www[^\n][^ ]+|#[^ ]+|[0-9]"
+NOISE_AND_NEGATION = r"@[^ ]+|http[^ ]+|www[^\n][^ ]+|#[^ ]+|[0-9]|n't"
+WORD = r"[\p{L}\p{N}_]{2,}"
+AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
+OWN_HOSTS = ("twitter.com", "api.twitter.com")
+SHORT_HOSTS = ("bit.ly", "buff.ly", "t.co")
+SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+URL = r"https?://[A-Za-z0-9$%&'/.+\-]+"
+KEEPS_PERIOD = (
+    r"^(?:\.+|(?:\p{L}\.)+|(?i:mr|mrs|ms|dr|prof|rev|hon|gen|col|capt|lt|sgt|sen|rep|gov|pres|st|jr|sr|jan|feb|mar|apr|jun|jul|aug|sep|sept|"
+    r"oct|nov|dec|inc|corp|co|ltd|bros|vs|etc|al|ed|vol|approx|dept|univ|ave|blvd)\.)\z"
+)
+
 ORACLES: dict[str, str] = {}
 
 

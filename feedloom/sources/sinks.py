@@ -13,24 +13,31 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from feedloom.schema import REJECTED_DUMP_ABOVE
 from feedloom.sources.tables import empty, exists
 
 POINTER = "CURRENT"
+DAY = "stored_day"
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def append_batch(df: DataFrame, path: str, batch_id: int, day_of: str | None = None) -> None:
+    """Write a batch into its own directory; by the day of a time column, where one is named."""
+    target = f"{path}/batch_id={batch_id}"
+    if day_of is None:
+        df.write.mode("overwrite").parquet(target)
+    else:
+        df.withColumn(DAY, F.to_date(day_of)).write.mode("overwrite").partitionBy(DAY).parquet(target)
 
 
-def read_batches(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
-    """All batches with their ``batch_id``; empty before the first."""
-    with_batch = StructType([*columns.fields, StructField("batch_id", LongType())])
+def read_batches(spark: SparkSession, path: str, columns: StructType, by_day: bool = False) -> DataFrame:
+    """All batches with their ``batch_id`` (and their day, for batches written by day); empty before the first."""
+    days = [StructField(DAY, DateType())] if by_day else []
+    with_batch = StructType([*columns.fields, StructField("batch_id", LongType()), *days])
     if not exists(spark, path):
         return empty(spark, with_batch)
-    return spark.read.schema(with_batch).parquet(path)
+    return spark.read.schema(with_batch).parquet(path).select(*with_batch.names)
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:

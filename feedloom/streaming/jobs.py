@@ -16,7 +16,7 @@ from feedloom.operators.filters import in_language, no_reposts
 from feedloom.operators.joins import drop_members, keep_last
 from feedloom.operators.lookups import drop_seen
 from feedloom.plans.scoring import Scorer, scorable
-from feedloom.sources.sinks import append_batch, read_batches
+from feedloom.sources.sinks import DAY, append_batch, read_batches
 
 
 def file_stream(spark: SparkSession, path: str, columns: StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -52,19 +52,24 @@ def ingest(stream: DataFrame, key: str, path: str, checkpoint: str, event_time:
     """Append rows whose key has not landed before, however late they arrive.
 
     Keys are compared with the stored table, not with bounded state, so no late row is
-    lost and no old one returns. Rows without a key cannot repeat one, so all are kept. Where a row's ``event_time`` never changes, naming it
-    limits the look back to the span of the batch.
+    lost and no old one returns. Rows without a key cannot repeat one, so all are kept. Where
+    a row's ``event_time`` never changes, naming it stores batches by day and limits the look back
+    to the days that the batch holds: a late row adds its own day, not all between.
     """
     columns = stream.schema
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        stored = _earlier(batch.sparkSession, path, columns, batch_id)
-        if event_time:
-            span = batch.agg(F.min(event_time).alias("low"), F.max(event_time).alias("high")).first()
-            untimed = F.col(event_time).isNull()
-            stored = stored.where(F.col(event_time).between(F.lit(span["low"]), F.lit(span["high"])) | untimed)
-        fresh = drop_members(_once(batch, key), key, stored.select(key), spread_by=[key])
-        append_batch(fresh, path, batch_id)
+        batch = batch.persist()
+        try:
+            stored = read_batches(batch.sparkSession, path, columns, by_day=event_time is not None).where(F.col("batch_id") < batch_id)
+            if event_time:
+                days = [r["d"] for r in batch.select(F.to_date(event_time).alias("d")).distinct().collect()]
+                own = F.col(DAY).isin([d for d in days if d is not None])
+                stored = stored.where(own | F.col(DAY).isNull() if None in days else own)
+            fresh = drop_members(_once(batch, key), key, stored.select(key), spread_by=[key])
+            append_batch(fresh, path, batch_id, event_time)
+        finally:
+            batch.unpersist()
 
     return run_available(stream, work, checkpoint)
 

@@ -145,6 +145,19 @@ def test_ingest_keeps_rows_without_a_key(spark, tmp_path):
     assert sorted(t for i, t in found if i is None) == ["x", "y", "z"] and sorted(i for i, _ in found if i) == [1, 2]
 
 
+def test_ingest_by_day_reads_only_the_days_it_needs(spark, tmp_path):
+    columns = "id bigint, ts timestamp_ntz"
+    day = lambda d: datetime(2024, 1, d, 12)
+    for rows in ([(1, day(1)), (2, day(9)), (3, None)], [(1, day(1)), (4, day(9)), (3, None), (5, day(5))]):
+        spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], columns).schema, 1)
+    jobs.ingest(stream, "id", f"{tmp_path}/out", f"{tmp_path}/state", event_time="ts")
+    stored = sinks.read_batches(spark, f"{tmp_path}/out", stream.schema, by_day=True)
+    assert sorted(r["id"] for r in stored.collect()) == [1, 2, 3, 4, 5]
+    shown = stored.where(F.col(sinks.DAY).isin(day(1).date()))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(" in shown or "PartitionFilters: [(stored_day" in shown or "stored_day" in shown.split("PartitionFilters")[-1].split("]")[0]
+
+
 def test_of_equal_claims_the_greatest_score_stays(spark):
     score = lambda *rows: spark.createDataFrame(rows, schema.SCORES)
     for fresh in ([(1, 0.1), (1, 0.9)], [(1, 0.9), (1, 0.1)]):

@@ -52,25 +52,15 @@ def test_short_links(one):
     assert one(ux.strip_short_links, "https://t.co/a　tail") == "　tail"
 
 
-def test_short_links_match_the_sequential_rule(one):
-    """Same answers as applying the removal rules one after the other in Python."""
-    cases = [
-        "https://www.google.com/amp/s/bit.ly/q ok",
-        "see https://bit.ly/1 and http://buff.ly/2 end",
-        "www.google.com/amp/s/www.cnn.com/x",
-        "https://t.co/abc\nnext line",
-        "nothing here",
-    ]
-    hosts = ("bit.ly", "buff.ly", "t.co")
-
-    def expected(text):
-        for host in hosts:
-            for scheme in ("https", "http"):
-                text = re.sub(rf"{scheme}://{re.escape(host)}/\S+", "", text)
-        return re.sub(r"www\.google.com/amp/s/", "", text)
-
-    found = one(ux.strip_short_links, *cases)
-    assert found == [expected(c) for c in cases]
+def test_short_links_go_and_wrappers_open(one):
+    cases = {
+        "https://www.google.com/amp/s/bit.ly/q ok": "https://bit.ly/q ok",
+        "see https://bit.ly/1 and http://buff.ly/2 end": "see  and  end",
+        "www.google.com/amp/s/www.cnn.com/x": "www.cnn.com/x",
+        "https://t.co/abc\nnext line": "\nnext line",
+        "nothing here": "nothing here",
+    }
+    assert one(ux.strip_short_links, *cases) == list(cases.values())
 
 
 def test_long_url_does_not_overflow(one):
