@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import metric_join, ownership, packing, quality_crf, templates
-from feedloom.llm.common import held_out, ship_package, stored, table
+from feedloom.llm.common import held_out, ship_package, spare, stored, table
 
 #: Least quality score of a document that stays.
 QUALITY = 0.3
@@ -29,7 +29,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ship_package(spark)
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
     chain = quality_crf.fit(docs, labels)
-    return quality_crf.score(docs, chain, "_quality").where(F.col("_quality") >= QUALITY).drop("_quality")
+    (quality,) = spare(docs, "quality")
+    return quality_crf.score(docs, chain, quality).where(F.col(quality) >= QUALITY).drop(quality)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

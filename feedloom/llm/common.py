@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -17,17 +18,46 @@ from feedloom.session import shared_folder
 
 #: Texts taken from an Arrow batch at once, so that temporaries stay small beside long texts.
 SLICE_BYTES = 4 << 20
+#: Rows of an Arrow batch that may hold whole texts.
+BATCH_ROWS = 500
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table below the shared folder and read it back: its lineage ends there."""
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, purpose: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Write a table below the shared folder and read it back: its lineage ends there.
+
+    ``batch_rows`` bounds the Arrow batches of the writing, where rows are wide.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, purpose)
+    with arrow_batches(spark, batch_rows):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most ``rows`` rows in an Arrow batch: Spark bounds batches by rows, and texts may be long."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def held_out(key: Column) -> Column:
@@ -85,10 +115,11 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python, once per application.
+    """Hand this package to the executors' Python, once per application, and bound Arrow batches.
 
-    The catalogue calls it; a cluster that has the package installed does not need it.
+    The catalogue calls it; a cluster that has the package installed needs only the bound.
     """
+    spark.conf.set(ARROW_ROWS, str(min(BATCH_ROWS, int(spark.conf.get(ARROW_ROWS)))))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -15,7 +15,8 @@ Inside its regions the join is recursive:
   lets reach one of them (the boundary) are copied along to the next level;
 * at the next level the outside points are the pivots, a batch at a time, and each meets
   only the points in its window, those whose distance to the first pivot differs from its own by
-  no more than the threshold, until no outside point is left.
+  no more than the threshold and whose sketch (a projection that shortens distances) is near enough,
+  until no outside point is left.
 
 No pair of different sets within the threshold is missed; components follow from the
 links. The number of distances is the points of a region times its pivots, not its square.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bitmap, slices, slots_set, stored
+from feedloom.llm.common import bitmap, slices, slots_set, spare, stored
 from feedloom.llm.components import components
 from feedloom.llm.shingles import mixed, set_id, shingle_sets
 
@@ -41,11 +42,15 @@ WHOLE_TOO = 320
 #: A shingle counts as very common from this share of the rows on; then it comes last in the order.
 COMMON_SHARE = 0.001
 LOCALLY_COMMON = 8
-FLUSH_TOKENS = 1_500_000
-BUCKET_TOKENS = 1_500_000
+FLUSH_TOKENS = 1_000_000
+BUCKET_TOKENS = 1_000_000
 PIVOTS = 64
+#: Pairs of an Arrow batch; each carries two sets.
+PAIR_ROWS = 64
 #: Size of the bitmap of wanted sets.
 BITMAP_BITS = 24
+#: Slots of the parity sketch of a set.
+SKETCH_BITS = 1024
 #: Names one task remembers to pass a set on once.
 SEEN = 200_000
 
@@ -53,6 +58,7 @@ _SPACE = np.uint64(0x5851F42D4C957F2D)
 
 SHAPES = "doc_id long, n long, node long, common array<long>, times array<long>"
 BLOBS = "bucket long, keys binary, at binary, nodes binary, sizes binary, spaces binary, cold binary"
+SETS = "node long, shingles binary, sketch array<long>"
 PLACES = "node long, space long, key long, df long, n long, cold long, rank long"
 
 
@@ -251,12 +257,27 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(node)
-                rows.append((node, s.tobytes()))
+                rows.append((node, s.tobytes(), parity_sketch(s)))
             if rows:
-                yield _batch("node long, shingles binary", *zip(*rows))
+                yield _batch(SETS, *zip(*rows))
 
-    found = _raw(docs).mapInArrow(run, "node long, shingles binary").join(nodes, "node", "left_semi")
-    return stored(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "region-sets")
+    found = _raw(docs).mapInArrow(run, SETS).join(nodes, "node", "left_semi")
+    return stored(found.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch")), "region-sets")
+
+
+def parity_sketch(shingles: np.ndarray) -> list[int]:
+    """Parities of the shingles that fall into each of SKETCH_BITS slots.
+
+    Two sets differ in at least as many shingles as their sketches in bits: the map to sketches
+    shortens distances, so what it puts too far apart needs no look at the sets.
+    """
+    parity = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+    return np.packbits(parity.astype(np.uint8)).view("<i8").tolist()
+
+
+def _apart(a: str, b: str) -> Column:
+    """Bits in which two sketches differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -288,25 +309,28 @@ def links_between_sets(docs: DataFrame, base: DataFrame, percent: int = 80) -> D
     sets = _sets_of(docs, regions.select("node").distinct())
     central = regions.groupBy("region").agg(F.max_by(F.struct("node", "n"), F.struct("weight", "node")).alias("p")).select("region", F.col("p.node").alias("pivot"))
     met = regions.join(central, "region").where(F.col("node") != F.col("pivot"))
-    measured = stored(_measured(met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets), "region-distances")
+    measured = stored(_measured(met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets), "region-distances", PAIR_ROWS)
     found = [measured]
     radius = 1 - percent / 100
     at = met.join(measured.withColumnsRenamed({"a": "node", "b": "pivot"}), ["node", "pivot"])
     at = at.withColumn("outside", ~_near(F.col("shared"), F.col("total"), percent)).withColumn("away", 1 - F.col("shared") / F.col("total"))
     at = stored(at.select("region", "node", "n", "weight", "outside", "away"), "region-level")
+    at = at.join(sets.select("node", "sketch"), "node")
     reach = at.where("outside").groupBy("region").agg(F.min("away").alias("nearest"))
     level = at.join(reach, "region").where(F.col("outside") | (F.col("away") >= F.col("nearest") - radius - 1e-9)).drop("nearest")
     level = stored(level, "region-level")
     while True:
         order = Window.partitionBy("region").orderBy(F.desc("weight"), "node")
         pivots = level.where("outside").withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS)
-        pivots = stored(pivots.select("region", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("away").alias("pivot_away")), "region-pivots")
+        pivots = stored(pivots.select("region", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("away").alias("pivot_away"), F.col("sketch").alias("pivot_sketch")), "region-pivots")
         if pivots.isEmpty():
             break
         met = level.join(pivots, "region").where(F.col("node") != F.col("pivot"))
         window = (F.abs(F.col("away") - F.col("pivot_away")) <= radius + 1e-9) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
+        # Linked sets differ in at most (100 - percent) of (100 + percent) parts of their sizes' sum.
+        window = window & ((100 + percent) * _apart("sketch", "pivot_sketch") <= (100 - percent) * (F.col("n") + F.col("pivot_n")))
         pairs = met.where(window).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        found.append(stored(_measured(pairs, sets), "region-distances"))
+        found.append(stored(_measured(pairs, sets), "region-distances", PAIR_ROWS))
         rest = level.join(pivots.select("region", F.col("pivot").alias("node")), ["region", "node"], "left_anti")
         open_regions = rest.where("outside").select("region").distinct()
         level = stored(rest.join(open_regions, "region", "left_semi"), "region-level")
@@ -350,9 +374,12 @@ def representatives(docs: DataFrame, percent: int = 80) -> DataFrame:
     that repeat a doc_id and a text one stays.
     """
     members, _ = join(docs, percent)
-    kept = members.where(F.col("node").isNull() | (F.col("doc_id") == F.col("component_id"))).groupBy(F.col("doc_id").alias("_id"), "node").agg(F.count(F.lit(1)).alias("_times"))
-    kept = kept.groupBy("_id").agg(F.max("_times").alias("_times"), F.max(F.col("node").isNull().cast("int")).alias("_empty"))
-    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "inner")
-    once = rows.where((F.col("_times") == 1) | (F.col("_empty") == 1)).select(*docs.columns)
-    again = rows.where((F.col("_times") > 1) & (F.col("_empty") == 0)).dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    own_id, times, empty = spare(docs, "own_id", "times", "empty")
+    kept = members.where(F.col("node").isNull() | (F.col("doc_id") == F.col("component_id")))
+    kept = kept.groupBy(F.col("doc_id").alias(own_id), "node").agg(F.count(F.lit(1)).alias(times))
+    kept = kept.groupBy(own_id).agg(F.max(times).alias(times), F.max(F.col("node").isNull().cast("int")).alias(empty))
+    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)), "inner")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = rows.where((F.col(times) == 1) | (F.col(empty) == 1)).select(*columns)
+    again = rows.where((F.col(times) > 1) & (F.col(empty) == 0)).dropDuplicates(["doc_id", "text"]).select(*columns)
     return once.union(again)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import stored
+from feedloom.llm.common import spare, stored
 
 #: Fixed patterns, and the least length of what each must hold.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -138,9 +138,11 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", repository: str = "source",
     Overlapping spans become one mark. Rows and columns are those of ``docs``; NULL text
     stays NULL. ``n_chars``, where there is one, follows the text.
     """
-    hidden = scan(docs, repository, owner, live_owners).where(F.size("live") > 0).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "live").dropDuplicates(["_id", "_digest"])
+    own_id, own_digest, live, clean_text = spare(docs, "own_id", "own_digest", "live", "clean_text")
+    hidden = scan(docs, repository, owner, live_owners).where(F.size("live") > 0)
+    hidden = hidden.select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest), F.col("live").alias(live)).dropDuplicates([own_id, own_digest])
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.join(hidden, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(text, 256) == F.col("_digest")), "left")
+    rows = docs.join(hidden, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.sha2(text, 256) == F.col(own_digest)), "left")
 
     def step(acc: Column, s: Column) -> Column:
         start, end = s["start"], s["end"]
@@ -149,9 +151,14 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", repository: str = "source",
         return F.struct(F.greatest(acc["at"], end).alias("at"), out.alias("out"))
 
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("live", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    changed = {"text": F.when(F.col("live").isNull(), F.col("text")).otherwise(clean)}
-    rows = rows.withColumns(changed)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("live").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    return rows.select(*docs.columns)
+    clean = F.aggregate(live, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    rows = rows.withColumn(clean_text, F.when(F.col(live).isNull(), F.col("text")).otherwise(clean))
+    out = []
+    for name in docs.columns:
+        column = F.col(f"`{name}`")
+        if name == "text":
+            column = F.col(clean_text)
+        elif name == "n_chars":
+            column = F.when(F.col(live).isNull(), column).otherwise(F.char_length(clean_text).cast(docs.schema["n_chars"].dataType))
+        out.append(column.alias(name))
+    return rows.select(*out)

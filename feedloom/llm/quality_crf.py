@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import labelled_sample, slices
+from feedloom.llm.common import labelled_sample, slices, spare
 
 #: Bounds of the fit: labelled documents in the order of a hash of their ids, and their lines.
 FIT_DOCUMENTS = 4_000
@@ -248,14 +248,15 @@ def score(docs: DataFrame, chain: Chain, name: str = "score") -> DataFrame:
     NULL text counts as empty, and an empty text is one empty line. Equal texts score alike;
     every row is kept, an empty table stays empty, and a column already called ``name`` is replaced.
     """
-    kept = [c for c in docs.columns if c != name]
-    rows = docs.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias("_whole_text"))
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema], f"`{name}` double"])
+    kept = [c for c in docs.columns if c.lower() != name.lower()]
+    (whole_text,) = spare(docs, "whole_text")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col("text"), F.lit("")).alias(whole_text))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]], f"`{name}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "_whole_text"):
-                found = scores(chain, batch.column("_whole_text").to_pylist())
+            for batch in slices(whole, whole_text):
+                found = scores(chain, batch.column(whole_text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found)], names=[*kept, name])
 
     return rows.mapInArrow(run, schema)

@@ -35,6 +35,8 @@ FLUSH_BYTES = 12 << 20
 #: Names of one bucket while they are counted, and bytes of segments of one shard while they are sorted.
 BUCKET_NAMES = 1_500_000
 SHARD_BYTES = 6 << 20
+#: Rows of an Arrow batch on their way to shards; each holds the segments of one flush.
+SHARD_ROWS = 32
 #: Size of the bitmap of repeated names: a filter before the shards, which decide.
 NAME_BITS = 27
 DOC_BITS = 24
@@ -318,7 +320,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, memory_items: int = ME
     mean = length - 1 + (length - SHORT) // 2
     n_shards = max(1, -(-n_segments * mean // SHARD_BYTES))
     dealt = rows.mapInArrow(_dealt(marked, n_shards, length), SEGMENTS).repartition(n_shards, "bucket").sortWithinPartitions("bucket")
-    return stored(dealt.mapInArrow(_sorted_shards(length, memory_items), REMOVED).distinct(), "repeated-spans")
+    return stored(dealt.mapInArrow(_sorted_shards(length, memory_items), REMOVED).distinct(), "repeated-spans", SHARD_ROWS)
 
 
 CUT = "order_id long, h long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:bigint,stop:bigint>>"

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bitmap, slices, slots_set
+from feedloom.llm.common import bitmap, slices, slots_set, spare
 from feedloom.llm.shingles import mixed
 
 WINDOW = 8
@@ -244,6 +244,7 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: flo
 
 def without_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``docs`` into which no item leaks."""
-    dirty = leaks(docs, items, window, coverage).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
+    own_id, own_hash = spare(docs, "own_id", "own_hash")
+    dirty = leaks(docs, items, window, coverage).select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(own_hash))
     return docs.join(dirty, same, "left_anti")

@@ -44,3 +44,19 @@ def test_stages(spark):
 def test_run_gives_the_pieces_of_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+
+
+def test_stages_take_nulls_repeats_and_clashing_columns(spark):
+    names = "quality own_id own_hash own_digest live times empty score node component_id spans key rank hash whole_text clean_text digest n".split()
+    text = "some plain words that make a line of text.\nAnother line with token=abcdef123456 in it."
+    rows = [(1, text), (1, text), (2, None), (3, ""), (None, text), (4, text + " And more."), (5, "word " * 3_000)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), *[k] * len(names)) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in names))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns and out.count() <= docs.count()
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
+    near = corpus_pipeline.near_copy_stage(spark, docs, SMALL).collect()
+    assert sorted((r["doc_id"] or 0) for r in near) == [1, 2, 3, 5] or sorted((r["doc_id"] or 0) for r in near) == [1, 2, 3, 4, 5]
+    masked = corpus_pipeline.secret_stage(spark, docs, SMALL).collect()
+    assert len(masked) == len(rows) and sum("[SECRET]" in (r["text"] or "") for r in masked) == 4
+    assert corpus_pipeline.packing_stage(spark, docs, SMALL).count() >= len(rows)
