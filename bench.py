@@ -38,6 +38,10 @@ HEADLINE = (
     "dq_checks",
     "table_fingerprint",
     "stream_ingest",
+    "stream_score",
+    "ngram_counts",
+    "mute_drop_long",
+    "deliver_batch",
 )
 
 
