@@ -34,7 +34,7 @@ TEXT_BYTES = 1 << 20
 FLUSH_BYTES = 12 << 20
 #: Names of one bucket while they are counted, and bytes of segments of one shard while they are sorted.
 BUCKET_NAMES = 1_500_000
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 8 << 20
 #: Rows of an Arrow batch on their way to shards; each holds the segments of one flush.
 SHARD_ROWS = 32
 #: Size of the bitmap of repeated names: a filter before the shards, which decide.

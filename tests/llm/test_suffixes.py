@@ -62,7 +62,7 @@ def found_in(df):
     return {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("shard_bytes", [3 << 20, 4_000])
+@pytest.mark.parametrize("shard_bytes", [8 << 20, 4_000])
 def test_planted_repeats(spark, texts, monkeypatch, shard_bytes):
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard_bytes)
     rng = random.Random(7)
