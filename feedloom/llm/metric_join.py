@@ -174,8 +174,12 @@ def _bucket(key: np.ndarray, n_buckets: int) -> np.ndarray:
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the rows of one bucket after another: the keys that two or more sets hold, per set; very common keys as they are."""
+    """Of the rows of one bucket after another: the keys that two or more sets hold, per set; very common keys once per set.
+
+    Every task that meets a set sends its very common keys, all to the set's own bucket.
+    """
     held: list[dict] = []
+    late_bucket, passed = None, set()
 
     def closed() -> Iterator[pa.RecordBatch]:
         key = np.concatenate([np.frombuffer(r["keys"], dtype="<u8") for r in held])
@@ -196,6 +200,11 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             if row["at"] is None:
+                if row["bucket"] != late_bucket:
+                    late_bucket, passed = row["bucket"], set()
+                if (row["nodes"], row["spaces"]) in passed:
+                    continue
+                passed.add((row["nodes"], row["spaces"]))
                 key = np.frombuffer(row["keys"], dtype="<i8")
                 node, n, space, cold = (np.repeat(np.frombuffer(row[c], dtype="<i8"), len(key)) for c in ("nodes", "sizes", "spaces", "cold"))
                 yield _batch(PLACES, node, space, key, pa.nulls(len(key), pa.int64()), n, cold, cold + 1 + np.arange(len(key)))

@@ -117,6 +117,18 @@ def test_awkward_rows_of_the_join(texts):
     assert empty.count() == 0 and links.count() == 0
 
 
+def test_families_copied_into_an_even_number_of_tasks(spark):
+    """All their shingles are very common, so every task sends them for the same sets."""
+    families = [[f"f{k}w{i}" for i in range(40)] for k in range(3)]
+    variants = [" ".join(words[:n]) for words in families for n in (40, 39)]
+    rows = [(task * 1000 + i, variants[i % len(variants)]) for task in range(8) for i in range(10 * len(variants))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 8), "doc_id long, text string")
+    expected, links = plain_components(rows)
+    members, found = metric_join.join(docs)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in members.collect()} == expected
+    assert found.count() == len(links) == 3
+
+
 def test_star_contraction_finds_least_nodes(spark):
     rng = random.Random(4)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(500, k) for k in range(300, 400)] + [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(60)]
