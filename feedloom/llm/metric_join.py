@@ -56,7 +56,7 @@ SEEN = 200_000
 
 _SPACE = np.uint64(0x5851F42D4C957F2D)
 
-SHAPES = "doc_id long, n long, node long, common array<long>, times array<long>"
+SHAPES = "doc_id long, text_hash long, n long, node long, common array<long>, times array<long>"
 BLOBS = "bucket long, keys binary, at binary, nodes binary, sizes binary, spaces binary, cold binary"
 SETS = "node long, shingles binary, sketch array<long>"
 PLACES = "node long, space long, key long, df long, n long, cold long, rank long"
@@ -69,7 +69,11 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def _raw(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("text_hash"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"))
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,10 +94,10 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if size >= FLUSH_TOKENS and n:
             common[0], times[0] = counted()
             kept, size = [], 0
-        yield _batch(SHAPES, batch.column("doc_id"), [len(s) for s in sets], nodes, common, times)
+        yield _batch(SHAPES, batch.column("doc_id"), batch.column("text_hash"), [len(s) for s in sets], nodes, common, times)
     if kept:
         common, times = counted()
-        yield _batch(SHAPES, [None], [-1], [None], [common], [times])
+        yield _batch(SHAPES, [None], [None], [-1], [None], [common], [times])
 
 
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "double": pa.float64()}
@@ -362,32 +366,39 @@ def join(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     no name; its component is NULL where no other row names it. An empty table gives empty
     tables; other columns are not read.
     """
+    members, links = _joined(docs, percent)
+    return members.drop("text_hash"), links
+
+
+def _joined(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``join``, whose members also have the text_hash that tells rows of one doc_id apart."""
     if percent != 80:
         raise ValueError("places in the regions are derived for 80 percent")
     base = stored(_raw(docs).mapInArrow(_shapes, SHAPES), "shapes")
     links = stored(links_between_sets(docs, base, percent), "links")
-    rows = base.where(F.col("n") >= 0).select("doc_id", F.col("n").alias("n_shingles"), "node")
+    rows = base.where(F.col("n") >= 0).select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node")
     named = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     roots = components(links)
     grouped = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     component = grouped.join(least, "root").select(F.col("node").alias("_node"), "component_id")
     members = rows.join(component, F.col("node") == F.col("_node"), "left")
-    return members.select("doc_id", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id")), links
+    return members.select("doc_id", "text_hash", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id")), links
 
 
 def representatives(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` of which each stands for its component: one of each group stays.
 
     Rows without a set all stay, as do rows without doc_id that no component names; of rows
-    that repeat a doc_id and a text one stays.
+    that repeat a doc_id (or have none) and a text one stays. A row is judged by its own text, not
+    by that of another row with its doc_id.
     """
-    members, _ = join(docs, percent)
-    own_id, times, empty = spare(docs, "own_id", "times", "empty")
-    kept = members.where(F.col("node").isNull() | (F.col("doc_id") == F.col("component_id")))
-    kept = kept.groupBy(F.col("doc_id").alias(own_id), "node").agg(F.count(F.lit(1)).alias(times))
-    kept = kept.groupBy(own_id).agg(F.max(times).alias(times), F.max(F.col("node").isNull().cast("int")).alias(empty))
-    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)), "inner")
+    members, _ = _joined(docs, percent)
+    own_id, own_hash, times, empty = spare(docs, "own_id", "own_hash", "times", "empty")
+    kept = members.where(F.col("node").isNull() | F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    kept = kept.groupBy(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).agg(F.count(F.lit(1)).alias(times), F.max(F.col("node").isNull().cast("int")).alias(empty))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (_text_hash() == F.col(own_hash))
+    rows = docs.join(kept, same, "inner")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     once = rows.where((F.col(times) == 1) | (F.col(empty) == 1)).select(*columns)
     again = rows.where((F.col(times) > 1) & (F.col(empty) == 0)).dropDuplicates(["doc_id", "text"]).select(*columns)

@@ -117,6 +117,14 @@ def test_awkward_rows_of_the_join(texts):
     assert empty.count() == 0 and links.count() == 0
 
 
+def test_rows_without_an_id_stand_for_themselves(texts):
+    alone, copied = "a text that no other row has and that has no id", "some words that a row with an id has as well"
+    rows = [(None, alone), (None, "yet another text without an id, which comes twice"), (None, "yet another text without an id, which comes twice"), (None, copied), (7, copied), (None, ""), (None, None), (8, copied), (8, "the second text under one id, unlike all the others")]
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in metric_join.representatives(texts(rows)).collect())
+    assert kept == sorted([(0, alone), (0, rows[1][1]), (7, copied), (0, ""), (0, ""), (8, rows[8][1])])
+    assert metric_join.join(texts(rows))[0].columns == ["doc_id", "n_shingles", "node", "component_id"]
+
+
 def test_families_copied_into_an_even_number_of_tasks(spark):
     """All their shingles are very common, so every task sends them for the same sets."""
     families = [[f"f{k}w{i}" for i in range(40)] for k in range(3)]
