@@ -3,9 +3,11 @@
 Texts and items become sequences of symbols: words in lower case without outer punctuation, and
 typed placeholders for numbers, for units behind numbers and, on a second level, for runs of names.
 Windows of symbols are hashed, the windows of texts that may occur in an item are joined with those
-of the items by hash, and windows on one diagonal (text position less item position) count when
-their slots agree: each value of the item stands for one value of the text and the reverse. An item
-leaks into a text when enough of its windows count.
+of the items by hash. A window that is mostly slots says little without their values, so its hash
+takes them in: it meets verbatim copies alone. A window whose slots hold the item's own values counts as it is; of the others on one diagonal
+(text position less item position) the most that agree count: each value of the item stands for one value of
+the text. A name that stands for two others makes another story, and none of the diagonal's others
+count. An item leaks into a text when enough of its windows count: of all, or of those that are mostly words.
 
 A Bloom filter of fixed size, made of the items, keeps almost all windows of texts in the
 task that makes them; it is a filter only, the hash join decides.
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import bitmap, slices, slots_set, spare
@@ -30,9 +32,11 @@ from feedloom.llm.shingles import mixed
 WINDOW = 8
 #: Shorter items are one window of their own length, down to this.
 SHORTEST = 3
-#: Share of a window that must be words, and of an item's windows that must count.
+#: Share of words from which a window may have other values in its slots; share of an item's windows that must count.
 WORDS = 0.5
 COVERAGE = 0.5
+#: Choices tried for a diagonal whose values disagree in many ways; the best so far then stands.
+CHOICES = 20_000
 BLOOM_BITS = 24
 
 #: Units that are slots behind a number.
@@ -49,6 +53,7 @@ _QUANTITY = re.compile(r"([+-]?\d[\d.,]*)([a-z]{1,4})")
 WORD, NUMBER, UNIT, CAPITAL, NONE = range(5)
 _SYMBOLS = {NUMBER: 0x6E756D626572, UNIT: 0x756E6974, CAPITAL: 0x6E616D65}
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_VERBATIM = np.uint64(0x9E3779B97F4A7C15)
 KNOWN = 200_000
 _KNOWN: dict[str, tuple[int, int, bool, str]] = {}
 
@@ -79,15 +84,15 @@ def read_word(token: str) -> tuple[int, int, bool, str]:
 
 
 class Symbols:
-    """Symbol sequences of several texts on one level: hashes, kinds, owner of each symbol, and bare forms."""
+    """Symbol sequences of several texts on one level: hashes, hashes of the words behind them, kinds, owner of each symbol, and bare forms."""
 
-    def __init__(self, hashes, kinds, owner, word, forms):
-        self.hashes, self.kinds, self.owner, self.word, self.forms = hashes, kinds, owner, word, forms
+    def __init__(self, hashes, own, kinds, owner, word, forms):
+        self.hashes, self.own, self.kinds, self.owner, self.word, self.forms = hashes, own, kinds, owner, word, forms
         counts = np.bincount(owner, minlength=0) if len(owner) else np.empty(0, dtype=np.int64)
         self.first = np.cumsum(counts) - counts
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and hashes of the windows that lie in one text and hold enough words."""
+        """Positions and hashes of the windows that lie in one text; those without enough words are hashed with their values."""
         n = len(self.hashes) - size + 1
         if n <= 0:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
@@ -95,8 +100,12 @@ class Symbols:
         for k in range(size):
             rolled = rolled * _STEP + self.hashes[k : k + n]
         words = np.concatenate([[0], np.cumsum(self.kinds == WORD)])
-        fine = (self.owner[:n] == self.owner[size - 1 :]) & (words[size:] - words[:n] >= WORDS * size)
-        at = np.flatnonzero(fine)
+        poor = np.flatnonzero(words[size:] - words[:n] < WORDS * size)
+        verbatim = np.full(len(poor), _VERBATIM)
+        for k in range(size):
+            verbatim = verbatim * _STEP + self.own[poor + k]
+        rolled[poor] = verbatim
+        at = np.flatnonzero(self.owner[:n] == self.owner[size - 1 :])
         return at, mixed(rolled[at])
 
     def slots(self, at: int, size: int) -> list[dict]:
@@ -131,7 +140,10 @@ def symbols(texts: pa.Array) -> tuple[Symbols, Symbols]:
         shown = own.copy()
         for k, symbol in _SYMBOLS.items():
             shown[kind == k] = np.uint64(symbol)
-        return Symbols(shown[chosen], kind[chosen], owner[chosen], at[chosen], forms)
+        # A run of names has the words of all of them behind it.
+        place = np.arange(len(at)) - np.repeat(chosen, np.diff(np.append(chosen, len(at))))
+        behind = np.add.reduceat(mixed(own + place.astype(np.uint64) * _STEP), chosen) if len(chosen) else own
+        return Symbols(shown[chosen], behind, kind[chosen], owner[chosen], at[chosen], forms)
 
     plain = np.where(kind == CAPITAL, WORD, kind).astype(np.int8)
     follows = np.zeros(len(at), dtype=bool)
@@ -149,7 +161,7 @@ def _size_of(n: int, window: int) -> int:
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, level, size, at, hash, slots, n_windows) of every window of every item of ``items(item_id, text)``."""
+    """(item_id, level, size, at, hash, slots, n_windows, n_rich) of every window of every item of ``items(item_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -162,10 +174,14 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                             continue
                         at, hashes = level.windows(size)
                         for a, h in zip(at.tolist(), hashes.view(np.int64).tolist()):
-                            rows.append({"item_id": name, "level": number, "size": size, "at": a, "hash": h, "slots": level.slots(a, size), "n_windows": len(at)})
+                            rows.append({"item_id": name, "level": number, "size": size, "at": a, "hash": h, "slots": level.slots(a, size)})
+                        own = rows[len(rows) - len(at) :]
+                        n_rich = sum(size - len(r["slots"]) >= WORDS * size for r in own)
+                        for row in own:
+                            row |= {"n_windows": len(at), "n_rich": n_rich}
                 yield from _batches(rows, schema)
 
-    schema = "item_id long, level int, size int, at long, hash long, slots array<struct<o:int,kind:int,value:string>>, n_windows long"
+    schema = "item_id long, level int, size int, at long, hash long, slots array<struct<o:int,kind:int,value:string>>, n_windows long, n_rich long"
     return items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
@@ -200,19 +216,62 @@ def text_hits(docs: DataFrame, bloom: np.ndarray, sizes: list[int]) -> DataFrame
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, HITS)
 
 
-def _agree(pairs: Column) -> Column:
-    """Whether slot pairs (kind, a: value in the item, b: value in the text) map one to one."""
-    both = F.size(F.array_distinct(pairs))
-    ours = F.size(F.array_distinct(F.transform(pairs, lambda p: F.struct(p["kind"], p["a"]))))
-    theirs = F.size(F.array_distinct(F.transform(pairs, lambda p: F.struct(p["kind"], p["b"]))))
-    return (both == ours) & (both == theirs)
+def agreeing(windows: list[tuple[int, list[tuple[int, str, str]]]]) -> tuple[list[int], bool]:
+    """Item positions of the windows of a diagonal that count, and whether any has another value in a slot.
+
+    A window is (position, slots), a slot (kind, value in the item, value in the text).
+    """
+    same = [at for at, slots in windows if all(a == b for _, a, b in slots)]
+    names: dict[str, str] = {}
+    others = []
+    for at, slots in windows:
+        if all(a == b for _, a, b in slots):
+            continue
+        for kind, a, b in slots:
+            if kind == CAPITAL and names.setdefault(a, b) != b:
+                return same, False
+        means = {}
+        if all(means.setdefault((kind, a), b) == b for kind, a, b in slots):
+            others.append((at, means))
+    left = CHOICES
+
+    def most(rest: list[tuple[int, dict]], best: int) -> list[int] | None:
+        """More than ``best`` positions of windows that agree, if there are and choices are left."""
+        nonlocal left
+        values: dict = {}
+        for _, means in rest:
+            for key, b in means.items():
+                values.setdefault(key, {}).setdefault(b, 0)
+                values[key][b] += 1
+        if len(rest) <= best:
+            return None
+        split = {key: seen for key, seen in values.items() if len(seen) > 1}
+        if not split:
+            return [at for at, _ in rest]
+        key = max(split, key=lambda k: (sum(split[k].values()), k))
+        found = None
+        for b in sorted(split[key], key=lambda v: (-split[key][v], v)):
+            if left <= 0 and found is not None:
+                break
+            left -= 1
+            more = most([w for w in rest if w[1].get(key, b) == b], best)
+            if more is not None:
+                found, best = more, len(more)
+        return found
+
+    counted = most(others, 0) or []
+    return same + counted, bool(counted)
+
+
+def _agreeing(windows: list) -> tuple[list[int], bool]:
+    return agreeing([(w["at"], [(p["kind"], p["a"], p["b"]) for p in w["pairs"]]) for w in windows])
 
 
 def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """Items that leak into texts: doc_id, text_hash, item_id, covered, n_windows, coverage, reworded.
 
-    ``covered`` of the item's ``n_windows`` windows occur in the text with agreeing slots,
-    on the better of the two levels; ``reworded`` says whether any slot holds another value. One row per pair
+    ``covered`` of the item's ``n_windows`` windows (all, or those that are mostly words, whichever are better covered)
+    occur in the text with agreeing slots, on the better of the two levels; ``reworded`` says whether any slot holds another value. One row per pair
     of a text and an item that reach ``coverage``.
 
     NULL and empty texts and items have no windows, items of fewer than three symbols neither.
@@ -224,19 +283,25 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: flo
     hashed = wanted.select(F.explode(F.array(*[F.shiftrightunsigned("hash", k).bitwiseAND(F.lit((1 << BLOOM_BITS) - 1)) for k in (0, 20, 40)])).alias("s"))
     bloom = bitmap(hashed, F.col("s"), BLOOM_BITS)
     hits = text_hits(docs, bloom, sorted(sizes))
-    item_side = wanted.select("item_id", "level", "size", "hash", "n_windows", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
+    item_side = wanted.select("item_id", "level", "size", "hash", "n_windows", "n_rich", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     met = hits.join(item_side, ["hash", "level", "size"])
     alike = F.size("slots") == F.size("item_slots")
     paired = F.transform(F.arrays_zip("slots", "item_slots"), lambda p: F.struct(p["slots"]["kind"].alias("kind"), p["item_slots"]["value"].alias("a"), p["slots"]["value"].alias("b")))
     met = met.where(alike).withColumn("pairs", paired)
-    lines = met.groupBy("doc_id", "text_hash", "item_id", "level", "n_windows", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
-        F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+    rich = F.col("size") - F.size("slots") >= WORDS * F.col("size")
+    per = ["doc_id", "text_hash", "item_id", "level", "n_windows", "n_rich"]
+    lines = met.groupBy(*per, (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
+        F.collect_set(F.struct(F.col("item_at").alias("at"), "pairs")).alias("windows"), F.collect_set(F.when(rich, F.col("item_at"))).alias("rich")
     )
-    lines = lines.where(_agree(F.col("pairs")))
-    found = lines.groupBy("doc_id", "text_hash", "item_id", "level", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("covered"),
-        F.max(F.exists("pairs", lambda p: p["a"] != p["b"])).alias("reworded"),
+    lines = lines.withColumn("counted", F.udf(_agreeing, "struct<places: array<bigint>, reworded: boolean>")("windows"))
+    places = F.array_distinct(F.flatten(F.collect_list("counted.places")))
+    found = lines.groupBy(*per).agg(
+        F.size(places).cast("long").alias("of_all"),
+        F.size(F.array_intersect(places, F.flatten(F.collect_list("rich")))).cast("long").alias("of_rich"),
+        F.max("counted.reworded").alias("reworded"),
     )
+    by_rich = F.col("of_rich") * F.col("n_windows") > F.col("of_all") * F.col("n_rich")
+    found = found.withColumn("covered", F.when(by_rich, F.col("of_rich")).otherwise(F.col("of_all"))).withColumn("n_windows", F.when(by_rich, F.col("n_rich")).otherwise(F.col("n_windows")))
     found = found.withColumn("coverage", F.col("covered") / F.col("n_windows")).where(F.col("coverage") >= coverage)
     best = found.groupBy("doc_id", "text_hash", "item_id").agg(F.max_by(F.struct("covered", "n_windows", "coverage", "reworded"), F.struct("coverage", -F.col("level"))).alias("b"))
     return best.select("doc_id", "text_hash", "item_id", "b.*")

@@ -188,6 +188,31 @@ def test_reworded_items_are_found(spark, texts):
     assert templates.leaks(texts(rows), items.limit(0)).count() == 0
 
 
+def test_number_heavy_and_partly_changed_items_are_found(spark, texts):
+    sums = "Compute 12 + 7 - 30 * 4"
+    twice = "We bought 5 red pens in the old town on a rainy day and then 5 blue pens near the harbour"
+    two = "The red box holds 3 old coins while my blue box holds 5 old coins of hers"
+    items = spark.createDataFrame([(1, sums), (2, twice), (3, two)], "item_id long, text string")
+    rows = [
+        (1, f"First this: {sums} and so on"),
+        (2, "Compute 13 + 7 - 30 * 4"),
+        (3, twice.replace("5 red", "7 red")),
+        (4, two.replace("3", "4").replace("5", "4")),
+        (5, "quite other words with 12 and 7 and 30 and 4 in them"),
+    ]
+    found = {(r["doc_id"], r["item_id"]): r for r in templates.leaks(texts(rows), items).collect()}
+    assert set(found) == {(1, 1), (3, 2), (4, 3)}
+    assert found[1, 1]["coverage"] == 1 and not found[1, 1]["reworded"]
+    assert found[3, 2]["reworded"] and found[4, 3]["coverage"] == 1
+
+
+def test_the_most_windows_that_agree_count():
+    windows = [(0, [(1, "5", "7")]), (1, [(1, "5", "7"), (1, "3", "4")]), (2, [(1, "5", "8"), (1, "3", "4")]), (3, [(1, "5", "5")]), (4, [(1, "5", "7"), (1, "5", "5")])]
+    places, reworded = templates.agreeing(windows)
+    assert sorted(places) == [0, 1, 3] and reworded
+    assert templates.agreeing([(0, [(3, "mary", "anna")]), (1, [(3, "mary", "karl")]), (2, [])]) == ([2], False)
+
+
 def test_leaks_of_the_table_against_word_windows(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
