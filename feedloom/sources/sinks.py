@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from feedloom.schema import REJECTED_DUMP_ABOVE
+from feedloom.session import shared_folder
 from feedloom.sources.tables import empty, exists
 
 POINTER = "CURRENT"
 DAY = "stored_day"
+#: Mean size of a JSON array file, once an export is larger than one.
+ARRAY_BYTES = 8 << 20
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, day_of: str | None = None) -> None:
@@ -88,17 +91,35 @@ def write_json(df: DataFrame, path: str, layout: str = "lines") -> None:
     """Export as JSON records (label sets, member dumps, rejected ids).
 
     ``lines`` writes one record a line, in as many files as there are tasks. ``array`` writes
-    one JSON array, as other tools expect of a small export; it passes through one task.
+    JSON arrays, each a file of about ``ARRAY_BYTES``: a small export is one file, as other
+    tools expect, and no task meets more than a few files' records.
     """
     if layout == "lines":
         df.write.mode("overwrite").json(path)
     elif layout == "array":
-        records = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("r"))
-        records.agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value")).write.mode("overwrite").text(path)
+        _write_arrays(df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("r")), path)
     else:
         raise ValueError(f"layout must be 'lines' or 'array', not {layout!r}")
 
 
+def _write_arrays(records: DataFrame, path: str) -> None:
+    """Records are stored first, so that their places, which deal them out, stay the same when a task is retried."""
+    spark = records.sparkSession
+    held = shared_folder(spark, "array-records")
+    records.write.parquet(held)
+    records = spark.read.schema(records.schema).parquet(held)
+    size = records.agg(F.sum(F.octet_length("r") + 2)).first()[0] or 0
+    files = -(-size // ARRAY_BYTES)
+    array = F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value")
+    if files > 1:
+        dealt = records.withColumn("file", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files)))
+        # By ranges: the first task is never without rows, for which Spark would write an empty file.
+        arrays = dealt.repartitionByRange(files, "file").groupBy("file").agg(array).select("value")
+    else:
+        arrays = records.agg(array)
+    arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
 def dump_rejected(rejected: DataFrame, folder: str, at: datetime, limit: int = REJECTED_DUMP_ABOVE) -> str | None:
     """Export the rejected ids under a time-stamped name once there are too many."""
     if rejected.count() <= limit:

@@ -1,5 +1,6 @@
 """Sinks, training, scoring and streaming, end to end on small tables."""
 
+import json
 import math
 import os
 from datetime import datetime
@@ -41,6 +42,18 @@ def test_label_set_round_trip(spark, tmp_path, layout):
     assert ids(tables.read_label_set(spark, str(tmp_path / "array.json"), "array")) == [1, 2]
 
 
+def test_large_array_exports_are_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ARRAY_BYTES", 4_000, raising=False)
+    posts = make_posts(spark, [(i, 1, "the same text " * 5) for i in range(300)]).withColumn("labels", F.lit(1.0)).repartition(3)
+    sinks.write_json(posts, f"{tmp_path}/set", "array")
+    files = [f.read_text() for f in (tmp_path / "set").glob("part-*")]
+    assert len(files) > 5 and max(map(len, files)) < 12_000
+    assert sorted(r["id"] for f in files for r in json.loads(f)) == list(range(300))
+    assert ids(tables.read_label_set(spark, f"{tmp_path}/set", "array")) == list(range(300))
+    sinks.write_json(posts.limit(0), f"{tmp_path}/none", "array")
+    assert [f.read_text().strip() for f in (tmp_path / "none").glob("part-*")] == ["[]"]
+
+
 def test_posts_reader_prunes_and_pushes(spark, tmp_path):
     make_posts(spark, [(1, 1, "a"), (2, 1, "b", {"lang": "de"})]).write.parquet(f"{tmp_path}/posts")
     posts = tables.read_posts(spark, f"{tmp_path}/posts").where("lang = 'en'").select("id")
