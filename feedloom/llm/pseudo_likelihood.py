@@ -7,8 +7,8 @@ token within its class. The log-probabilities of all tokens of a document add up
 
 Training is spread: every task runs stochastic gradient descent over its own texts from the
 same weights, and the weights of all tasks are averaged by the tokens they saw; then comes the next
-round. In a round each document gives every ``stride``-th of its positions, from another offset each
-time. All documents take part, and every position of every text is scored.
+round. In a round every position of every document is predicted; a ``stride`` above 1 takes every ``stride``-th
+of each document, from another offset each time. Every position of every text is scored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from feedloom.llm.shingles import word_hashes
 
 CLASSES, WITHIN, HIDDEN, SIDE = 64, 64, 24, 2
 BATCH = 4_096
-STRIDE = 8
+STRIDE = 1
 ROUNDS = 2
 RATE = 1.0
 TEXT_BYTES = 1 << 20
@@ -164,15 +164,18 @@ def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: flo
             for whole in batches:
                 for batch in slices(whole, "bytes", TEXT_BYTES):
                     ids, counts = tokens(batch.column("bytes").to_pylist())
-                    chosen = np.arange((number * stride) // max(rounds, 1), len(ids), stride)
+                    place = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
+                    chosen = np.flatnonzero(place % stride == (number * stride) // max(rounds, 1))
                     held_ids.append(ids[chosen])
                     held_around.append(surroundings(ids, counts)[chosen])
                     held += len(chosen)
-                    while held >= BATCH:
+                    if held >= BATCH:
                         ids, around = np.concatenate(held_ids), np.concatenate(held_around)
-                        train_batch(own, ids[:BATCH], around[:BATCH], rate)
-                        seen += BATCH
-                        held_ids, held_around, held = [ids[BATCH:]], [around[BATCH:]], held - BATCH
+                        full = held - held % BATCH
+                        for a in range(0, full, BATCH):
+                            train_batch(own, ids[a : a + BATCH], around[a : a + BATCH], rate)
+                        seen += full
+                        held_ids, held_around, held = [ids[full:]], [around[full:]], held - full
             if held:
                 train_batch(own, np.concatenate(held_ids), np.concatenate(held_around), rate)
                 seen += held

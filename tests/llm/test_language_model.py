@@ -47,6 +47,13 @@ def test_trained_scores_prefer_the_language_of_the_corpus(spark):
     assert max(mean[100 + k] for k in range(5)) < min(mean[k] for k in range(5))
 
 
+def test_every_position_is_a_training_target(spark):
+    words = [f"word{i}" for i in range(8)]
+    net = train(spark.createDataFrame([(i, " ".join(words)) for i in range(200)], "doc_id long, text string"))
+    ids, _ = tokens([" ".join(words).encode()])
+    assert len(set(ids.tolist())) == 8 and all(net.out_bias[i // WITHIN, i % WITHIN] > 0 for i in ids.tolist())
+
+
 def test_awkward_rows(texts, spark):
     net = train(texts(AWKWARD), rounds=1)
     rows = score(texts(AWKWARD), net).collect()
