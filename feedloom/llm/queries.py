@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import metric_join, ownership, pseudo_likelihood, quality_crf, suffix_dedup, templates, toxicity
+from feedloom.functions.text import bind
+from feedloom.llm import metric_join, ownership, periodic, pseudo_likelihood, quality_crf, suffix_dedup, templates, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.onebit import nearest
@@ -72,6 +73,32 @@ def op9_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.digest_of(ownership.scan(table(spark, sf_dir, "documents")))
 
 
+def _made_periodic(doc_id: Column, text: Column) -> Column:
+    """The contract's text: of ids whose crc32 ends in 0, the words from some place on repeat with some period."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic_words(words: Column) -> Column:
+        n = F.size(words)
+        at = (g % n).cast("int")
+        period = (1 + F.floor((n - at) / (3 + g % 8))).cast("int")
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < at, i).otherwise(at + (i - at) % period)))
+
+    joined = bind(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), lambda words: F.when(F.size(words) > 0, F.array_join(periodic_words(words), " ")).otherwise(F.lit("")))
+    return F.when(h % 10 == 0, joined).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _made_periodic(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.periodic_runs(docs)
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, x: F.when(x["length"] * best["period"] > best["length"] * x["period"], x).otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n"))), "")
+    digests = F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), *digests)
+    measures = F.col("best.start"), F.col("best.length"), F.col("best.period"), F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli")
+    return found.select("doc_id", "n_runs", *measures, "runs_sha256", "collapsed_sha256")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,5 +121,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_one_bit_codes,
         op9_secret_owners,
         op10_toxic_lexicon,
+        op12_periodic_runs,
     )
 }

@@ -30,9 +30,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts in a row, and the words of each text."""
-    joined = b" ".join(t.lower() for t in texts)
+def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts in a row, and the words of each text; ``fold`` lower-cases A-Z first."""
+    joined = b" ".join(t.lower() if fold else t for t in texts)
     raw = np.frombuffer(joined, dtype=np.uint8)
     if not len(raw):
         return np.empty(0, dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
