@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import bind
-from feedloom.llm import metric_join, ownership, periodic, pseudo_likelihood, quality_crf, suffix_dedup, templates, toxicity
+from feedloom.llm import metric_join, ownership, periodic, pseudo_likelihood, quality_crf, setsketch, suffix_dedup, templates, toxicity
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.onebit import nearest
@@ -99,6 +99,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_runs", *measures, "runs_sha256", "collapsed_sha256")
 
 
+def op13_setsketch_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = setsketch.near_copies(table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,5 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_secret_owners,
         op10_toxic_lexicon,
         op12_periodic_runs,
+        op13_setsketch_copies,
     )
 }
