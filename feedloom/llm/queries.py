@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import bind
-from feedloom.llm import metric_join, ownership, periodic, pseudo_likelihood, quality_crf, setsketch, suffix_dedup, templates, toxicity
+from feedloom.llm import metric_join, ownership, periodic, pseudo_likelihood, quality_crf, setsketch, suffix_dedup, templates, toxicity, vgram
 from feedloom.llm.bitplane import read_token_files, write_token_files
 from feedloom.llm.common import held_out, ship_package, table
 from feedloom.llm.onebit import nearest
@@ -73,6 +73,11 @@ def op9_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.digest_of(ownership.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_variable_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vgram.vocabulary(table(spark, sf_dir, "documents"), slips=199)
+    return vgram.group_variants(words).select("word", "n", "n_near", "form", "form_n", "root")
+
+
 def _made_periodic(doc_id: Column, text: Column) -> Column:
     """The contract's text: of ids whose crc32 ends in 0, the words from some place on repeat with some period."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
@@ -126,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_one_bit_codes,
         op9_secret_owners,
         op10_toxic_lexicon,
+        op11_variable_grams,
         op12_periodic_runs,
         op13_setsketch_copies,
     )

@@ -30,6 +30,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the stretches [start, end) of an array of bytes; equal bytes, equal hashes."""
+    power = np.multiply.accumulate(np.full(len(raw), _BASE, dtype=np.uint64))
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_LETTER[raw] * power)])
+    back = np.multiply.accumulate(np.full(len(raw), _BASE_INVERSE, dtype=np.uint64))
+    return mixed((total[ends] - total[starts]) * back[starts])
+
+
 def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in a row, and the words of each text; ``fold`` lower-cases A-Z first."""
     joined = b" ".join(t.lower() if fold else t for t in texts)
@@ -39,10 +47,7 @@ def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.n
     inside = np.concatenate([[False], ~_SPACE[raw], [False]])
     starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
     ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
-    power = np.multiply.accumulate(np.full(len(raw), _BASE, dtype=np.uint64))
-    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_LETTER[raw] * power)])
-    back = np.multiply.accumulate(np.full(len(raw), _BASE_INVERSE, dtype=np.uint64))
-    words = mixed((total[ends] - total[starts]) * back[starts])
+    words = span_hashes(raw, starts, ends)
     firsts = np.cumsum([0, *[len(t) + 1 for t in texts]])
     return words, np.diff(np.searchsorted(starts, firsts))
 
