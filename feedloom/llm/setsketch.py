@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -44,6 +43,9 @@ CERTAIN = 15.0
 HALF = M // 2
 #: Sets of a block of the rest.
 BLOCK = 1000
+#: Rows of the rest that a task looks at together, more if one cell has more, and pairs it compares at once.
+CELL_ROWS = 4000
+PAIRS = 50_000
 #: Pairs of an Arrow batch that carries two texts each.
 PAIR_ROWS = 64
 BITMAP_BITS = 24
@@ -233,25 +235,53 @@ def _rest(met: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> Da
     guest = open_rows.where(F.col("root") != F.col("largest")).withColumn("g", (cell % F.col("guests")).cast("int"))
     guest = guest.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("hosts") - 1))).withColumn("guest", F.lit(True))
     columns = ["bucket", "h", "g", "guest", "node", "root", "n", "sketch"]
+    cells = host.select(*columns).union(guest.select(*columns)).repartition("bucket", "h", "g").sortWithinPartitions("bucket", "h", "g", "guest")
+    return cells.mapInArrow(_crossed(percent), "a long, b long").distinct()
+
+
+def _crossed(percent: int):
+    """Plausible pairs of a host and a guest of one cell; rows come by cell, hosts first."""
+
+    def found(cells: pa.Table) -> Iterator[pa.RecordBatch]:
+        key = np.stack([cells.column(c).to_numpy() for c in ("bucket", "h", "g")])
+        first = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+        cell = np.repeat(np.arange(len(first)), np.diff(np.append(first, key.shape[1])))
+        guest = cells.column("guest").to_numpy()
+        hosts = np.bincount(cell[~guest], minlength=len(first))
+        node, root, n = (cells.column(c).to_numpy() for c in ("node", "root", "n"))
+        sketch = _matrix(cells.column("sketch").combine_chunks())
+        at = np.flatnonzero(guest)
+        times = hosts[cell[at]]
+        done = np.concatenate([[0], np.cumsum(times)])
+        for lo in range(0, int(done[-1]), PAIRS):
+            k = np.arange(lo, min(lo + PAIRS, int(done[-1])))
+            of = np.searchsorted(done, k, side="right") - 1
+            x, y = first[cell[at[of]]] + k - done[of], at[of]
+            open_pair = (root[x] != root[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+            x, y = x[open_pair], y[open_pair]
+            more, less = (sketch[x] > sketch[y]).sum(axis=1), (sketch[x] < sketch[y]).sum(axis=1)
+            near = more + less <= M - HALF
+            x, y, more, less = x[near], y[near], more[near], less[near]
+            if len(x):
+                good = plausible(more, less, n[x], n[y], percent)
+                a, b = node[x[good]], node[y[good]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    def crossed(block: pd.DataFrame) -> pd.DataFrame:
-        there, here = block[~block["guest"]], block[block["guest"]]
-        x = np.frombuffer(b"".join(there["sketch"]), dtype=np.uint8).reshape(-1, M)
-        node, root, n = (there[c].to_numpy() for c in ("node", "root", "n"))
-        out = []
-        for a, r, size, sketch in zip(*(here[c] for c in ("node", "root", "n", "sketch"))):
-            k = np.flatnonzero((root != r) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size)))
-            if len(k):
-                y = np.frombuffer(sketch, dtype=np.uint8)
-                k = k[(x[k] == y).sum(axis=1) >= HALF]
-            if len(k):
-                more, less = (x[k] > y).sum(axis=1), (x[k] < y).sum(axis=1)
-                b = node[k[plausible(more, less, n[k], np.full(len(k), size), percent)]]
-                out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}))
-        return pd.concat(out) if out else pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-
-    found = host.select(*columns).union(guest.select(*columns)).groupBy("bucket", "h", "g").applyInPandas(crossed, "a long, b long")
-    return found.distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= CELL_ROWS:
+                cells = pa.Table.from_batches(held)
+                key = np.stack([cells.column(c).to_numpy() for c in ("bucket", "h", "g")])
+                last = int(np.argmax((key == key[:, -1:]).all(axis=0)))
+                if last:
+                    yield from found(cells.slice(0, last))
+                    held = cells.slice(last).combine_chunks().to_batches()
+        if held and sum(b.num_rows for b in held):
+            yield from found(pa.Table.from_batches(held))
+
+    return run
 
 
 def near_copies(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, DataFrame]:
