@@ -10,10 +10,12 @@ register has surely got one are never made, and where one is empty all the same
 * Stars: each bucket's sets are paired with its least set alone, so a bucket of any size gives no more pairs than it has sets.
 * Likelihood: registers of a pair that are greater, less and equal are trinomial given both sizes and the
   similarity. A pair goes if the maximum lies below the threshold and is 15 in logarithm more likely than the threshold is.
-* Verification: what is left is decided on the full sets.
-* Rest: links make components. Only in a bucket that then still holds more than one component do sets
-  of different components meet each other, in blocks of bounded size: those outside its largest component against all.
-  So links are lost to none but the bands.
+* Verification: parities of the sets' hashes give a number of elements in which they surely differ, which excludes most
+  pairs just below the threshold; what is left is decided on the full sets.
+* Rest: only in a bucket that then still holds more than one component do sets of different components meet each
+  other, in blocks of bounded size: those outside its largest component against all. Each takes the nearest few that pass, then
+  eight times as many, until none has more: links merge components in between, so few pairs are ever made.
+  Links are lost to none but the bands.
 """
 
 from __future__ import annotations
@@ -41,6 +43,10 @@ RATE = 20.0
 CERTAIN = 15.0
 #: With fewer equal registers no pair of similar sizes passes the likelihood; at the threshold 0.857 of them are equal.
 HALF = M // 2
+#: Slots of a set's parities.
+SLOTS = 1024
+#: How many more of its nearest a set takes from round to round.
+WIDER = 8
 #: Sets of a block of the rest.
 BLOCK = 1000
 #: Rows of the rest that a task looks at together, more if one cell has more, and pairs it compares at once.
@@ -55,7 +61,7 @@ _SEED = np.uint64(0x3C6EF372FE94F82A)
 #: Registers are surely all set after (ln M + SURE) / n, but for one text in exp(SURE).
 SURE = 6.0
 
-SKETCHES = "doc_id long, row long, n long, node long, sketch binary, bytes binary"
+SKETCHES = "doc_id long, row long, n long, node long, sketch binary, parity binary, bytes binary"
 
 
 def least_draws(sets: list[np.ndarray], sure: float = SURE) -> np.ndarray:
@@ -91,6 +97,18 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(value, 0, 255).astype(np.uint8)
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """Of each of SLOTS slots whether an odd number of elements falls there: sets differ in at least as many elements as these in bits."""
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & (SLOTS - 1), minlength=SLOTS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def surely_apart(x: np.ndarray, y: np.ndarray, first: np.ndarray, second: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs whose parities exclude that they are ``percent`` similar."""
+    differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return (100 + percent) * differ > (100 - percent) * (first + second)
+
+
 def buckets(sketches: np.ndarray) -> np.ndarray:
     """Per sketch the names of its BANDS buckets."""
     rows = np.ascontiguousarray(sketches)
@@ -138,12 +156,13 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingle_sets(batch.column("bytes").to_pylist())
             some = [i for i, s in enumerate(sets) if len(s)]
             sketches: list[bytes | None] = [None] * len(sets)
+            odd = [parities(s) if len(s) else None for s in sets]
             for i, row in zip(some, registers([sets[i] for i in some])):
                 sketches[i] = row.tobytes()
             nodes = [set_id(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), batch.column("bytes")],
-                names=["doc_id", "row", "n", "node", "sketch", "bytes"],
+                [batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(odd, pa.binary()), batch.column("bytes")],
+                names=["doc_id", "row", "n", "node", "sketch", "parity", "bytes"],
             )
 
 
@@ -153,24 +172,26 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names.reshape(-1)), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], names=["bucket", "node"])
 
 
-def _matrix(sketches: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches.to_pylist()), dtype=np.uint8).reshape(-1, M)
+def _matrix(values: pa.Array, width: int = M) -> np.ndarray:
+    return np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint8).reshape(-1, width)
 
 
 def _compared(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = _matrix(batch.column("x")), _matrix(batch.column("y"))
-            good = plausible((x > y).sum(axis=1), (x < y).sum(axis=1), batch.column("nx").to_numpy(), batch.column("ny").to_numpy(), percent)
+            nx, ny = batch.column("nx").to_numpy(), batch.column("ny").to_numpy()
+            good = plausible((x > y).sum(axis=1), (x < y).sum(axis=1), nx, ny, percent)
+            good &= ~surely_apart(_matrix(batch.column("px"), SLOTS // 8), _matrix(batch.column("py"), SLOTS // 8), nx, ny, percent)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good))], names=["a", "b"])
 
     return run
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` that the likelihood leaves."""
-    x = sets.select(F.col("node").alias("a"), F.col("n").alias("nx"), F.col("sketch").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("n").alias("ny"), F.col("sketch").alias("y"))
+    """Those of ``pairs(a, b)`` that the likelihood and the parities leave."""
+    x = sets.select(F.col("node").alias("a"), F.col("n").alias("nx"), F.col("sketch").alias("x"), F.col("parity").alias("px"))
+    y = sets.select(F.col("node").alias("b"), F.col("n").alias("ny"), F.col("sketch").alias("y"), F.col("parity").alias("py"))
     sized = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
     return pairs.join(x, "a").join(y, "b").where(sized).mapInArrow(_compared(percent), "a long, b long")
 
@@ -214,58 +235,70 @@ def _verified(rows: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int)
     y = texts.select(F.col("node").alias("b"), F.col("bytes").alias("y"))
     x = texts.select(F.col("node").alias("a"), F.col("bytes").alias("x"))
     both = pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y")
-    found = stored(both.mapInArrow(_measured, "a long, b long, shared long, total long"), "sketch-links", PAIR_ROWS)
+    found = stored(both.mapInArrow(_measured, "a long, b long, shared long, total long"), "sketch-measured", PAIR_ROWS)
     return found.where(100 * F.col("shared") >= percent * F.col("total"))
 
 
-def _rest(met: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets that share a bucket of ``met(bucket, center, node)`` but, by ``links``, no component.
-
-    The sets outside the largest component of such a bucket meet all its sets, in blocks of about BLOCK x BLOCK.
-    """
-    roots = stored(components(links), "sketch-roots")
-    rooted = met.select("bucket", "node").union(met.select("bucket", "center").distinct()).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _open_rows(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, node, root, largest, all, most): the sets of the buckets of ``met(bucket, node)`` that hold more than one component."""
+    rooted = met.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     sizes = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
     held = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.sum("size").alias("all"), F.max("size").alias("most"))
-    held = held.where(F.col("all") > F.col("most"))
-    held = held.select("bucket", "largest", F.ceil(F.col("all") / BLOCK).cast("int").alias("hosts"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("guests"))
-    open_rows = stored(rooted.join(held, "bucket").join(sets.select("node", "n", "sketch"), "node"), "sketch-rest")
+    return stored(rooted.join(held.where(F.col("all") > F.col("most")), "bucket"), "sketch-rest")
+
+
+def _rest(open_rows: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
+    """Pairs (a, b, more) of sets that share an open bucket but no component: the nearest ``most`` of each set in each block, and whether it has more.
+
+    The sets outside the largest component of a bucket meet all its sets, in blocks of about BLOCK x BLOCK.
+    """
+    blocks = open_rows.withColumn("hosts", F.ceil(F.col("all") / BLOCK).cast("int")).withColumn("guests", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int"))
+    blocks = blocks.join(sets.select("node", "n", "sketch", "parity"), "node")
     cell = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
-    host = open_rows.withColumn("h", (cell % F.col("hosts")).cast("int")).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("guests") - 1))).withColumn("guest", F.lit(False))
-    guest = open_rows.where(F.col("root") != F.col("largest")).withColumn("g", (cell % F.col("guests")).cast("int"))
+    host = blocks.withColumn("h", (cell % F.col("hosts")).cast("int")).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("guests") - 1))).withColumn("guest", F.lit(False))
+    guest = blocks.where(F.col("root") != F.col("largest")).withColumn("g", (cell % F.col("guests")).cast("int"))
     guest = guest.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("hosts") - 1))).withColumn("guest", F.lit(True))
-    columns = ["bucket", "h", "g", "guest", "node", "root", "n", "sketch"]
+    columns = ["bucket", "h", "g", "guest", "node", "root", "n", "sketch", "parity"]
     cells = host.select(*columns).union(guest.select(*columns)).repartition("bucket", "h", "g").sortWithinPartitions("bucket", "h", "g", "guest")
-    return cells.mapInArrow(_crossed(percent), "a long, b long").distinct()
+    return cells.mapInArrow(_crossed(percent, most), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
-def _crossed(percent: int):
-    """Plausible pairs of a host and a guest of one cell; rows come by cell, hosts first."""
+def _crossed(percent: int, most: int):
+    """Of each guest of a cell the ``most`` nearest hosts of other components that pass; rows come by cell, hosts first."""
 
-    def found(cells: pa.Table) -> Iterator[pa.RecordBatch]:
+    def met(cells: pa.Table) -> Iterator[pa.RecordBatch]:
         key = np.stack([cells.column(c).to_numpy() for c in ("bucket", "h", "g")])
         first = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
         cell = np.repeat(np.arange(len(first)), np.diff(np.append(first, key.shape[1])))
         guest = cells.column("guest").to_numpy()
         hosts = np.bincount(cell[~guest], minlength=len(first))
         node, root, n = (cells.column(c).to_numpy() for c in ("node", "root", "n"))
-        sketch = _matrix(cells.column("sketch").combine_chunks())
+        sketch, parity = _matrix(cells.column("sketch").combine_chunks()), _matrix(cells.column("parity").combine_chunks(), SLOTS // 8)
         at = np.flatnonzero(guest)
         times = hosts[cell[at]]
         done = np.concatenate([[0], np.cumsum(times)])
+        near: list[np.ndarray] = []
         for lo in range(0, int(done[-1]), PAIRS):
             k = np.arange(lo, min(lo + PAIRS, int(done[-1])))
             of = np.searchsorted(done, k, side="right") - 1
             x, y = first[cell[at[of]]] + k - done[of], at[of]
             open_pair = (root[x] != root[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
             x, y = x[open_pair], y[open_pair]
+            able = ~surely_apart(parity[x], parity[y], n[x], n[y], percent)
+            x, y = x[able], y[able]
             more, less = (sketch[x] > sketch[y]).sum(axis=1), (sketch[x] < sketch[y]).sum(axis=1)
-            near = more + less <= M - HALF
-            x, y, more, less = x[near], y[near], more[near], less[near]
-            if len(x):
-                good = plausible(more, less, n[x], n[y], percent)
-                a, b = node[x[good]], node[y[good]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            some = more + less <= M - HALF
+            x, y, more, less = x[some], y[some], more[some], less[some]
+            good = plausible(more, less, n[x], n[y], percent) if len(x) else np.zeros(0, dtype=bool)
+            near.append(np.stack([y, more + less, node[x], node[y]])[:, good])
+            if sum(p.shape[1] for p in near) > 4 * PAIRS:
+                near = [_nearest(np.concatenate(near, axis=1), most + 1)]
+        found = _nearest(np.concatenate(near, axis=1), most + 1) if near else np.empty((4, 0), dtype=np.int64)
+        if found.shape[1]:
+            places = _places(found[0])
+            full = np.isin(found[0], found[0][places >= most])
+            found, full = found[:, places < most], full[places < most]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(found[2], found[3])), pa.array(np.maximum(found[2], found[3])), pa.array(full)], names=["a", "b", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -276,14 +309,27 @@ def _crossed(percent: int):
                 key = np.stack([cells.column(c).to_numpy() for c in ("bucket", "h", "g")])
                 last = int(np.argmax((key == key[:, -1:]).all(axis=0)))
                 if last:
-                    yield from found(cells.slice(0, last))
+                    yield from met(cells.slice(0, last))
                     held = cells.slice(last).combine_chunks().to_batches()
         if held and sum(b.num_rows for b in held):
-            yield from found(pa.Table.from_batches(held))
+            yield from met(pa.Table.from_batches(held))
 
     return run
 
 
+def _nearest(pairs: np.ndarray, most: int) -> np.ndarray:
+    """Of columns (guest, distance, host's node, guest's node) the first ``most`` of each guest, by guest."""
+    pairs = pairs[:, np.lexsort((pairs[2], pairs[1], pairs[0]))]
+    return pairs[:, _places(pairs[0]) < most]
+
+
+def _places(sorted_keys: np.ndarray) -> np.ndarray:
+    """The place of each entry among those of its key."""
+    fresh = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
+    k = np.arange(len(sorted_keys))
+    return k - np.maximum.accumulate(np.where(fresh, k, 0)) if len(k) else k
+
+
 def near_copies(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """Members and links of the texts of ``docs(doc_id, text)`` that are at least ``percent`` similar.
 
@@ -301,19 +347,31 @@ def near_copies(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, DataFram
     raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"))
     rows = stored(raw.mapInArrow(_sketched, SKETCHES), "sketch-rows")
     named = rows.where(F.col("node").isNotNull()).groupBy("node")
-    sets = stored(named.agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.min("n").alias("n"), F.min("sketch").alias("sketch")), "sketch-sets")
+    sets = stored(named.agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("parity").alias("parity")), "sketch-sets")
 
     banded = sets.select("node", "sketch").mapInArrow(_banded, "bucket long, node long")
     shared = banded.groupBy("bucket").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1).select("bucket", "center")
-    met = stored(banded.join(shared, "bucket").where(F.col("node") != F.col("center")), "sketch-buckets")
-    stars = met.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    met = stored(banded.join(shared, "bucket"), "sketch-buckets")
+    stars = met.where(F.col("node") != F.col("center")).select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     tested = stored(_likely(stars, sets, percent), "sketch-pairs")
     links = _verified(rows, sets, tested, percent)
-    more = stored(_rest(met, links, sets, percent).join(tested, ["a", "b"], "left_anti"), "sketch-pairs")
-    if not more.isEmpty():
-        links = links.union(_verified(rows, sets, more, percent))
-
-    grouped = sets.select("node", "least").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = stored(components(links), "sketch-roots")
+    open_rows, most = _open_rows(met.select("bucket", "node"), roots), 1
+    while not open_rows.isEmpty():
+        near = stored(_rest(open_rows, sets, percent, most), "sketch-near")
+        fresh = stored(near.select("a", "b").join(tested, ["a", "b"], "left_anti"), "sketch-pairs")
+        found = _verified(rows, sets, fresh, percent)
+        tested, grown = tested.union(fresh), not found.isEmpty()
+        if grown:
+            links = links.union(found)
+            roots = stored(components(links), "sketch-roots")
+        if near.where("more").isEmpty():
+            break
+        most *= WIDER
+        if grown:
+            open_rows = _open_rows(open_rows.select("bucket", "node"), roots)
+
+    grouped = sets.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     component = grouped.join(least, "root").select(F.col("node").alias("_node"), "component_id")
     members = rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(component, F.col("node") == F.col("_node"), "left")
