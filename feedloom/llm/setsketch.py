@@ -14,7 +14,7 @@ register has surely got one are never made, and where one is empty all the same
   pairs just below the threshold; what is left is decided on the full sets.
 * Rest: only in a bucket that then still holds more than one component do sets of different components meet each
   other, in blocks of bounded size: those outside its largest component against all. Each takes the nearest few that pass, then
-  eight times as many, until none has more: links merge components in between, so few pairs are ever made.
+  32 times as many, until none has more: links merge components in between, so few pairs are ever made.
   Links are lost to none but the bands.
 """
 
@@ -45,8 +45,8 @@ CERTAIN = 15.0
 HALF = M // 2
 #: Slots of a set's parities.
 SLOTS = 1024
-#: How many more of its nearest a set takes from round to round.
-WIDER = 8
+#: How many of its nearest a set takes in each block at first, and how many times more from round to round.
+WIDER = 32
 #: Sets of a block of the rest.
 BLOCK = 1000
 #: Rows of the rest that a task looks at together, more if one cell has more, and pairs it compares at once.
@@ -239,6 +239,18 @@ def _verified(rows: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int)
     return found.where(100 * F.col("shared") >= percent * F.col("total"))
 
 
+def _grown(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots(node, root)`` after further links: only components that these join are worked on."""
+    of = lambda c: F.coalesce(F.col(f"{c}_root"), F.col(c)).alias(c)
+    ends = found.select("a", "b")
+    for c in ("a", "b"):
+        ends = ends.join(roots.select(F.col("node").alias(f"{c}_node"), F.col("root").alias(f"{c}_root")), F.col(c) == F.col(f"{c}_node"), "left")
+    joined = stored(components(ends.select(of("a"), of("b"))).select(F.col("node").alias("old"), F.col("root").alias("new")), "sketch-joined")
+    lone = joined.join(roots, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
+    moved = roots.join(joined, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+    return stored(moved.union(lone), "sketch-roots")
+
+
 def _open_rows(met: DataFrame, roots: DataFrame) -> DataFrame:
     """(bucket, node, root, largest, all, most): the sets of the buckets of ``met(bucket, node)`` that hold more than one component."""
     rooted = met.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
@@ -356,15 +368,14 @@ def near_copies(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, DataFram
     tested = stored(_likely(stars, sets, percent), "sketch-pairs")
     links = _verified(rows, sets, tested, percent)
     roots = stored(components(links), "sketch-roots")
-    open_rows, most = _open_rows(met.select("bucket", "node"), roots), 1
+    open_rows, most = _open_rows(met.select("bucket", "node"), roots), WIDER
     while not open_rows.isEmpty():
         near = stored(_rest(open_rows, sets, percent, most), "sketch-near")
         fresh = stored(near.select("a", "b").join(tested, ["a", "b"], "left_anti"), "sketch-pairs")
         found = _verified(rows, sets, fresh, percent)
         tested, grown = tested.union(fresh), not found.isEmpty()
         if grown:
-            links = links.union(found)
-            roots = stored(components(links), "sketch-roots")
+            links, roots = links.union(found), _grown(roots, found)
         if near.where("more").isEmpty():
             break
         most *= WIDER
