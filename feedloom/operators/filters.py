@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.text import contained_words, contains_any
 from feedloom.functions.urls import news_flag, url_domains
+from feedloom.operators.grams import words_in_texts
 from feedloom.operators.joins import drop_members, fits_broadcast, keep_members, spread_join
 
 INLINE_WORDS = 200
 INLINE_DOMAINS = 500
-BROADCAST_WORDS = 100_000
-GRAM = 3
 
 
 def no_reposts(posts: DataFrame) -> DataFrame:
@@ -71,30 +70,22 @@ def _listed(posts: DataFrame, words: Sequence[str] | DataFrame) -> DataFrame:
 
 
 def _words_by_text(posts: DataFrame, column: str, listed: DataFrame, case_sensitive: bool) -> DataFrame:
-    """(_digest, word, times): which distinct texts hold which listed words, as an equi-join.
+    """(_digest, word, times): which distinct texts hold which listed words, through the rarest gram of each word.
 
-    A word occurs only where its first three characters do. Every position of a text gives those
-    and a tail as long as the longest word; they meet the words with that start, and the tail
-    decides on the spot. No text is shuffled, and nothing but true matches leaves the join.
-    Words of one or two characters meet on themselves; an empty word is in every text.
+    An empty word is in every text.
     """
     fold = (lambda c: c) if case_sensitive else F.lower
-    needles = listed.select("word", "times", fold(F.col("word")).alias("needle")).withColumn("gram", F.substring("needle", 1, GRAM))
-    texts = posts.select(text_digest(F.col(column)).alias("_digest"), fold(F.col(column)).alias("_text")).where(F.col("_text").isNotNull())
-    size = needles.agg(F.min(F.length("needle")).alias("shortest"), F.max(F.length("needle")).alias("longest")).first()
-    if size["longest"] is None:
-        return texts.select("_digest", F.lit("").alias("word"), F.lit(0).cast("bigint").alias("times")).where(F.lit(False))
-    tails = F.regexp_extract_all(F.col("_text"), F.lit(f"(?s)(?=(.{{1,{max(1, size['longest'])}}}))"), F.lit(1))
-    tails = F.array_distinct(F.concat(tails, F.array(F.lit("")))) if size["shortest"] == 0 else F.array_distinct(tails)
-    located = texts.select("_digest", F.explode_outer(tails).alias("_tail")).where(F.col("_tail").isNotNull())
-    lengths = range(min(GRAM, size["shortest"]), GRAM + 1)
-    grams = F.array_distinct(F.array(*[F.substring("_tail", 1, n) if n else F.lit("") for n in lengths]))
-    located = located.select("_digest", "_tail", F.explode(grams).alias("_gram"))
-    if fits_broadcast(needles, BROADCAST_WORDS):
-        met = located.join(F.broadcast(needles), (F.col("_gram") == F.col("gram")) & F.startswith("_tail", "needle"))
+    needles = listed.select("word", fold(F.col("word")).cast("binary").alias("needle"))
+    texts = posts.select(text_digest(F.col(column)).alias("digest"), fold(F.col(column)).cast("binary").alias("data")).where(F.col("data").isNotNull())
+    met = words_in_texts(texts, needles.where(F.octet_length("needle") > 0))
+    if not needles.where(F.octet_length("needle") == 0).isEmpty():
+        met = met.unionByName(texts.select("digest", F.lit("").alias("word")).distinct())
+    times = listed.select(F.col("word").alias("_listed"), "times")
+    if fits_broadcast(times):
+        met = met.join(F.broadcast(times), F.col("word") == F.col("_listed"))
     else:
-        met = spread_join(located, needles, {"_gram": "gram"}, "inner", ["_digest", "_tail"]).where(F.startswith("_tail", "needle"))
-    return met.select("_digest", "word", "times").distinct()
+        met = spread_join(met, times, {"word": "_listed"}, "inner", ["digest"])
+    return met.select(F.col("digest").alias("_digest"), "word", "times")
 
 
 def flag_news(posts: DataFrame, news_domains: Sequence[str] | DataFrame, column: str = "full_text") -> DataFrame:

@@ -1,5 +1,6 @@
 """Edge tables: null ids and texts, duplicates, ties, empty input, hot keys."""
 
+import random
 from collections import Counter
 from datetime import datetime
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom import schema
-from feedloom.operators import counts, filters, idsets, joins, lookups, metrics, quality, ranking, terms
+from feedloom.operators import counts, filters, grams, idsets, joins, lookups, metrics, quality, ranking, terms
 from feedloom.plans import feed, labelling
 from feedloom.sources import payloads, tables
 
@@ -82,6 +83,37 @@ def test_long_word_lists_equal_brute_force(spark):
     assert filters.word_matches(posts, "full_text", table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [False, True])
+def test_rarest_grams_find_what_a_scan_finds(spark, monkeypatch, spread):
+    if spread:  # as beyond any broadcast
+        for module in (grams, filters):
+            monkeypatch.setattr(module, "fits_broadcast", lambda df: False)
+        monkeypatch.setattr(grams, "BROADCAST_ROWS", 0)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abAé ") for _ in range(rng.choice([0, 3, 60, 400]))) for _ in range(80)]
+    words = {"".join(rng.choice("abé ") for _ in range(rng.choice([1, 2, 3, 4, 5, 8, 12]))) for _ in range(300)}
+    words |= {t[5:40] for t in texts[:20] if len(t) > 50} | {"never seen", "é" * 7}
+    posts = make_posts(spark, [(i, 1, t) for i, t in enumerate(texts)] + [(99, 1, None), (5, 1, texts[5])])
+    table = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+    for cs in (True, False):
+        fold = (lambda s: s) if cs else str.lower
+        expected = Counter((r["id"], w) for r in posts.collect() for w in words if r["full_text"] is not None and fold(w) in fold(r["full_text"]))
+        assert Counter((r["id"], r["word"]) for r in filters.word_matches(posts, "full_text", table, cs).collect()) == expected
+        kept = [r["id"] for r in filters.drop_containing(posts, "full_text", table.where("word <> ' '").where("length(word) > 3"), cs).collect()]
+        dropped = {i for (i, w) in expected if len(w) > 3}
+        assert sorted(kept) == sorted(i for i in [*range(80), 99, 5] if i not in dropped)
+
+
+def test_a_long_word_in_a_long_text(spark):
+    """Places are numbers: a word of 10 kB in texts of 1 MB costs a look, not a tail per place."""
+    rng = random.Random(7)
+    long_word = "".join(rng.choice("abcdef") for _ in range(10_000))
+    filler = "".join(rng.choice("abcdef ") for _ in range(500_000))
+    posts = make_posts(spark, [(1, 1, filler + long_word + filler), (2, 1, filler + long_word[:-1] + "g" + filler), (3, 1, filler * 2)])
+    words = spark.createDataFrame([(long_word,), ("abcdefabcdefabcdef",)], "word string")
+    assert [(r["id"], r["word"]) for r in filters.word_matches(posts, "full_text", words).collect()] == [(1, long_word)]
+
+
 def test_filters_answer_alike_at_every_list_size(spark):
     posts = make_posts(spark, [(None, 1, "has covid"), (None, 1, "clean"), (1, 1, "has COVID"), (1, 1, "clean"), (2, 1, "clean"), (3, 1, None), (4, 1, "covid covid")])
     rows = lambda df: Counter((r["id"], r["full_text"]) for r in df.collect())
