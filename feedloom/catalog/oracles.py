@@ -191,7 +191,7 @@ UNION ALL
 SELECT p.id, w.word, true FROM posts p JOIN (SELECT unnest([{listed(st.MUTE_WORDS_CS)}]) AS word) w
   ON contains(p.full_text, w.word)"""
 LONG_WORDS = f"""words AS (
-  SELECT lower(c_mktsegment) AS word FROM customer UNION SELECT split_part({domain('url')}, '.', 1) FROM pages)"""
+  SELECT c_name AS word FROM customer UNION SELECT split_part({domain('url')}, '.', 1) FROM pages)"""
 ORACLES["mute_drop_long"] = f"""WITH {POSTS}, {LONG_WORDS}
 SELECT id FROM posts p WHERE NOT EXISTS (SELECT 1 FROM words w WHERE contains(lower(p.full_text), lower(w.word)))"""
 ORACLES["mute_matches_long"] = f"""WITH {POSTS}, {LONG_WORDS}
@@ -222,6 +222,9 @@ ORACLES["score_upsert"] = f"""WITH fresh AS (
 SELECT id, predicted FROM fresh
 UNION ALL
 SELECT doc_id, {byte_score('doc_id')} FROM labels WHERE quality = 1 AND doc_id NOT IN (SELECT id FROM fresh)"""
+ORACLES["score_upsert_buckets"] = f"""SELECT doc_id AS id, CASE WHEN toxic = 1 THEN {byte_score('doc_id', 5)}
+  WHEN quality = 0 THEN {byte_score('doc_id', 3)} ELSE {byte_score('doc_id')} END AS predicted
+FROM labels WHERE quality IN (0, 1) OR toxic = 1"""
 ORACLES["score_overwrite"] = f"""WITH {POSTS}, {LOG}
 SELECT id, {byte_score('id', 5)} AS predicted FROM posts p
 WHERE lang = 'en' AND retweeted_status IS NULL AND NOT EXISTS (SELECT 1 FROM log l WHERE l.post_id = p.id)"""
@@ -446,12 +449,15 @@ SELECT id AS post_id, 'no_errors' AS err_reason FROM posts p
 WHERE lang = 'en' AND retweeted_status IS NULL AND NOT EXISTS (SELECT 1 FROM log l WHERE l.post_id = p.id)"""
 
 ORACLES["stream_score"] = ORACLES["score_overwrite"]
+ORACLES["stream_ingest_files"] = ORACLES["stream_ingest"]
+ORACLES["stream_score_files"] = ORACLES["score_overwrite"]
+ORACLES["stream_feed_files"] = ORACLES["stream_feed"]
 
 # --- written and read back -------------------------------------------------------------
 
 ORACLES["csv_log"] = f"WITH {LOG} SELECT post_id, err_reason FROM log"
 ORACLES["csv_scores"] = f"WITH {SCORES} SELECT id, predicted FROM scores"
-ORACLES["json_words"] = "SELECT DISTINCT c_mktsegment AS word FROM customer"
+ORACLES["json_words"] = "SELECT DISTINCT c_name AS word FROM customer"
 ORACLES["label_export_array"] = f"""WITH {POSTS}
 SELECT id, full_text, created_at, CAST(quality AS DOUBLE) AS labels FROM posts JOIN labels ON doc_id = id"""
 ORACLES["label_export_lines"] = ORACLES["label_export_array"]

@@ -12,6 +12,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feedloom import schema
 from feedloom.functions import text as tx
@@ -21,7 +22,7 @@ from feedloom.operators import counts, filters, idsets, lookups, metrics, qualit
 from feedloom.operators.joins import drop_members, keep_members
 from feedloom.plans import feed, labelling, scoring, training
 from feedloom.session import shared_folder
-from feedloom.sources import payloads, sinks, tables
+from feedloom.sources import buckets, payloads, sinks, tables
 from feedloom.sources import standins as st
 from feedloom.streaming import jobs
 
@@ -70,10 +71,9 @@ def csv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The distinct customer names as one JSON array of strings, read back as a word list."""
+    """The distinct customer names as JSON arrays of strings, read back as a word list."""
     path = shared_folder(spark, "json-words")
-    names = st.table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
-    names.agg(F.to_json(F.collect_list("c_mktsegment")).alias("value")).write.text(path)
+    sinks.write_string_list(st.members(spark, sf_dir).select("screen_name").distinct(), path)
     return tables.read_string_list(spark, path)
 
 
@@ -119,7 +119,7 @@ def version_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
     for table in (scores.where(F.col("predicted") < 0.5), scores):
         sinks.publish_version(table, root)
     try:
-        sinks.publish_version(scores.withColumn("predicted", F.lit(2.0)), root, lambda t: quality.enforce(quality.run_checks(t, *quality.SCORES_SUITE)))
+        sinks.publish_version(scores.withColumn("predicted", F.lit(2.0)), root, checks=quality.SCORES_SUITE)
     except quality.CheckFailed:
         pass
     current = sinks.current_version(spark, root)
@@ -203,7 +203,7 @@ def mute_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _long_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer name and every domain label of the pages."""
-    names = st.members(spark, sf_dir).select(F.lower("list_name").alias("word"))
+    names = st.members(spark, sf_dir).select(F.col("screen_name").alias("word"))
     hosts = st.table(spark, sf_dir, "pages").select(F.split_part(ux.url_domain(F.col("url")), F.lit("."), F.lit(1)).alias("word"))
     return names.unionByName(hosts).distinct()
 
@@ -295,6 +295,20 @@ def score_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.upsert_scores(current, fresh)
 
 
+@query
+def score_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three upserts into a table in buckets, and a fourth that fails its checks; the third one's table is read."""
+    root, labels = shared_folder(spark, "score-buckets"), st.table(spark, sf_dir, "labels")
+    for position, rows in ((1, F.col("quality") == 1), (3, (F.col("toxic") == 1) | (F.col("quality") == 0)), (5, F.col("toxic") == 1)):
+        fresh = labels.where(rows).select(F.col("doc_id").alias("id"), st.byte_score(F.col("doc_id"), position).alias("predicted"))
+        buckets.upsert_buckets(fresh, root, "id", lookups.upsert_scores, schema.SCORES, quality.SCORES_SUITE)
+    try:
+        buckets.upsert_buckets(st.scores(spark, sf_dir).withColumn("predicted", F.lit(2.0)), root, "id", lookups.upsert_scores, schema.SCORES, quality.SCORES_SUITE)
+    except quality.CheckFailed:
+        pass
+    return buckets.read_buckets(spark, root, schema.SCORES)
+
+
 def _byte_scorer(posts: DataFrame) -> DataFrame:
     return posts.select("id", st.byte_score(F.col("id"), 5).alias("predicted"))
 
@@ -760,7 +774,11 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _post_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table_stream(spark, sf_dir, "documents").select(
+    return _as_posts(_table_stream(spark, sf_dir, "documents"))
+
+
+def _as_posts(docs: DataFrame) -> DataFrame:
+    return docs.select(
         F.col("doc_id").alias("id"),
         F.regexp_extract("source", "([0-9]+)$", 1).try_cast("bigint").alias("user"),
         F.col("text").alias("full_text"),
@@ -798,3 +816,57 @@ def stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = shared_folder(spark, "feed"), shared_folder(spark, "feed-state")
     jobs.feed(_post_stream(spark, sf_dir), st.delivery_log(spark, sf_dir), out, checkpoint)
     return sinks.read_batches(spark, out, schema.DELIVERY_LOG).drop("batch_id")
+
+
+def _landing(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, StructType, Callable[[int], None]]:
+    """An empty folder, the schema of a table, and what lands the table there: each call a half, each in three files and with some rows of the other half."""
+    rows = st.table(spark, sf_dir, name)
+    folder, dealt = shared_folder(spark, f"landed-{name}"), F.pmod(F.xxhash64(rows.columns[0]), F.lit(12))
+
+    def land(half: int) -> None:
+        own = (dealt < 6) if half == 0 else (dealt >= 6)
+        repeated = dealt.isin(7, 8) if half == 0 else dealt.isin(0, 1, 7)
+        part = rows.where(own).unionByName(rows.where(repeated))
+        part.repartition(3).write.mode("append").parquet(folder)
+
+    return folder, rows.schema, land
+
+
+@query
+def stream_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that land in six files with repeats, within a file and between them; a stop and a merge of the stored batches lie between the halves."""
+    landed, columns, land = _landing(spark, sf_dir, "events")
+    out, checkpoint = shared_folder(spark, "ingest"), shared_folder(spark, "ingest-state")
+    for half in (0, 1):
+        land(half)
+        events = jobs.file_stream(spark, landed, columns, files_per_trigger=2).select("event_id", "ts", "user_id", "event_type")
+        jobs.ingest(events, "event_id", out, checkpoint, event_time="ts")
+        if half == 0:
+            jobs.compact(spark, out, events.schema, 1, "event_id", "ts")
+    return sinks.read_batches(spark, out, events.schema, by_day=True).select("event_id", "ts", "user_id", "event_type")
+
+
+def _landed_posts(spark: SparkSession, landed: str, columns: StructType) -> DataFrame:
+    return _as_posts(jobs.file_stream(spark, landed, columns, files_per_trigger=2))
+
+
+@query
+def stream_score_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_score``, from six files with repeats and a stop after three."""
+    landed, columns, land = _landing(spark, sf_dir, "documents")
+    out, checkpoint = shared_folder(spark, "scores"), shared_folder(spark, "scores-state")
+    for half in (0, 1):
+        land(half)
+        jobs.score(_landed_posts(spark, landed, columns), _byte_scorer, out, checkpoint, st.delivery_log(spark, sf_dir))
+    return sinks.read_batches(spark, out, schema.SCORES).select("id", "predicted")
+
+
+@query
+def stream_feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_feed``, from six files with repeats and a stop after three."""
+    landed, columns, land = _landing(spark, sf_dir, "documents")
+    out, checkpoint = shared_folder(spark, "feed"), shared_folder(spark, "feed-state")
+    for half in (0, 1):
+        land(half)
+        jobs.feed(_landed_posts(spark, landed, columns), st.delivery_log(spark, sf_dir), out, checkpoint)
+    return sinks.read_batches(spark, out, schema.DELIVERY_LOG).drop("batch_id")

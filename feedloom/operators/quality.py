@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from feedloom.schema import LABEL_SET_ROWS, SCORE_RANGE
@@ -103,3 +103,45 @@ def enforce(results: DataFrame) -> None:
     failed = results.where(~F.col("success")).collect()
     if failed:
         raise CheckFailed("; ".join(f"{r['check']}({r['column']}): {r['unexpected']} unexpected" for r in failed))
+
+
+def measured(df: DataFrame, checks: tuple[Check, ...], within: tuple[str, ...] = ()) -> tuple[DataFrame, Observation | None]:
+    """``df`` with metrics for the suite that the next action on it fills, so the checks need no read of their own.
+
+    For a uniqueness check rows of one key must meet: they are brought together by that key, or, where ``within`` names columns
+    that the key decides and the rows are already together by, without a shuffle. Other checks cost nothing but the counting. A
+    column that is not there fails before anything runs.
+    """
+    if not checks:
+        return df, None
+    there = lambda c: c.column in df.columns
+    absent = [c.column for c in checks if not isinstance(c, RowCount) and not there(c)]
+    if absent:
+        raise CheckFailed("; ".join(f"column_exists({c}): not there" for c in dict.fromkeys(absent)))
+    metrics, columns = [F.count(F.lit(1)).alias("rows")], df.columns
+    for i, check in enumerate(checks):
+        match check:
+            case Between(column):
+                metrics.append(F.count_if(~F.col(column).between(check.low, check.high)).alias(f"out{i}"))
+            case Unique(column):
+                copies = F.count(F.lit(1)).over(Window.partitionBy(*within, column))
+                df = df.withColumn(f"_copies{i}", F.when(F.col(column).isNotNull(), copies))
+                metrics.append(F.count_if(F.col(f"_copies{i}") > 1).alias(f"out{i}"))
+    watched = Observation()
+    return df.observe(watched, *metrics).select(*columns), watched
+
+
+def enforce_metrics(metrics: Observation | None, checks: tuple[Check, ...]) -> None:
+    """As ``enforce``, on the metrics that writing a ``measured`` table has left."""
+    if metrics is None:
+        return
+    found, failed = metrics.get, []
+    for i, check in enumerate(checks):
+        match check:
+            case RowCount(low, high) if not low <= found["rows"] <= high:
+                failed.append(f"row_count_between(*): {found['rows']} rows")
+            case Between(column) | Unique(column) if found[f"out{i}"]:
+                name = "values_unique" if isinstance(check, Unique) else "values_between"
+                failed.append(f"{name}({column}): {found[f'out{i}']} unexpected")
+    if failed:
+        raise CheckFailed("; ".join(failed))

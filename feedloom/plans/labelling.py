@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schema
 from feedloom.operators.filters import in_language
-from feedloom.operators.quality import LABEL_SET_SUITE, Check, enforce, run_checks
+from feedloom.operators.quality import LABEL_SET_SUITE, Check
 from feedloom.sources.sinks import fingerprint, publish_version, read_version
 
 
@@ -22,9 +22,9 @@ def label_set(posts: DataFrame, positive: DataFrame, negative: DataFrame, lang:
 
 
 def publish_label_set(labelled: DataFrame, root: str, suite: tuple[Check, ...] = LABEL_SET_SUITE) -> DataFrame:
-    """Write the next version, check what was written, and return its fingerprint.
+    """Write the next version, checked as it is written, and return its fingerprint.
 
     A failed check stops the job, and the version before stays current.
     """
-    version = publish_version(labelled.select(*schema.LABEL_SET.names), root, lambda written: enforce(run_checks(written, *suite)))
+    version = publish_version(labelled.select(*schema.LABEL_SET.names), root, checks=suite)
     return fingerprint(read_version(labelled.sparkSession, root, schema.LABEL_SET, version))

@@ -12,9 +12,10 @@ from feedloom import schema
 from feedloom.functions.text import clean_text
 from feedloom.operators.lookups import unscored, upsert_scores
 from feedloom.operators.metrics import best_run
-from feedloom.operators.quality import SCORES_SUITE, enforce, run_checks
+from feedloom.operators.quality import SCORES_SUITE
 from feedloom.plans.feed import FeedRules, feed_batch
 from feedloom.plans.training import load_run, positive_probability
+from feedloom.sources.buckets import BUCKETS, read_buckets, upsert_buckets
 from feedloom.sources.sinks import publish_version, read_version
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -64,4 +65,24 @@ def update_score_table(spark: SparkSession, root: str, posts: DataFrame, scorer:
     if (unscored(batch, stored) if mode == "append" else batch).isEmpty():
         return None
     fresh = score_posts(posts, scorer, stored, delivery_log, mode)
-    return publish_version(fresh, root, lambda written: enforce(run_checks(written, *SCORES_SUITE)))
+    return publish_version(fresh, root, checks=SCORES_SUITE)
+
+
+def update_score_buckets(
+    spark: SparkSession, root: str, posts: DataFrame, scorer: Scorer, delivery_log: DataFrame | None, mode: str = "append", buckets: int = BUCKETS
+) -> int | None:
+    """As ``update_score_table`` for a score table in buckets of its ids: only buckets that get a score are written.
+
+    Of the stored table ``append`` reads the ids, to leave out what is scored, and the touched buckets. With ``overwrite`` fresh scores
+    replace stored ones of their ids; others stay.
+    """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
+    batch = scorable(posts, delivery_log)
+    if mode == "append":
+        batch = unscored(batch, read_buckets(spark, root, schema.SCORES))
+    fresh = scorer(batch).select("id", "predicted").persist()
+    try:
+        return upsert_buckets(fresh, root, "id", upsert_scores, schema.SCORES, SCORES_SUITE, buckets)
+    finally:
+        fresh.unpersist()

@@ -15,14 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
+from feedloom.operators.quality import Check, enforce_metrics, measured
+from feedloom.operators.sketches import SKETCH
 from feedloom.schema import REJECTED_DUMP_ABOVE
 from feedloom.session import shared_folder
 from feedloom.sources.tables import empty, exists
 
 POINTER = "CURRENT"
+MERGED = "_MERGED"
 DAY = "stored_day"
 #: Mean size of a JSON array file, once an export is larger than one.
 ARRAY_BYTES = 8 << 20
+#: Strings of one array of an exported list.
+LIST_STRINGS = 100_000
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, day_of: str | None = None) -> None:
@@ -35,12 +40,115 @@ def append_batch(df: DataFrame, path: str, batch_id: int, day_of: str | None = N
 
 
 def read_batches(spark: SparkSession, path: str, columns: StructType, by_day: bool = False) -> DataFrame:
-    """All batches with their ``batch_id`` (and their day, for batches written by day); empty before the first."""
+    """All batches with their ``batch_id`` (and their day, for batches written by day); empty before the first.
+
+    Batches that ``compact_batches`` has merged are read from where it put them.
+    """
     days = [StructField(DAY, DateType())] if by_day else []
     with_batch = StructType([*columns.fields, StructField("batch_id", LongType()), *days])
     if not exists(spark, path):
         return empty(spark, with_batch)
-    return spark.read.schema(with_batch).parquet(path).select(*with_batch.names)
+    upto = compacted(spark, path)
+    if upto is None:
+        return spark.read.schema(with_batch).parquet(path).select(*with_batch.names)
+    merged = spark.read.schema(with_batch).parquet(_merged(path, upto)).select(*with_batch.names)
+    fresh = _folders(spark, path, upto)
+    if not fresh:
+        return merged
+    rest = spark.read.schema(with_batch).option("basePath", path).parquet(*fresh)
+    return merged.unionByName(rest.select(*with_batch.names))
+
+
+def read_batch(spark: SparkSession, path: str, columns: StructType, batch_id: int, by_day: bool = False) -> DataFrame:
+    """One batch's own folder."""
+    days = [StructField(DAY, DateType())] if by_day else []
+    return spark.read.schema(StructType([*columns.fields, *days])).parquet(f"{path}/batch_id={batch_id}").select(*columns.names)
+
+
+def append_sketch(sketch: DataFrame, path: str, batch_id: int, merged: bool = False) -> None:
+    """Keep a batch's key sketch beside the batches; or, ``merged``, that of all batches up to it."""
+    sketch.write.mode("overwrite").parquet(f"{path}/_sketches/{'upto' if merged else 'batch_id'}={batch_id}")
+
+
+def read_sketches(spark: SparkSession, path: str) -> DataFrame:
+    """The key sketches of all batches with their ``batch_id``; of merged batches their common one, if it was made."""
+    columns = StructType.fromDDL(f"{SKETCH}, batch_id bigint")
+    folder, merged = f"{path}/_sketches", compacted(spark, path)
+    upto = merged if merged in _numbered(spark, folder, "upto") else None
+    singles = [f"{folder}/batch_id={n}" for n in _numbered(spark, folder, "batch_id") if upto is None or n > upto]
+    parts = spark.read.schema(columns).option("basePath", folder).parquet(*singles).select(*columns.names) if singles else empty(spark, columns)
+    if upto is None:
+        return parts
+    common = spark.read.schema(SKETCH).parquet(f"{folder}/upto={upto}").withColumn("batch_id", F.lit(upto).cast("bigint"))
+    return common.unionByName(parts)
+
+
+def compacted(spark: SparkSession, path: str) -> int | None:
+    """The last batch that has been merged with all before it."""
+    pointer = f"{path}/{MERGED}"
+    return int(read_text(spark, pointer)) if exists(spark, pointer) else None
+
+
+def _merged(path: str, upto: int) -> str:
+    return f"{path}/_merged-{upto}"
+
+
+def _numbered(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """The numbers of the folders ``kind=number`` of a path."""
+    if not exists(spark, path):
+        return []
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName().partition("=") for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    return sorted(int(n) for k, _, n in names if k == kind)
+
+
+def _folders(spark: SparkSession, path: str, after: int) -> list[str]:
+    """Folders of the batches after one."""
+    return [f"{path}/batch_id={n}" for n in _numbered(spark, path, "batch_id") if n > after]
+
+
+def unsketched(spark: SparkSession, path: str, before: int) -> list[int]:
+    """Batches before one whose keys no sketch holds."""
+    folder, merged = f"{path}/_sketches", compacted(spark, path)
+    upto = max([-1, *(n for n in _numbered(spark, folder, "upto") if merged is not None and n == merged)])
+    held = {*_numbered(spark, folder, "batch_id"), *range(upto + 1)}
+    missing = [n for n in _numbered(spark, path, "batch_id") if n < before and n not in held]
+    return missing if merged is None or upto >= 0 or missing else [n for n in range(min(merged + 1, before)) if n not in held]
+
+
+def compact_batches(spark: SparkSession, path: str, columns: StructType, upto: int, by_day: bool = False) -> bool:
+    """Merge all batches up to ``upto`` into a few large files (per day, for batches by day); whether there was anything to merge.
+
+    The merged rows keep their batch id and lie beside the batches until a pointer file is renamed over, so readers see
+    each row once, before and after. A batch that is merged must not be written again: jobs ask ``compacted``. The
+    folders that are no longer read are left to ``drop_merged``, as a reader may still hold them.
+    """
+    done = compacted(spark, path)
+    if not exists(spark, path) or done is not None and done >= upto or not _folders(spark, path, -1 if done is None else done):
+        return False
+    rows = read_batches(spark, path, columns, by_day).where(F.col("batch_id") <= upto)
+    if by_day:
+        # a day's rows go to as many tasks as its size asks for
+        rows.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(_merged(path, upto))
+    else:
+        rows.hint("rebalance").write.mode("overwrite").parquet(_merged(path, upto))
+    replace_text(spark, f"{path}/{MERGED}", str(upto))
+    return True
+
+
+def drop_merged(spark: SparkSession, path: str) -> int:
+    """Delete the folders of merged batches and of earlier merges; returns how many. No reader may be on them."""
+    upto = compacted(spark, path)
+    if upto is None:
+        return 0
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs, gone = root.getFileSystem(spark._jsc.hadoopConfiguration()), 0
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        kind, _, number = name.partition("=") if "=" in name else name.partition("-")
+        if kind == "batch_id" and int(number) <= upto or kind == "_merged" and int(number) < upto:
+            gone += fs.delete(status.getPath(), True)
+    return gone
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
@@ -50,24 +158,27 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return int(spark.read.text(pointer).first()["value"])
 
 
-def publish_version(df: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None) -> int:
-    """Write the next version, check what was written, then point to it. One writer at a time.
+def publish_version(df: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None, checks: tuple[Check, ...] = ()) -> int:
+    """Write the next version, then point to it, if it passes. One writer at a time.
 
-    ``check`` gets the written table and raises where it must not become current; the
-    pointer then stays where it was.
+    ``checks`` are measured on the rows as they are written, so nothing is read again. ``check`` is for what a suite
+    cannot say: it gets the written table and raises where that must not become current. After a failure the
+    pointer stays where it was.
     """
     spark = df.sparkSession
     version = (current_version(spark, root) or 0) + 1
     path = f"{root}/version={version}"
-    df.write.mode("overwrite").parquet(path)
+    watched, metrics = measured(df, checks)
+    watched.write.mode("overwrite").parquet(path)
+    enforce_metrics(metrics, checks)
     if check is not None:
         check(spark.read.schema(df.schema).parquet(path))
-    _replace_text(spark, f"{root}/{POINTER}", str(version))
+    replace_text(spark, f"{root}/{POINTER}", str(version))
     return version
 
 
-def _replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the file and rename over it, so that a reader finds the old text or the new one."""
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Set a small file's text: write beside the file and rename over it, so that a reader finds the old text or the new one."""
     fs, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     target, fresh = fs.Path(path), fs.Path(f"{path}.{uuid.uuid4().hex}")
     stream = fresh.getFileSystem(conf).create(fresh, False)
@@ -79,6 +190,16 @@ def _replace_text(spark: SparkSession, path: str, text: str) -> None:
     fs.FileContext.getFileContext(qualified.toUri(), conf).rename(fresh, target, overwrite)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text, also of a name that Spark's readers pass over."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def read_version(spark: SparkSession, root: str, columns: StructType, version: int | None = None) -> DataFrame:
     """The current version, or a named one (the backup is the one before)."""
     version = version or current_version(spark, root)
@@ -102,6 +223,14 @@ def write_json(df: DataFrame, path: str, layout: str = "lines") -> None:
         raise ValueError(f"layout must be 'lines' or 'array', not {layout!r}")
 
 
+def write_string_list(values: DataFrame, path: str) -> None:
+    """Export the first column as JSON arrays of strings, of about ``LIST_STRINGS`` each; a short list is one array."""
+    value = F.col(values.columns[0])
+    arrays = -(-values.count() // LIST_STRINGS)
+    dealt = values.where(value.isNotNull()).groupBy(F.pmod(F.xxhash64(value), F.lit(max(1, arrays))).alias("array")).agg(F.collect_list(value).alias("strings"))
+    dealt.select(F.to_json("strings").alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
 def _write_arrays(records: DataFrame, path: str) -> None:
     """Records are stored first, so that their places, which deal them out, stay the same when a task is retried."""
     spark = records.sparkSession
