@@ -472,3 +472,18 @@ ORACLES["deliver_batch"] = f"""WITH {POSTS}, {SCORES}, ranked AS (
   FROM posts p LEFT JOIN scores s ON s.id = p.id
   WHERE p.lang = 'en' AND p.retweeted_status IS NULL AND p."user" IS DISTINCT FROM 17 AND p.created_at < TIMESTAMP '2024-01-02 00:00:00')
 SELECT id AS post_id, 'no_errors' AS err_reason, CAST(place // 10 AS BIGINT) AS batch_id FROM ranked WHERE place < 30"""
+
+# --- learning: what is exact, and that each fit is optimal -------------------------------
+
+TRAINED = f"trained AS (SELECT l.* FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE {SPLIT.replace('doc_id', 'l.doc_id')} = 'train')"
+ORACLES["lr_certificate"] = f"WITH {TRAINED} SELECT count(*) AS rows, true AS optimal FROM trained"
+ORACLES["grid_certificate"] = f"""WITH {TRAINED},
+b AS (SELECT count(*) AS rows, count(*) FILTER (quality = 0) / count(*) FILTER (quality = 1) AS balanced FROM trained),
+g AS (SELECT rows, balanced - 5 + step * (20::DOUBLE / 59) AS ratio FROM b, (SELECT unnest(range(60)) AS step))
+SELECT round(ratio, 6) AS ratio, rows, true AS optimal FROM g WHERE ratio > 0"""
+ORACLES["cv_certificate"] = f"""WITH {TRAINED}, numbered AS (
+  SELECT quality, (row_number() OVER (PARTITION BY quality ORDER BY md5('1234:' || CAST(doc_id AS VARCHAR)), doc_id) - 1) % 5 AS fold FROM trained),
+w AS (SELECT step * (0.99 / 199) AS weight_0 FROM (SELECT unnest(range(200)) AS step)),
+f AS (SELECT unnest(range(5)) AS fold)
+SELECT round(weight_0, 6) AS weight_0, count(DISTINCT f.fold) AS fits, count(*) AS rows, true AS optimal
+FROM w, f JOIN numbered n ON n.fold <> f.fold WHERE weight_0 > 0 OR quality = 1 GROUP BY 1"""

@@ -20,7 +20,7 @@ from feedloom.functions import urls as ux
 from feedloom.functions import values as vx
 from feedloom.operators import counts, filters, idsets, lookups, metrics, quality, ranking, terms
 from feedloom.operators.joins import drop_members, keep_members
-from feedloom.plans import feed, labelling, scoring, training
+from feedloom.plans import feed, labelling, rowspace, scoring, training
 from feedloom.session import shared_folder
 from feedloom.sources import buckets, payloads, sinks, tables
 from feedloom.sources import standins as st
@@ -749,7 +749,55 @@ def weight_grid_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, _ = _learning_text(spark, sf_dir)
     with _features(train) as (ready,):
-        return training.cv_scores(ready, training.weight_range(0.1, 0.9, 5))
+        return training.cv_scores(ready, training.weight_range())
+
+
+#: Largest gradient entry, against the total weight, of a fit that counts as optimal: Newton's, and the library's own.
+OPTIMAL, NEARLY = 1e-7, 1e-3
+
+
+def _kept(found: DataFrame) -> DataFrame:
+    """A few rows per fit, computed now, while the features are there."""
+    return found.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+@query
+def lr_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The balanced fit of ``lr_fit``: its training rows, and whether the gradient of the weighted objective vanishes at its coefficients."""
+    _, train, _ = _learning_text(spark, sf_dir)
+    with _features(train) as (ready,):
+        counts_ = training.ClassCounts.of(ready)
+        model = training.fit_weighted(training.compact(ready, counts_.rows), counts_, 1.0 / counts_.balanced, 1.0)
+        weight = F.when(F.col("label") == 1, F.lit(1.0)).otherwise(F.lit(1.0 / counts_.balanced))
+        points = ready.select(F.lit(0).alias("fit"), F.col("id").alias("row"), "label", weight.alias("weight"), F.lit(float(model.intercept)).alias("intercept"))
+        learned = spark.createDataFrame([(0, i, float(c)) for i, c in enumerate(model.coefficients.toArray())], "fit int, feature int, coefficient double")
+        found = rowspace.certificates(points, learned, rowspace.entries_of(ready.select(F.col("id").cast("int").alias("row"), "features")))
+        return _kept(found.select("rows", (F.col("gradient") <= NEARLY).alias("optimal")))
+
+
+@query
+def grid_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fit of the ratio grid: its ratio, its training rows, and whether the gradient vanishes at its coefficients."""
+    _, train, test = _learning_text(spark, sf_dir)
+    with _features(train, test) as (ready, held_out):
+        ratios = training.ratio_grid(training.ClassCounts.of(ready))
+        rows, fitted = training.grid_fits(ready, held_out, ratios)
+        found = rowspace.certificates(rowspace.trained_on(fitted, rows), rowspace.coefficients(fitted, rows), rowspace.entries_of(rows.table))
+        named = spark.createDataFrame(list(enumerate(ratios)), "_fit int, ratio double")
+        met = found.join(F.broadcast(named), F.col("fit") == F.col("_fit"))
+        return _kept(met.select(F.round("ratio", 6).alias("ratio"), "rows", (F.col("gradient") <= OPTIMAL).alias("optimal")))
+
+
+@query
+def cv_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every weight of the search over 200 weights and 5 folds: its fits, their training rows, and whether all fits meet the optimality condition row by row."""
+    _, train, _ = _learning_text(spark, sf_dir)
+    with _features(train) as (ready,):
+        rows, fitted = training.cv_fits(ready, training.weight_range())
+        found = rowspace.residuals(fitted, rows)
+        named = fitted.select(F.col("fit").alias("_fit"), "weight_0")
+        met = found.join(named, F.col("fit") == F.col("_fit")).groupBy(F.round("weight_0", 6).alias("weight_0"))
+        return _kept(met.agg(F.count(F.lit(1)).alias("fits"), F.sum("rows").alias("rows"), (F.max("residual") <= OPTIMAL).alias("optimal")))
 
 
 @query
