@@ -365,6 +365,11 @@ runs AS (SELECT experiment_seq, run_id,
   FROM report GROUP BY experiment_seq, run_id)"""
 RUN_F1 = "SELECT run_id, round(f1_class1, 6) AS f1_class1 FROM runs"
 ORACLES["runs_by_tag"] = f"WITH {RUNS} {RUN_F1} WHERE experiment_seq < 2"
+POSITIONS = f"""WITH {SCORES}, scored AS (
+  SELECT d.doc_id AS id, coalesce(s.predicted, 0.0::DOUBLE) AS preds FROM documents d LEFT JOIN scores s ON s.id = d.doc_id)
+SELECT id, preds, row_number() OVER (ORDER BY preds DESC, id) AS position FROM scored"""
+ORACLES["feed_positions"] = POSITIONS
+ORACLES["feed_page"] = f"SELECT * FROM ({POSITIONS}) WHERE position BETWEEN 101 AND 150"
 ORACLES["best_run"] = f"WITH {RUNS} {RUN_F1} WHERE experiment_seq = 1 ORDER BY runs.f1_class1 DESC, run_id LIMIT 1"
 ORACLES["retrain_due"] = f"WITH {RUNS} {RUN_F1} WHERE runs.f1_class1 < 0.78"
 ORACLES["runs_ordered"] = f"""WITH {RUNS} SELECT experiment_seq, run_id, round(precision, 6) AS precision, round(recall, 6) AS recall,

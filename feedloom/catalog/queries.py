@@ -558,6 +558,23 @@ def top3_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.top_n(_batch(spark, sf_dir).select("id", "preds"), 3).select("preds", "position")
 
 
+def _positioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lookups.add_scores(st.posts(spark, sf_dir).select("id", "user"), st.scores(spark, sf_dir))
+    return ranking.positions(scored)
+
+
+@query
+def feed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every post's place by score."""
+    return _positioned(spark, sf_dir).select("id", "preds", "position")
+
+
+@query
+def feed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third page of fifty."""
+    return ranking.page(_positioned(spark, sf_dir), 2, 50).select("id", "preds", "position")
+
+
 @query
 def best_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.best_run(st.runs(spark, sf_dir)).select("run_id", "f1_class1"), "f1_class1")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.values import SEED
+from feedloom.session import shared_folder
 
 
 def rank_by_score(posts: DataFrame) -> DataFrame:
@@ -24,6 +25,48 @@ def top_n(posts: DataFrame, n: int) -> DataFrame:
     return rank_by_score(posts).limit(n).withColumn("position", F.row_number().over(order).cast("bigint"))
 
 
+def positions(posts: DataFrame) -> DataFrame:
+    """All rows with their 1-based ``position`` by score, whatever their number.
+
+    Rows are dealt out by ranges of (score, id), so that the score of a third of all rows is cut by id, and each task sorts
+    its own range. The ranges are stored, with every row's place in its range; the driver gets a count per range, and their running
+    sums turn places into positions. NULL scores come last; rows that share score and id stand beside each other in any order.
+    """
+    spark = posts.sparkSession
+    part, place = spare_names(posts, "range", "place")
+    dealt = posts.repartitionByRange(F.desc("preds"), "id").sortWithinPartitions(F.desc("preds"), "id")
+    # the low 33 bits number the rows of a task
+    dealt = dealt.select("*", F.spark_partition_id().alias(part), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias(place))
+    path = shared_folder(spark, "positions")
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    starts, start = [], 0
+    for r in sorted(dealt.groupBy(part).count().collect()):
+        starts.append((r[0], start))
+        start += r[1]
+    of, begin = spare_names(dealt, "of", "begin")
+    met = dealt.join(F.broadcast(spark.createDataFrame(starts, f"{of} int, {begin} bigint")), F.col(part) == F.col(of))
+    return met.select(*posts.columns, (F.col(begin) + F.col(place) + 1).alias("position"))
+
+
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def page(positioned: DataFrame, number: int, size: int) -> DataFrame:
+    """Page ``number`` (from 0) of rows with positions, ``size`` to a page, in order."""
+    if number < 0 or size < 1:
+        raise ValueError("a page has a number from 0 on and at least one row")
+    return positioned.where(F.col("position").between(number * size + 1, (number + 1) * size)).orderBy("position")
+
+
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows of each group with their ``rank``.
 

@@ -246,6 +246,23 @@ def test_top_n_breaks_ties_on_id(spark):
     assert [(r["id"], r["position"]) for r in ranking.top_n(df, 2).orderBy("position").collect()] == [(2, 1), (1, 2)]
 
 
+def test_positions_run_over_all_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice([0.0, 0.0, 0.25, 0.5, None]), "x") for i in range(500)] + [(None, 0.5, "n")]
+    scored = spark.createDataFrame(rows, "id bigint, preds double, range string").repartition(7)
+    found = ranking.positions(scored)
+    assert found.columns == ["id", "preds", "range", "position"]
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0] is not None, r[0] or 0))
+    assert [(r["id"], r["preds"]) for r in found.orderBy("position").collect()] == [r[:2] for r in order]
+    assert sorted(r["position"] for r in found.collect()) == list(range(1, 502))
+    assert [r["position"] for r in ranking.page(found, 3, 40).collect()] == list(range(121, 161))
+    assert ranking.positions(scored.limit(0)).count() == 0
+    plan = found._jdf.queryExecution().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+    with pytest.raises(ValueError):
+        ranking.page(found, 0, 0)
+
+
 def test_release_unseen_returns_the_unread_part(spark):
     log = spark.createDataFrame([(i, "no_errors") for i in (1, 2, 3, 9)], schema.DELIVERY_LOG)
     batch = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "post_id bigint, position bigint")
