@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import slices
+from feedloom.llm.common import slices, stored
 from feedloom.llm.shingles import word_hashes
 
 CLASSES, WITHIN, HIDDEN, SIDE = 64, 64, 24, 2
@@ -81,89 +81,131 @@ def surroundings(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))], axis=1)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of logits to probabilities, in place, and the log-probability of one column of each."""
+    rows = np.arange(len(x))
+    least = x.max()  # one for all rows is cheaper; rows far below it are done again, each with its own
+    x -= least
+    own = x[rows, target]
+    ones = np.ones(x.shape[1], dtype=x.dtype)
+    far = np.flatnonzero(x.max(axis=1) < -60) if x.min() < -60 else ()
+    if len(far):
+        shift = x[far].max(axis=1, keepdims=True)
+        x[far] -= shift
+        own[far] -= shift[:, 0]
+    np.exp(x, out=x)
+    total = x @ ones
+    x /= total[:, None]
+    return x, own - np.log(total)
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows from each place in ``first`` to before the next, as differences of running sums."""
+    running = np.cumsum(values, axis=0, dtype=np.float64)
+    ends = running[np.append(first[1:], len(values)) - 1]
+    ends[1:] -= ends[:-1].copy()
+    return ends.astype(np.float32)
 
 
 def _hidden(net: Network, around: np.ndarray) -> np.ndarray:
-    total = net.bias + net.tables[0][around[:, 0]]
+    total = net.tables[0].take(around[:, 0], axis=0)
+    total += net.bias
     for p in range(1, 2 * SIDE):
-        total += net.tables[p][around[:, p]]
-    return np.tanh(total)
+        total += net.tables[p].take(around[:, p], axis=0)
+    return np.tanh(total, out=total)
+
+
+def _by_class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of tokens by class (16-bit numbers sort by digits), their classes, and where each class begins."""
+    order = np.argsort((ids // WITHIN).astype(np.uint16), kind="stable")
+    kind = ids[order] // WITHIN
+    return order, kind, np.searchsorted(kind, np.arange(CLASSES + 1))
 
 
 def log_probabilities(net: Network, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     """The log-probability of every token given its surroundings."""
     out = np.empty(len(ids), dtype=np.float64)
-    for a in range(0, len(ids), 4 * BATCH):
-        target = ids[a : a + 4 * BATCH]
-        hidden = _hidden(net, around[a : a + 4 * BATCH])
-        kind, inner = target // WITHIN, target % WITHIN
-        own = _log_softmax(hidden @ net.class_out + net.class_bias)[np.arange(len(target)), kind].astype(np.float64)
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+    for a in range(0, len(ids), BATCH):
+        target = ids[a : a + BATCH]
+        order, kind, bounds = _by_class(target)
+        hidden, inner = _hidden(net, around[a : a + BATCH][order]), target[order] % WITHIN
+        _, own = _softmax(hidden @ net.class_out + net.class_bias, kind)
         for k in range(CLASSES):
-            rows = order[bounds[k] : bounds[k + 1]]
-            if len(rows):
-                own[rows] += _log_softmax(hidden[rows] @ net.out[k] + net.out_bias[k])[np.arange(len(rows)), inner[rows]]
-        out[a : a + 4 * BATCH] = own
+            i, j = bounds[k], bounds[k + 1]
+            if j > i:
+                own[i:j] += _softmax(hidden[i:j] @ net.out[k] + net.out_bias[k], inner[i:j])[1]
+        out[a + order] = own
     return out
 
 
 def train_batch(net: Network, ids: np.ndarray, around: np.ndarray, rate: float) -> float:
     """One step of gradient ascent on the mean log-probability; returns that mean."""
     n = len(ids)
+    order, kind, bounds = _by_class(ids)
+    around, inner, rows = around[order], ids[order] % WITHIN, np.arange(n)
     hidden = _hidden(net, around)
-    kind, inner = ids // WITHIN, ids % WITHIN
-    rows = np.arange(n)
-    log_class = _log_softmax(hidden @ net.class_out + net.class_bias)
-    total = float(log_class[rows, kind].sum())
-    error = -np.exp(log_class)
+    error, own = _softmax(hidden @ net.class_out + net.class_bias, kind)
+    total = float(own.sum())
+    np.negative(error, out=error)
     error[rows, kind] += 1
     back = error @ net.class_out.T
     class_step, class_bias_step = hidden.T @ error, error.sum(axis=0)
-    order = np.argsort(kind, kind="stable")
-    bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
     for k in range(CLASSES):
-        own = order[bounds[k] : bounds[k + 1]]
-        if len(own):
-            log_inner = _log_softmax(hidden[own] @ net.out[k] + net.out_bias[k])
-            total += float(log_inner[np.arange(len(own)), inner[own]].sum())
-            error = -np.exp(log_inner)
-            error[np.arange(len(own)), inner[own]] += 1
-            back[own] += error @ net.out[k].T
-            scale = rate / max(len(own), 16)
-            net.out[k] += scale * (hidden[own].T @ error)
+        i, j = bounds[k], bounds[k + 1]
+        if j > i:
+            error, own = _softmax(hidden[i:j] @ net.out[k] + net.out_bias[k], inner[i:j])
+            total += float(own.sum())
+            np.negative(error, out=error)
+            error[rows[: j - i], inner[i:j]] += 1
+            back[i:j] += error @ net.out[k].T
+            scale = np.float32(rate / max(j - i, 16))
+            net.out[k] += scale * (hidden[i:j].T @ error)
             net.out_bias[k] += scale * error.sum(axis=0)
-    net.class_out += rate / n * class_step
-    net.class_bias += rate / n * class_bias_step
-    back *= 1 - hidden**2
-    net.bias += rate / n * back.sum(axis=0)
+    net.class_out += np.float32(rate / n) * class_step
+    net.class_bias += np.float32(rate / n) * class_bias_step
+    hidden *= hidden
+    back *= np.subtract(1, hidden, out=hidden)
+    net.bias += np.float32(rate / n) * back.sum(axis=0)
     for p in range(2 * SIDE):
-        by = np.argsort(around[:, p], kind="stable")
+        by = np.argsort(around[:, p].astype(np.uint16), kind="stable")
         names = around[by, p]
         first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
         times = np.diff(np.append(first, n))
-        net.tables[p][names[first]] += (rate / np.sqrt(np.maximum(times, 1) * 16))[:, None].astype(np.float32) * np.add.reduceat(back[by], first, axis=0)
+        net.tables[p][names[first]] += (rate / np.sqrt(times * 16.0)).astype(np.float32)[:, None] * _sums(back.take(by, axis=0), first)
     return total / n
 
 
-def _raw(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"))
+def tokenised(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` as stored rows (doc_id, ids): two bytes a token, so that the passes over the corpus need not read texts again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "bytes", TEXT_BYTES):
+                ids, counts = tokens(batch.column("bytes").to_pylist())
+                raw, ends = ids.astype("<u2").tobytes(), (2 * np.cumsum(counts)).tolist()
+                each = [raw[e - 2 * n : e] for e, n in zip(ends, counts.tolist())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(each, pa.binary())], names=["doc_id", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"))
+    return stored(rows.mapInArrow(run, "doc_id long, ids binary"), "token-ids")
+
+
+def _ids_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    each = batch.column("ids").to_pylist()
+    return np.frombuffer(b"".join(each), dtype="<u2").astype(np.int64), np.array([len(x) // 2 for x in each], dtype=np.int64)
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: float = RATE) -> Network:
-    """A network trained on all texts of ``docs(text)``; untrained where there are no tokens."""
-    net = Network.start()
+    """A network trained on all texts of ``docs(doc_id, text)``, or of ``tokenised`` ones; untrained where there are no tokens."""
+    rows, net = docs if docs.columns == ["doc_id", "ids"] else tokenised(docs), Network.start()
     for number in range(rounds):
         begin = net.flat()
 
         def descend(batches: Iterator[pa.RecordBatch], begin: np.ndarray = begin, number: int = number) -> Iterator[pa.RecordBatch]:
             own, seen, held_ids, held_around, held = Network.from_flat(begin), 0, [], [], 0
             for whole in batches:
-                for batch in slices(whole, "bytes", TEXT_BYTES):
-                    ids, counts = tokens(batch.column("bytes").to_pylist())
+                for batch in slices(whole, "ids", TEXT_BYTES):
+                    ids, counts = _ids_of(batch)
                     place = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
                     chosen = np.flatnonzero(place % stride == (number * stride) // max(rounds, 1))
                     held_ids.append(ids[chosen])
@@ -195,7 +237,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: flo
                 yield pa.RecordBatch.from_pydict({"piece": [k], "values": [(total / seen).astype(np.float32).tobytes()]})
 
         schema = "piece long, seen long, values binary"
-        means = _raw(docs).select("bytes").mapInArrow(descend, schema).repartition(len(begin) // PIECE + 1, "piece").mapInArrow(average, "piece long, values binary")
+        means = rows.select("ids").mapInArrow(descend, schema).repartition(len(begin) // PIECE + 1, "piece").mapInArrow(average, "piece long, values binary")
         pieces = sorted(means.collect(), key=lambda r: r["piece"])
         if pieces:
             net = Network.from_flat(np.concatenate([np.frombuffer(r["values"], dtype=np.float32) for r in pieces]))
@@ -203,7 +245,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: flo
 
 
 def score(docs: DataFrame, net: Network) -> DataFrame:
-    """Per row of ``docs(doc_id, text)``: doc_id, n_tokens, log_likelihood (summed), mean_log_likelihood.
+    """Per row of ``docs(doc_id, text)``, or of ``tokenised`` ones: doc_id, n_tokens, log_likelihood (summed), mean_log_likelihood.
 
     NULL and empty texts have no tokens, a sum of 0 and no mean. Every row is kept, equal
     texts score alike, an empty table stays empty; other columns are not read.
@@ -211,12 +253,13 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "bytes", TEXT_BYTES):
-                ids, counts = tokens(batch.column("bytes").to_pylist())
+            for batch in slices(whole, "ids", TEXT_BYTES):
+                ids, counts = _ids_of(batch)
                 each = log_probabilities(net, ids, surroundings(ids, counts))
                 ends = np.cumsum(counts)
                 sums = [float(each[e - n : e].sum()) for e, n in zip(ends.tolist(), counts.tolist())]
                 means = [s / n if n else None for s, n in zip(sums, counts.tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums), pa.array(means, pa.float64())], names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
-    return _raw(docs).mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    rows = docs if docs.columns == ["doc_id", "ids"] else tokenised(docs)
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")

@@ -57,8 +57,8 @@ def op5_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudo_likelihood.score(docs, pseudo_likelihood.train(docs))
+    rows = pseudo_likelihood.tokenised(table(spark, sf_dir, "documents"))
+    return pseudo_likelihood.score(rows, pseudo_likelihood.train(rows))
 
 
 def op7_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,67 @@ def test_awkward_rows(texts, spark):
             assert r["log_likelihood"] < 0 and np.isclose(r["mean_log_likelihood"], r["log_likelihood"] / r["n_tokens"])
     assert sorted(r["n_tokens"] for r in rows) == sorted([0, 0, 0, 9, 1, 1, 30_000, 9])
     assert (train(texts([])).flat() == Network.start().flat()).all() and score(texts([]), net).count() == 0
+
+
+def plain_log_probability(net, ids, position):
+    """One token's log-probability by loops over units and tokens."""
+    nothing = CLASSES * WITHIN
+    around = [ids[position + k] if 0 <= position + k < len(ids) else nothing for k in (-2, -1, 1, 2)]
+    hidden = [np.tanh(net.bias[h] + sum(net.tables[p][a][h] for p, a in enumerate(around))) for h in range(len(net.bias))]
+    kind, inner = divmod(ids[position], WITHIN)
+    top = [net.class_bias[c] + sum(x * net.class_out[h][c] for h, x in enumerate(hidden)) for c in range(CLASSES)]
+    low = [net.out_bias[kind][w] + sum(x * net.out[kind][h][w] for h, x in enumerate(hidden)) for w in range(WITHIN)]
+    return top[kind] - np.log(np.exp(top).sum()) + low[inner] - np.log(np.exp(low).sum())
+
+
+def spiky(seed=3):
+    net = Network.start(seed)
+    net.class_bias[5] = 4
+    net.out_bias[:, 7] = -3
+    return net
+
+
+def test_scores_equal_a_plain_double_loop(spark):
+    net, text = spiky(), "the cat sat on the Mat and the dog ran"
+    ids = tokens([text.encode()])[0].tolist()
+    expected = sum(plain_log_probability(net, ids, k) for k in range(len(ids)))
+    row = score(spark.createDataFrame([(1, text)], "doc_id long, text string"), net).first()
+    assert row["n_tokens"] == 10 and np.isclose(row["log_likelihood"], expected, atol=1e-3)
+
+
+def test_far_logits_keep_their_probabilities():
+    net = Network.start(2)
+    net.class_bias[:] = np.linspace(-200, 200, CLASSES)
+    net.class_out[:, 3] = 300
+    ids = np.array([3 * WITHIN, 60 * WITHIN, 63 * WITHIN + 1])
+    around = np.array([[1, 2, 3, 4], [900, 901, 902, 903], [7, 7, 7, 7]])
+    hidden = np.tanh(net.bias + sum(net.tables[p][around[:, p]] for p in range(4))).astype(np.float64)
+    top = hidden @ net.class_out.astype(np.float64) + net.class_bias
+    top -= np.log(np.exp(top - top.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) + top.max(axis=1, keepdims=True)
+    got = log_probabilities(net, ids, around)
+    assert np.isfinite(got).all() and np.allclose(got, top[np.arange(3), ids // WITHIN] + [np.log(1 / WITHIN)] * 3, atol=2)
+
+
+def test_a_step_follows_the_numerical_gradient():
+    """Of each weight that a step moves, the slope of the mean log-probability has the step's sign and, up to its own rate, its size."""
+    ids, counts = tokens([b"a b a c a b a c b a"])
+    around, net = surroundings(ids, counts), spiky(4)
+    moved = Network.from_flat(net.flat())
+    train_batch(moved, ids, around, 1e-3)
+
+    def slope(name, at):
+        sides = []
+        for h in (1e-2, -1e-2):
+            other = Network.from_flat(net.flat())
+            getattr(other, name)[at] += np.float32(h)
+            sides.append(log_probabilities(other, ids, around).sum())
+        return (sides[0] - sides[1]) / 2e-2
+
+    kind, token = int(ids[0]) // WITHIN, int(ids[0])
+    for name, at, rate in (("class_bias", (kind,), 1 / 10), ("class_out", (3, kind), 1 / 10), ("bias", (2,), 1 / 10), ("out_bias", (kind, token % WITHIN), 1 / 16), ("tables", (0, token, 5), None)):
+        step = float(getattr(moved, name)[at] - getattr(net, name)[at]) / 1e-3
+        expected = slope(name, at)
+        if rate is None:
+            times = int((around[:, 0] == token).sum())
+            rate = 1 / np.sqrt(16 * times)
+        assert np.isclose(step, rate * expected, rtol=0.05, atol=2e-3), (name, step, rate * expected)
