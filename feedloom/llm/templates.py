@@ -35,8 +35,8 @@ SHORTEST = 3
 #: Share of words from which a window may have other values in its slots; share of an item's windows that must count.
 WORDS = 0.5
 COVERAGE = 0.5
-#: Choices tried for a diagonal whose values disagree in many ways; the best so far then stands.
-CHOICES = 20_000
+#: States of the search for windows that agree.
+STATES = 5_000
 BLOOM_BITS = 24
 
 #: Units that are slots behind a number.
@@ -216,6 +216,44 @@ def text_hits(docs: DataFrame, bloom: np.ndarray, sizes: list[int]) -> DataFrame
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, HITS)
 
 
+def most_agreeing(windows: list[tuple[int, dict]], states: int = STATES) -> list[int]:
+    """Positions of as many windows (position, {key: value}) as agree on one value per key.
+
+    Windows are taken in the order of their positions. A state holds the values that the windows counted so far have given to
+    keys still to come; of states alike the one that counts most stays. Windows side by side share their keys, so there are few. Beyond
+    ``states`` of them those that count least go: only there, with many values of several readings that all return later, could more windows agree.
+    """
+    readings: dict = {}
+    for _, means in windows:
+        for key, b in means.items():
+            readings.setdefault(key, set()).add(b)
+    windows = sorted(((at, {k: b for k, b in means.items() if len(readings[k]) > 1}) for at, means in windows), key=lambda w: (w[0], sorted(w[1].items())))
+    last = {key: i for i, (_, means) in enumerate(windows) for key in means}
+    held: dict[frozenset, tuple[int, tuple | None]] = {frozenset(): (0, None)}
+    for i, (at, means) in enumerate(windows):
+        gone = {key for key in means if last[key] == i}
+        now: dict[frozenset, tuple[int, tuple | None]] = {}
+        for state, (count, chain) in held.items():
+            given = dict(state)
+            fits = all(given.get(key, b) == b for key, b in means.items())
+            ways = [({**given, **means}, count + 1, (at, chain))] if fits else []
+            if not fits or means.keys() - given.keys():  # a window that asks nothing new is never passed over
+                ways.append((given, count, chain))
+            for values, n, places in ways:
+                kept = frozenset((k, b) for k, b in values.items() if k not in gone)
+                if kept not in now or now[kept][0] < n:
+                    now[kept] = (n, places)
+        if len(now) > states:
+            now = dict(sorted(now.items(), key=lambda s: (-s[1][0], sorted(s[0])))[:states])
+        held = now
+    _, chain = max(held.values(), key=lambda s: s[0])
+    places = []
+    while chain is not None:
+        places.append(chain[0])
+        chain = chain[1]
+    return places[::-1]
+
+
 def agreeing(windows: list[tuple[int, list[tuple[int, str, str]]]]) -> tuple[list[int], bool]:
     """Item positions of the windows of a diagonal that count, and whether any has another value in a slot.
 
@@ -233,33 +271,7 @@ def agreeing(windows: list[tuple[int, list[tuple[int, str, str]]]]) -> tuple[lis
         means = {}
         if all(means.setdefault((kind, a), b) == b for kind, a, b in slots):
             others.append((at, means))
-    left = CHOICES
-
-    def most(rest: list[tuple[int, dict]], best: int) -> list[int] | None:
-        """More than ``best`` positions of windows that agree, if there are and choices are left."""
-        nonlocal left
-        values: dict = {}
-        for _, means in rest:
-            for key, b in means.items():
-                values.setdefault(key, {}).setdefault(b, 0)
-                values[key][b] += 1
-        if len(rest) <= best:
-            return None
-        split = {key: seen for key, seen in values.items() if len(seen) > 1}
-        if not split:
-            return [at for at, _ in rest]
-        key = max(split, key=lambda k: (sum(split[k].values()), k))
-        found = None
-        for b in sorted(split[key], key=lambda v: (-split[key][v], v)):
-            if left <= 0 and found is not None:
-                break
-            left -= 1
-            more = most([w for w in rest if w[1].get(key, b) == b], best)
-            if more is not None:
-                found, best = more, len(more)
-        return found
-
-    counted = most(others, 0) or []
+    counted = most_agreeing(others)
     return same + counted, bool(counted)
 
 

@@ -213,6 +213,30 @@ def test_the_most_windows_that_agree_count():
     assert templates.agreeing([(0, [(3, "mary", "anna")]), (1, [(3, "mary", "karl")]), (2, [])]) == ([2], False)
 
 
+def test_most_agreeing_against_all_choices():
+    rng = random.Random(8)
+    for _ in range(150):
+        keys = rng.randrange(1, 5)
+        windows = [(at, {k: rng.choice("xyz") for k in rng.sample(range(keys), rng.randrange(1, keys + 1))}) for at in range(rng.randrange(1, 9))]
+        best = 0
+        for chosen in range(1 << len(windows)):
+            own, means = [w for i, w in enumerate(windows) if chosen >> i & 1], {}
+            if all(means.setdefault(k, b) == b for _, m in own for k, b in m.items()):
+                best = max(best, len(own))
+        places, means = templates.most_agreeing(windows), {}
+        assert len(places) == len(set(places)) == best
+        assert all(means.setdefault(k, b) == b for at in places for k, b in windows[at][1].items())
+
+
+def test_a_diagonal_of_very_many_values():
+    """Five thousand values of two readings each, in windows of four values: each change costs the fewer of its windows."""
+    reading = [{k: "b" if k % 50 == 25 and half else "a" for k in range(5_000)} for half in (0, 1)]
+    windows = [(at, {k: reading[at % 2][k] for k in range(at // 2, at // 2 + 4) if k < 5_000}) for at in range(10_000)]
+    places, means = templates.most_agreeing(windows), {}
+    assert all(means.setdefault(k, b) == b for at in places for k, b in windows[at][1].items())
+    assert len(places) == 10_000 - 100 * 4
+
+
 def test_leaks_of_the_table_against_word_windows(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
