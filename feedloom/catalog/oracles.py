@@ -171,6 +171,16 @@ SELECT count(*) AS rows, bit_xor(CAST('0x' || substr(d, 1, 15) AS BIGINT)) AS co
        CAST(sum(CAST('0x' || substr(d, 17, 8) AS BIGINT)) AS VARCHAR) AS content_sum
 FROM h"""
 
+CELLS = "md5(concat_ws(chr(31), CAST(id AS VARCHAR), CAST(predicted AS VARCHAR)))"
+ORACLES["version_diff"] = f"""WITH {SCORES}, placed AS (
+  SELECT predicted, CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 256 AS bucket FROM scores)
+SELECT CAST(bucket AS INTEGER) AS bucket, count(*) FILTER (predicted < 0.9) AS rows_before, count(*) AS rows_after
+FROM placed GROUP BY 1 HAVING count(*) FILTER (predicted >= 0.9) > 0"""
+ORACLES["version_root"] = f"""WITH {SCORES}, h AS (SELECT {CELLS} AS d FROM scores)
+SELECT count(*) AS rows, bit_xor(CAST('0x' || substr(d, 1, 15) AS BIGINT)) AS content_xor,
+       CAST(sum(CAST('0x' || substr(d, 17, 8) AS BIGINT)) AS VARCHAR) AS content_sum
+FROM h"""
+
 # --- filters ---------------------------------------------------------------------------
 
 ORACLES["age_older"] = "SELECT event_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-08'"

@@ -147,6 +147,25 @@ def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.fingerprint(st.table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source", "n_chars")
 
 
+def _two_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The trees of two versions of the score table: low scores, then all, the tree of the latter from that of the former and the rows added."""
+    scores = st.scores(spark, sf_dir)
+    low, high = (sinks.digest_tree(scores.where(c), "id") for c in (F.col("predicted") < 0.9, F.col("predicted") >= 0.9))
+    return low, sinks.merged_tree(low, high)
+
+
+@query
+def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buckets in which the two versions differ."""
+    return sinks.changed_buckets(*_two_versions(spark, sf_dir))
+
+
+@query
+def version_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of the second version, from its merged tree."""
+    return sinks.tree_root(_two_versions(spark, sf_dir)[1])
+
+
 # --- filters ---------------------------------------------------------------------------
 
 

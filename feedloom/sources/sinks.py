@@ -258,19 +258,71 @@ def dump_rejected(rejected: DataFrame, folder: str, at: datetime, limit: int = R
     return path
 
 
+def _hashed(df: DataFrame, *columns: str) -> DataFrame:
+    """Two numbers per row from the digest of its cells, beside the row."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns or df.columns]
+    digest = F.md5(F.concat_ws("\x1f", *cells))
+    return df.select(
+        "*",
+        F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("_wide"),
+        F.conv(F.substring(digest, 17, 8), 16, 10).cast("bigint").alias("_narrow"),
+    )
+
+
+def _content() -> list:
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.bit_xor("_wide"), F.lit(0).cast("bigint")).alias("content_xor"),
+        F.coalesce(F.sum(F.col("_narrow").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("content_sum"),
+    ]
+
+
 def fingerprint(df: DataFrame, *columns: str) -> DataFrame:
     """Row count and two order-free content hashes; equal tables give equal rows.
 
     The xor alone would cancel pairs of equal rows; the sum does not.
     """
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns or df.columns]
-    digest = F.md5(F.concat_ws("\x1f", *cells))
-    hashed = df.select(
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("wide"),
-        F.conv(F.substring(digest, 17, 8), 16, 10).cast("bigint").alias("narrow"),
-    )
-    return hashed.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.bit_xor("wide"), F.lit(0).cast("bigint")).alias("content_xor"),
-        F.coalesce(F.sum(F.col("narrow").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("content_sum"),
-    )
+    return _hashed(df, *columns).agg(*_content())
+
+
+#: Buckets of a digest tree.
+TREE_BUCKETS = 256
+
+
+def digest_tree(df: DataFrame, key: str, *columns: str, buckets: int = TREE_BUCKETS) -> DataFrame:
+    """The fingerprint of each bucket of ``key``'s digest: bucket, rows, content_xor, content_sum.
+
+    Trees of parts of a table merge to the tree of the whole, so an append needs only the tree of what it adds, and two versions
+    are compared by their trees alone. There are ``buckets`` rows at most; a bucket without rows has none. A NULL key has a bucket too.
+    """
+    name = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("\x00")))
+    bucket = F.pmod(F.conv(F.substring(name, 1, 8), 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
+    return _hashed(df, *columns).groupBy(bucket.alias("bucket")).agg(*_content())
+
+
+def merged_tree(*trees: DataFrame) -> DataFrame:
+    """The tree of all rows of which ``trees`` are the parts' trees."""
+    every = trees[0]
+    for tree in trees[1:]:
+        every = every.unionByName(tree)
+    return every.groupBy("bucket").agg(*_merged_content())
+
+
+def tree_root(tree: DataFrame) -> DataFrame:
+    """The fingerprint of the whole table, from its tree."""
+    return tree.agg(*_merged_content())
+
+
+def _merged_content() -> list:
+    return [
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.bit_xor("content_xor"), F.lit(0).cast("bigint")).alias("content_xor"),
+        F.coalesce(F.sum(F.col("content_sum").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("content_sum"),
+    ]
+
+
+def changed_buckets(before: DataFrame, after: DataFrame) -> DataFrame:
+    """bucket, rows_before, rows_after of the buckets in which two trees differ: only there do the tables."""
+    side = lambda tree, name: tree.select("bucket", F.struct("rows", "content_xor", "content_sum").alias(name))
+    met = side(before, "b").join(side(after, "a"), "bucket", "full").where(~F.col("b").eqNullSafe(F.col("a")))
+    return met.select("bucket", *[F.coalesce(F.col(f"{n}.rows"), F.lit(0).cast("bigint")).alias(f"rows_{w}") for n, w in (("b", "before"), ("a", "after"))])

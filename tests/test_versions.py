@@ -184,3 +184,17 @@ def test_scores_and_feed_of_several_files_with_a_stop(spark, tmp_path, per_trigg
     assert ids(sinks.read_batches(spark, f"{tmp_path}/scores", schema.SCORES)) == [1, 2, 3, None, None]
     assert ids(sinks.read_batches(spark, f"{tmp_path}/feed", schema.DELIVERY_LOG), "post_id") == [1, 2, 3, None, None]
     assert [f for _, _, names in os.walk(f"{tmp_path}/score-state/state") for f in names if f.endswith((".changelog", ".zip"))]
+
+
+def test_trees_merge_and_tell_which_buckets_differ(spark):
+    rows = [(i, f"t{i}") for i in range(300)] + [(None, "n"), (5, None)]
+    df = spark.createDataFrame(rows, "id bigint, t string")
+    first, rest = df.where("id < 100 or id is null"), df.where("id >= 100")
+    whole, parts = sinks.digest_tree(df, "id", buckets=16), sinks.merged_tree(sinks.digest_tree(first, "id", buckets=16), sinks.digest_tree(rest, "id", buckets=16))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect())) and whole.count() == 16
+    assert sinks.tree_root(parts).first() == sinks.fingerprint(df).first()
+    assert sinks.changed_buckets(whole, parts).count() == 0
+    changed = df.where("id <> 7 or id is null").withColumn("t", F.when(F.col("id") == 9, F.lit("new")).otherwise(F.col("t")))
+    found = sinks.changed_buckets(whole, sinks.digest_tree(changed, "id", buckets=16)).collect()
+    assert 1 <= len(found) <= 2 and sum(r["rows_before"] - r["rows_after"] for r in found) == 1
+    assert sinks.changed_buckets(whole.limit(0), whole).count() == 16 and sinks.tree_root(whole.limit(0)).first()["rows"] == 0
