@@ -42,6 +42,10 @@ HEADLINE = (
     "ngram_counts",
     "mute_drop_long",
     "deliver_batch",
+    "feed_positions",
+    "score_upsert_buckets",
+    "stream_ingest_files",
+    "version_diff",
 )
 
 
