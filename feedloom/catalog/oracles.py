@@ -491,7 +491,6 @@ SELECT id AS post_id, 'no_errors' AS err_reason, CAST(place // 10 AS BIGINT) AS
 # --- learning: what is exact, and that each fit is optimal -------------------------------
 
 TRAINED = f"trained AS (SELECT l.* FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE {SPLIT.replace('doc_id', 'l.doc_id')} = 'train')"
-ORACLES["lr_certificate"] = f"WITH {TRAINED} SELECT count(*) AS rows, true AS optimal FROM trained"
 ORACLES["grid_certificate"] = f"""WITH {TRAINED},
 b AS (SELECT count(*) AS rows, count(*) FILTER (quality = 0) / count(*) FILTER (quality = 1) AS balanced FROM trained),
 g AS (SELECT rows, balanced - 5 + step * (20::DOUBLE / 59) AS ratio FROM b, (SELECT unnest(range(60)) AS step))

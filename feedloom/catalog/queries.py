@@ -788,8 +788,8 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         return training.cv_scores(ready, training.weight_range())
 
 
-#: Largest gradient entry, against the total weight, of a fit that counts as optimal: Newton's, and the library's own.
-OPTIMAL, NEARLY = 1e-7, 1e-3
+#: Largest gradient entry, against the total weight, of a fit that counts as optimal.
+OPTIMAL = 1e-7
 
 
 def _kept(found: DataFrame) -> DataFrame:
@@ -797,20 +797,6 @@ def _kept(found: DataFrame) -> DataFrame:
     return found.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
-@query
-def lr_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The balanced fit of ``lr_fit``: its training rows, and whether the gradient of the weighted objective vanishes at its coefficients."""
-    _, train, _ = _learning_text(spark, sf_dir)
-    with _features(train) as (ready,):
-        counts_ = training.ClassCounts.of(ready)
-        model = training.fit_weighted(training.compact(ready, counts_.rows), counts_, 1.0 / counts_.balanced, 1.0)
-        weight = F.when(F.col("label") == 1, F.lit(1.0)).otherwise(F.lit(1.0 / counts_.balanced))
-        points = ready.select(F.lit(0).alias("fit"), F.col("id").alias("row"), "label", weight.alias("weight"), F.lit(float(model.intercept)).alias("intercept"))
-        learned = spark.createDataFrame([(0, i, float(c)) for i, c in enumerate(model.coefficients.toArray())], "fit int, feature int, coefficient double")
-        found = rowspace.certificates(points, learned, rowspace.entries_of(ready.select(F.col("id").cast("int").alias("row"), "features")))
-        return _kept(found.select("rows", (F.col("gradient") <= NEARLY).alias("optimal")))
-
-
 @query
 def grid_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fit of the ratio grid: its ratio, its training rows, and whether the gradient vanishes at its coefficients."""
