@@ -21,7 +21,7 @@ from feedloom.functions import values as vx
 from feedloom.operators import counts, filters, idsets, lookups, metrics, quality, ranking, terms
 from feedloom.operators.joins import drop_members, keep_members
 from feedloom.plans import feed, labelling, rowspace, scoring, training
-from feedloom.session import shared_folder
+from feedloom.session import shared_folder, splits
 from feedloom.sources import buckets, payloads, sinks, tables
 from feedloom.sources import standins as st
 from feedloom.streaming import jobs
@@ -888,55 +888,60 @@ def stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_batches(spark, out, schema.DELIVERY_LOG).drop("batch_id")
 
 
-def _landing(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, StructType, Callable[[int], None]]:
-    """An empty folder, the schema of a table, and what lands the table there: each call a half, each in three files and with some rows of the other half."""
+def _landing(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, StructType, Callable[[int], None], int]:
+    """An empty folder, the schema of a table, what lands the table there, and the files of a micro-batch.
+
+    Each call lands a half, with some rows of the other half, in three files or as many as the table has splits, so no task writes more
+    as the table grows. A micro-batch takes two thirds of them: a half is two micro-batches at any size.
+    """
     rows = st.table(spark, sf_dir, name)
+    files = max(3, splits(rows))
     folder, dealt = shared_folder(spark, f"landed-{name}"), F.pmod(F.xxhash64(rows.columns[0]), F.lit(12))
 
     def land(half: int) -> None:
         own = (dealt < 6) if half == 0 else (dealt >= 6)
         repeated = dealt.isin(7, 8) if half == 0 else dealt.isin(0, 1, 7)
         part = rows.where(own).unionByName(rows.where(repeated))
-        part.repartition(3).write.mode("append").parquet(folder)
+        part.repartition(files).write.mode("append").parquet(folder)
 
-    return folder, rows.schema, land
+    return folder, rows.schema, land, -(-2 * files // 3)
 
 
 @query
 def stream_ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that land in six files with repeats, within a file and between them; a stop and a merge of the stored batches lie between the halves."""
-    landed, columns, land = _landing(spark, sf_dir, "events")
+    """Events that land in six files, or more of a large table, with repeats, within a file and between them; a stop and a merge of the stored batches lie between the halves."""
+    landed, columns, land, taken = _landing(spark, sf_dir, "events")
     out, checkpoint = shared_folder(spark, "ingest"), shared_folder(spark, "ingest-state")
     for half in (0, 1):
         land(half)
-        events = jobs.file_stream(spark, landed, columns, files_per_trigger=2).select("event_id", "ts", "user_id", "event_type")
+        events = jobs.file_stream(spark, landed, columns, files_per_trigger=taken).select("event_id", "ts", "user_id", "event_type")
         jobs.ingest(events, "event_id", out, checkpoint, event_time="ts")
         if half == 0:
             jobs.compact(spark, out, events.schema, 1, "event_id", "ts")
     return sinks.read_batches(spark, out, events.schema, by_day=True).select("event_id", "ts", "user_id", "event_type")
 
 
-def _landed_posts(spark: SparkSession, landed: str, columns: StructType) -> DataFrame:
-    return _as_posts(jobs.file_stream(spark, landed, columns, files_per_trigger=2))
+def _landed_posts(spark: SparkSession, landed: str, columns: StructType, files: int) -> DataFrame:
+    return _as_posts(jobs.file_stream(spark, landed, columns, files_per_trigger=files))
 
 
 @query
 def stream_score_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``stream_score``, from six files with repeats and a stop after three."""
-    landed, columns, land = _landing(spark, sf_dir, "documents")
+    """As ``stream_score``, from six files, or more of a large table, with repeats and a stop after half of them."""
+    landed, columns, land, taken = _landing(spark, sf_dir, "documents")
     out, checkpoint = shared_folder(spark, "scores"), shared_folder(spark, "scores-state")
     for half in (0, 1):
         land(half)
-        jobs.score(_landed_posts(spark, landed, columns), _byte_scorer, out, checkpoint, st.delivery_log(spark, sf_dir))
+        jobs.score(_landed_posts(spark, landed, columns, taken), _byte_scorer, out, checkpoint, st.delivery_log(spark, sf_dir))
     return sinks.read_batches(spark, out, schema.SCORES).select("id", "predicted")
 
 
 @query
 def stream_feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``stream_feed``, from six files with repeats and a stop after three."""
-    landed, columns, land = _landing(spark, sf_dir, "documents")
+    """As ``stream_feed``, from six files, or more of a large table, with repeats and a stop after half of them."""
+    landed, columns, land, taken = _landing(spark, sf_dir, "documents")
     out, checkpoint = shared_folder(spark, "feed"), shared_folder(spark, "feed-state")
     for half in (0, 1):
         land(half)
-        jobs.feed(_landed_posts(spark, landed, columns), st.delivery_log(spark, sf_dir), out, checkpoint)
+        jobs.feed(_landed_posts(spark, landed, columns, taken), st.delivery_log(spark, sf_dir), out, checkpoint)
     return sinks.read_batches(spark, out, schema.DELIVERY_LOG).drop("batch_id")

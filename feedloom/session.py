@@ -54,4 +54,9 @@ def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     plan with joins for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df if splits(df) >= cores else df.repartition(cores, *keys)
+
+
+def splits(scan: DataFrame) -> int:
+    """Tasks that read a plain scan: they grow with its bytes."""
+    return scan.rdd.getNumPartitions()

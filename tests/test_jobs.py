@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom import schema
+from feedloom.catalog import queries
 from feedloom.operators import lookups, quality
 from feedloom.plans import feed, labelling, scoring, training
 from feedloom.sources import sinks, tables
@@ -303,3 +304,21 @@ def test_a_saved_run_is_features_and_model(spark, labelled, tmp_path):
     runs = training.train_runs(labelled, labelled, "one", 0, str(tmp_path), steps=2, longest=1, stop_words=[], vectoriser="hashed", size=256, max_iter=5)
     model = training.load_run(runs.first()["model_path"])
     assert model.transform(labelled).select("probability").count() == 40
+
+
+def test_a_table_of_many_splits_lands_in_as_many_files_and_two_batches(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(400)], "doc_id bigint, text string")
+    rows.repartition(40).write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        folder, columns, land, taken = queries._landing(spark, str(tmp_path), "documents")
+        land(0)
+        files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+        assert len(files) > 6 and taken < len(files) <= 2 * taken
+        land(1)
+        assert spark.read.parquet(folder).distinct().count() == 400 < spark.read.parquet(folder).count()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before[0])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[1])
