@@ -353,6 +353,20 @@ def test_tfidf_by_hand(spark):
     assert found[(0, "b")] == pytest.approx(1.0)
 
 
+def test_term_counts_move_only_rows_whose_keys_repeat(spark, monkeypatch):
+    schema_ = "id int, terms array<string>"
+    single = spark.createDataFrame([(1, ["b", "a", "b", None]), (2, []), (3, None), (None, ["a"])], schema_)
+    found = lambda df: sorted(((r["id"] or 0, r["term"], r["n"]) for r in terms.term_counts(df).collect()))
+    assert found(single) == [(0, "a", 1), (1, "a", 1), (1, "b", 2)]
+    shown = terms.term_counts(single)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in shown
+    again = single.unionByName(spark.createDataFrame([(1, ["a", "c"]), (None, ["a", "a"]), (4, ["d"])], schema_))
+    expected = [(0, "a", 3), (1, "a", 2), (1, "b", 2), (1, "c", 1), (4, "d", 1)]
+    assert found(again) == expected
+    monkeypatch.setattr(terms, "fits_broadcast", lambda df: False)
+    assert found(again) == expected
+
+
 def test_class_report_zero_division(spark):
     judged = spark.createDataFrame([(0, 0), (0, 0), (1, 0)], "label int, prediction int")
     report = {r["class"]: tuple(r)[1:] for r in metrics.class_report(metrics.confusion(judged)).collect()}
