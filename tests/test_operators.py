@@ -353,6 +353,16 @@ def test_tfidf_by_hand(spark):
     assert found[(0, "b")] == pytest.approx(1.0)
 
 
+def test_tfidf_is_the_same_when_frequent_terms_are_cut(spark, monkeypatch):
+    rows = [(i // 2 if i < 6 else i, i % 2, ["w"] * (i % 4) + [f"t{i % 5}", None, "x" if i % 3 else "y"]) for i in range(40)] + [(None, 1, ["w"]), (77, None, ["w"]), (78, 1, [])]
+    docs = spark.createDataFrame([*rows, (9, 1, ["w", "z"])], "id int, label int, terms array<string>")
+    found = lambda **how: {(r["label"], r["term"]): round(r["value"], 9) for r in terms.class_tfidf(docs, **how).collect()}
+    whole = found()
+    assert len(whole) == 17 and found(together=0) == whole
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", 0)
+    assert found() == whole
+
+
 def test_term_counts_move_only_rows_whose_keys_repeat(spark, monkeypatch):
     schema_ = "id int, terms array<string>"
     single = spark.createDataFrame([(1, ["b", "a", "b", None]), (2, []), (3, None), (None, ["a"])], schema_)
