@@ -913,14 +913,18 @@ def stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_batches(spark, out, schema.DELIVERY_LOG).drop("batch_id")
 
 
-def _landing(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, StructType, Callable[[int], None], int]:
+#: Documents of a landed file, however few splits a cluster reads its table in.
+LANDED_DOCS = 20_000
+
+
+def _landing(spark: SparkSession, sf_dir: str, name: str, most: int | None = None) -> tuple[str, StructType, Callable[[int], None], int]:
     """An empty folder, the schema of a table, what lands the table there, and the files of a micro-batch.
 
     Each call lands a half, with some rows of the other half, in three files or as many as the table has splits, so no task writes more
-    as the table grows. A micro-batch takes two thirds of them: a half is two micro-batches at any size.
+    as the table grows; with ``most`` a file takes about so many rows of the table at most. A micro-batch takes two thirds of them: a half is two micro-batches at any size.
     """
     rows = st.table(spark, sf_dir, name)
-    files = max(3, splits(rows))
+    files = max(3, splits(rows), -(-rows.count() // most) if most else 0)
     folder, dealt = shared_folder(spark, f"landed-{name}"), F.pmod(F.xxhash64(rows.columns[0]), F.lit(12))
 
     def land(half: int) -> None:
@@ -953,7 +957,7 @@ def _landed_posts(spark: SparkSession, landed: str, columns: StructType, files:
 @query
 def stream_score_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``stream_score``, from six files, or more of a large table, with repeats and a stop after half of them."""
-    landed, columns, land, taken = _landing(spark, sf_dir, "documents")
+    landed, columns, land, taken = _landing(spark, sf_dir, "documents", LANDED_DOCS)
     out, checkpoint = shared_folder(spark, "scores"), shared_folder(spark, "scores-state")
     for half in (0, 1):
         land(half)
@@ -964,7 +968,7 @@ def stream_score_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``stream_feed``, from six files, or more of a large table, with repeats and a stop after half of them."""
-    landed, columns, land, taken = _landing(spark, sf_dir, "documents")
+    landed, columns, land, taken = _landing(spark, sf_dir, "documents", LANDED_DOCS)
     out, checkpoint = shared_folder(spark, "feed"), shared_folder(spark, "feed-state")
     for half in (0, 1):
         land(half)

@@ -166,10 +166,10 @@ def stored_scores(spark: SparkSession, path: str) -> DataFrame:
 
 
 def feed(stream: DataFrame, static_log: DataFrame, path: str, checkpoint: str, lang: str = "en") -> StreamingQuery:
-    """Append eligible posts to the delivery log once, skipping what any log holds."""
+    """Append eligible posts to the delivery log once, skipping what any log holds. Only ids are moved; texts stay where they are."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
         fresh = drop_seen(batch, static_log.select("post_id"))
         append_batch(fresh.select(F.col("id").alias("post_id"), F.lit("no_errors").alias("err_reason")), path, batch_id)
 
-    return run_available(first_seen(in_language(no_reposts(stream), lang), "id"), work, checkpoint)
+    return run_available(first_seen(in_language(no_reposts(stream), lang).select("id"), "id"), work, checkpoint)

@@ -322,3 +322,24 @@ def test_a_table_of_many_splits_lands_in_as_many_files_and_two_batches(spark, tm
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before[0])
         spark.conf.set("spark.sql.files.maxPartitionBytes", before[1])
+
+
+def test_documents_land_in_files_of_bounded_rows_on_any_cluster(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(100)], "doc_id bigint, text string")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    folder, columns, land, taken = queries._landing(spark, str(tmp_path), "documents", 10)
+    land(0)
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 10 and taken == 7
+    land(1)
+    assert spark.read.parquet(folder).distinct().count() == 100
+
+
+def test_a_feed_moves_ids_alone(spark, tmp_path, monkeypatch):
+    posts = make_posts(spark, [(1, 1, "a"), (2, 1, "b"), (None, 1, "c"), (None, 1, "d")])
+    land(spark, f"{tmp_path}/in", [posts, posts])
+    seen, plain = [], jobs.drop_seen
+    monkeypatch.setattr(jobs, "drop_seen", lambda batch, log: seen.append(batch.columns) or plain(batch, log))
+    log = spark.createDataFrame([(1, "no_errors")], schema.DELIVERY_LOG)
+    jobs.feed(jobs.file_stream(spark, f"{tmp_path}/in", schema.POSTS), log, f"{tmp_path}/out", f"{tmp_path}/state")
+    stored = sinks.read_batches(spark, f"{tmp_path}/out", schema.DELIVERY_LOG)
+    assert sorted(r["post_id"] or 0 for r in stored.collect()) == [0, 0, 0, 0, 2] and set(map(tuple, seen)) == {("id",)}
