@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -111,6 +111,21 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         yield batch.slice(at)
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, in order, in runs whose ``column`` holds about ``most`` bytes, one row at least."""
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(batch, column, most):
+            n = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if held and size + n > most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += n
+    if held:
+        yield pa.concat_batches(held)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -23,8 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import SLICE_BYTES, slices, stored
-from feedloom.llm.tokens import coder, default_tokenizer
+from feedloom.llm.common import gathered, slices, stored
+from feedloom.llm.tokens import TEXT_BYTES, coder, default_tokenizer
 
 WINDOW = 1024
 GRANULE = 128
@@ -42,26 +42,25 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded, part, sent = coder(tokenizer), TaskContext.get().partitionId(), {}
-        for batch in batches:
-            for rows in slices(batch, "text", SLICE_BYTES):
-                flat, counts = coded.encode(rows.column("text"))
-                flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
-                ends = np.cumsum(counts + 1)
-                sources, starts = rows.column("source").to_pylist(), []
-                for source, n in zip(sources, (counts + 1).tolist()):
-                    starts.append(sent.get(source, 0))
-                    sent[source] = starts[-1] + n
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("doc_id"),
-                        rows.column("source"),
-                        pa.array([part] * len(starts), pa.int64()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(counts + 1, pa.int64()),
-                        pa.array([_halves(flat[e - n : e]) for e, n in zip(ends.tolist(), (counts + 1).tolist())], pa.binary()),
-                    ],
-                    names=["doc_id", "source", "part", "local_start", "doc_tokens", "ids"],
-                )
+        for rows in gathered(batches, "text", TEXT_BYTES):
+            flat, counts = coded.encode(rows.column("text"))
+            flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
+            ends = np.cumsum(counts + 1)
+            sources, starts = rows.column("source").to_pylist(), []
+            for source, n in zip(sources, (counts + 1).tolist()):
+                starts.append(sent.get(source, 0))
+                sent[source] = starts[-1] + n
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("doc_id"),
+                    rows.column("source"),
+                    pa.array([part] * len(starts), pa.int64()),
+                    pa.array(starts, pa.int64()),
+                    pa.array(counts + 1, pa.int64()),
+                    pa.array([_halves(flat[e - n : e]) for e, n in zip(ends.tolist(), (counts + 1).tolist())], pa.binary()),
+                ],
+                names=["doc_id", "source", "part", "local_start", "doc_tokens", "ids"],
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("source").cast("string").alias("source"))
     return rows.mapInArrow(encode, TOKENS)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +21,14 @@ import regex
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = (*range(33, 127), *range(161, 173), *range(174, 256))
 
-#: Entries of the two look-up tables of one Python worker; a full table starts anew.
-CACHE_PIECES = 250_000
+#: Entries of the two look-up tables of one Python worker; a full table keeps what was asked for last.
+CACHE_PIECES = 500_000
 CACHE_WORDS = 150_000
+#: Ids that the table of pieces holds at most for each of its entries, and bytes of a piece that outlasts a full table.
+PIECE_IDS = 16
+PIECE_BYTES = 64
+#: Bytes of texts that share their look-ups: pieces that occur once in it are dear, and larger texts repeat more of theirs.
+TEXT_BYTES = 8 << 20
 
 _OPENING = re.compile(r"(?= \S)")
 _CODERS: dict[str, "Coder"] = {}
@@ -56,34 +62,68 @@ class Coder:
         self.words = regex.compile(WORD)
         self.model = self.whole.model
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.batches = 0
+        #: Pieces seen, and of each where its ids begin in ``flat``, how many they are, whether it opens with a space or is empty, and when it was last asked for.
+        self.pieces = pa.array([], pa.string())
+        self.flat = np.empty(0, dtype="<u4")
+        self.starts, self.sizes, self.odd, self.asked = (np.empty(0, dtype=t) for t in (np.int64, np.int64, bool, np.int64))
 
     def _word(self, word: str) -> bytes:
         ids = self.known.get(word)
         if ids is None:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            spelled = "\u0120" + word[1:] if word[0] == " " and word.isascii() and word[1:].isalpha() else word.encode().decode("latin-1").translate(self.letters)
-            ids = self.known[word] = np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
+            ids = self.older.get(word)
+            if ids is None:
+                spelled = "\u0120" + word[1:] if word[0] == " " and word.isascii() and word[1:].isalpha() else word.encode().decode("latin-1").translate(self.letters)
+                ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            if len(self.known) >= CACHE_WORDS // 2:
+                self.known, self.older = {}, self.known
+            self.known[word] = ids
         return ids
 
     def _opened(self, piece: str) -> bytes:
         """The ids of a text without special tokens that keeps together what a word may span."""
         return b"".join(map(self._word, self.words.findall(piece)))
 
-    def _spaced(self, piece: str) -> bytes:
-        """The ids of a space and a piece that opens with a non-space."""
-        if piece.isalpha():
-            ids = self._word(" " + piece)
-        elif piece[-1] in ".," and piece[:-1].isalpha():
-            ids = self._word(" " + piece[:-1]) + self._word(piece[-1])
-        else:
-            ids = self._opened(" " + piece)
-        if len(piece) <= 64:
-            if len(self.pieces) >= CACHE_PIECES:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
+    def _learn(self, new: pa.Array) -> None:
+        """Add pieces to the table: all that open with a non-space are one text, each behind a space that opens a word."""
+        pieces = new.to_pylist()
+        odd = np.fromiter((not p or p[0].isspace() for p in pieces), dtype=bool, count=len(pieces))
+        sizes = np.zeros(len(pieces), dtype=np.int64)
+        flat = np.empty(0, dtype="<u4")
+        if not odd.all():
+            words = self.words.findall(" " + " ".join([p for p, o in zip(pieces, odd.tolist()) if not o]))
+            blobs = [self.known.get(w) or self._word(w) for w in words]
+            opens = np.flatnonzero(np.fromiter((w[0] == " " for w in words), dtype=bool, count=len(words)))
+            sizes[~odd] = np.add.reduceat(np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4, opens)
+            flat = np.frombuffer(b"".join(blobs), dtype="<u4")
+        self.pieces = pa.concat_arrays([self.pieces, new])
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat, self.sizes, self.odd = (np.concatenate(both) for both in ((self.flat, flat), (self.sizes, sizes), (self.odd, odd)))
+        self.asked = np.concatenate([self.asked, np.full(len(pieces), self.batches)])
+
+    def _found(self, pieces: pa.Array) -> np.ndarray:
+        """Where distinct pieces stand in the table, all of them after this."""
+        if len(self.pieces) > CACHE_PIECES or len(self.flat) > PIECE_IDS * CACHE_PIECES:
+            self._trim()
+        self.batches += 1
+        at = pc.index_in(pieces, value_set=self.pieces)
+        known = len(self.pieces)
+        missing = at.is_null()
+        if at.null_count:
+            self._learn(pieces.filter(missing))
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        at[missing.to_numpy(zero_copy_only=False)] = known + np.arange(len(self.pieces) - known)
+        self.asked[at] = self.batches
+        return at
+
+    def _trim(self) -> None:
+        """Keep the half that was asked for last, without long pieces."""
+        order = np.argsort(-self.asked, kind="stable")[: CACHE_PIECES // 2]
+        keep = np.sort(order[pc.binary_length(self.pieces).to_numpy()[order] <= PIECE_BYTES])
+        self.pieces, sizes = self.pieces.take(pa.array(keep)), self.sizes[keep]
+        self.flat = self.flat[_runs(self.starts[keep], sizes)]
+        self.starts, self.sizes, self.odd, self.asked = np.cumsum(sizes) - sizes, sizes, self.odd[keep], self.asked[keep]
 
     def _alone(self, text: str) -> bytes:
         if self.by_word and not (self.special and self.special.search(text)):
@@ -102,31 +142,29 @@ class Coder:
         bounds = parts.offsets.to_numpy().astype(np.int64)
         bounds -= bounds[0]
         coded = parts.flatten().dictionary_encode()
-        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        at = self._found(coded.dictionary)[coded.indices.to_numpy()]
         first = bounds[:-1]
-        odd = np.fromiter((not w or w[0].isspace() for w in words), dtype=bool, count=len(words))
-        inner = odd[at]
+        inner = self.odd[at]
         inner[first] = False
         alone = np.logical_or.reduceat(inner, first) | (not self.by_word)
         if self.special:
             alone |= pc.match_substring_regex(texts, self.special.pattern).to_numpy(zero_copy_only=False)
-        get, learn = self.pieces.get, self._spaced
-        blobs = [b"" if o else get(w) or learn(w) for w, o in zip(words, odd.tolist())]
-        none = len(blobs)
-        blobs.append(b"")
-        at[np.repeat(alone, np.diff(bounds))] = none
-        opening = [words[i] for i in coded.indices.to_numpy()[first].tolist()]
-        at[first] = none + 1 + np.arange(len(first))
-        for i, (word, by_itself) in enumerate(zip(opening, alone.tolist())):
-            blobs.append(self._alone(texts[i].as_py()) if by_itself else self._opened(word))
-        flat = np.frombuffer(b"".join(blobs), dtype="<u4")
-        sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
-        starts = np.cumsum(sizes) - sizes
-        taken = sizes[at]
-        ends = np.cumsum(taken)
-        source = np.repeat(starts[at] - (ends - taken), taken)
-        source += np.arange(len(source))
-        return flat[source], np.add.reduceat(taken, first)
+        opening = coded.dictionary.take(coded.indices.take(pa.array(first))).to_pylist()
+        blobs = [self._alone(texts[i].as_py()) if by_itself else self._opened(word) for i, (word, by_itself) in enumerate(zip(opening, alone.tolist()))]
+        own = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
+        flat = np.concatenate([self.flat, np.frombuffer(b"".join(blobs), dtype="<u4")])
+        starts, taken = self.starts[at], self.sizes[at]
+        taken[np.repeat(alone, np.diff(bounds))] = 0
+        starts[first], taken[first] = len(self.flat) + np.cumsum(own) - own, own
+        return flat[_runs(starts, taken)], np.add.reduceat(taken, first)
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``starts``, one run after the other."""
+    ends = np.cumsum(sizes)
+    places = np.repeat(starts - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return places
 
 
 def coder(path: str) -> Coder:

@@ -10,7 +10,9 @@ import pytest
 from cases import AWKWARD, SMALL
 from tokenizers import Tokenizer
 
+from feedloom.llm import tokens
 from feedloom.llm.bitplane import PlaneReader, PlaneWriter, from_planes, read_token_files, to_planes, write_token_files
+from feedloom.llm.common import gathered
 from feedloom.llm.packing import Schedule, pack
 from feedloom.llm.tokens import Coder, default_tokenizer
 
@@ -34,6 +36,44 @@ def test_ids_are_those_of_the_whole_text(library):
         assert list(flat[end - n : end]) == library.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
+class Asked:
+    """The library's model, and what it was asked for."""
+
+    def __init__(self, model):
+        self.model, self.words = model, []
+
+    def tokenize(self, word):
+        self.words.append(word)
+        return self.model.tokenize(word)
+
+
+def test_full_tables_keep_what_recurs_and_forget_nothing_else_of_the_ids(library, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 300)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 200)
+    rng, coder = random.Random(2), Coder(default_tokenizer())
+    coder.model = asked = Asked(coder.model)
+    letters = "abcdefghijklmnopqrstuvwxyzé"
+    common = [f"zq{a}{b}" for a in letters[:8] for b in letters[:8]]
+    for _ in range(30):
+        rare = ["".join(rng.choice(letters) for _ in range(rng.randint(5, 9))) + rng.choice(["", ",", ".\nSo", "'s"]) for _ in range(100)]
+        words = common + rare + ["x" * 90 + str(rng.random())]
+        texts = [" ".join(rng.sample(words, len(words))), "", None, "two  spaces " + rare[0]]
+        flat, counts = coder.encode(pa.array(texts, pa.string()))
+        assert flat.tolist() == [i for t in texts for i in library.encode(t or "", add_special_tokens=False).ids]
+        assert counts.tolist() == [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    assert max(asked.words.count("\u0120" + w) for w in common) == 1
+    assert len(coder.pieces) <= 300 + 200
+
+
+def test_batches_are_gathered_to_runs_of_texts():
+    rows = [("a" * n if n is not None else None, i) for i, n in enumerate([3, 4, None, 9, 0, 1, 25, 2])]
+    schema = pa.schema([("text", pa.string()), ("k", pa.int64())])
+    batches = [pa.RecordBatch.from_pydict({"text": [t], "k": [k]}, schema=schema) for t, k in rows]
+    found = [b.column("k").to_pylist() for b in gathered(iter(batches), "text", 10)]
+    assert found == [[0, 1, 2], [3, 4, 5], [6], [7]]
+    assert list(gathered(iter([]), "text", 10)) == []
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 1000])
 def test_planes_round_trip(kind, n):
