@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import SLICE_BYTES, slices, stored
-from feedloom.llm.tokens import coder, default_tokenizer
+from feedloom.llm.common import gathered, stored
+from feedloom.llm.tokens import TEXT_BYTES, coder, default_tokenizer
 from feedloom.session import shared_folder
 
 MAGIC = b"PLANES01"
@@ -180,19 +180,18 @@ def write_token_files(docs: DataFrame, tokenizer: str | None = None, kind: str =
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         coded, writer, out, path = coder(tokenizer), None, None, ""
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                if writer is None:
-                    system, base = _opened(folder)
-                    system.create_dir(base, recursive=True)
-                    name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.planes"
-                    path, out = f"{folder}/{name}", system.open_output_stream(f"{base}/{name}")
-                    writer = PlaneWriter(out, kind, block_ids)
-                flat, counts = coded.encode(part.column("text"))
-                ends = np.cumsum(counts)
-                writer.ids(np.insert(flat, ends, end_id).astype("<u4"))
-                for doc_id, n in zip(part.column("doc_id").to_pylist(), counts.tolist()):
-                    writer.add(doc_id, n + 1)
+        for part in gathered(batches, "text", TEXT_BYTES):
+            if writer is None:
+                system, base = _opened(folder)
+                system.create_dir(base, recursive=True)
+                name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.planes"
+                path, out = f"{folder}/{name}", system.open_output_stream(f"{base}/{name}")
+                writer = PlaneWriter(out, kind, block_ids)
+            flat, counts = coded.encode(part.column("text"))
+            ends = np.cumsum(counts)
+            writer.ids(np.insert(flat, ends, end_id).astype("<u4"))
+            for doc_id, n in zip(part.column("doc_id").to_pylist(), counts.tolist()):
+                writer.add(doc_id, n + 1)
         if writer is not None:
             writer.close()
             out.close()

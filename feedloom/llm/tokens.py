@@ -22,13 +22,15 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 PRINTABLE = (*range(33, 127), *range(161, 173), *range(174, 256))
 
 #: Entries of the two look-up tables of one Python worker; a full table keeps what was asked for last.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
 CACHE_WORDS = 150_000
 #: Ids that the table of pieces holds at most for each of its entries, and bytes of a piece that outlasts a full table.
 PIECE_IDS = 16
 PIECE_BYTES = 64
 #: Bytes of texts that share their look-ups: pieces that occur once in it are dear, and larger texts repeat more of theirs.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
+#: Pieces that are learned at once, so that temporaries stay small.
+LEARNED = 50_000
 
 _OPENING = re.compile(r"(?= \S)")
 _CODERS: dict[str, "Coder"] = {}
@@ -67,7 +69,7 @@ class Coder:
         #: Pieces seen, and of each where its ids begin in ``flat``, how many they are, whether it opens with a space or is empty, and when it was last asked for.
         self.pieces = pa.array([], pa.string())
         self.flat = np.empty(0, dtype="<u4")
-        self.starts, self.sizes, self.odd, self.asked = (np.empty(0, dtype=t) for t in (np.int64, np.int64, bool, np.int64))
+        self.starts, self.sizes, self.odd, self.asked = (np.empty(0, dtype=t) for t in (np.int64, np.int32, bool, np.int32))
 
     def _word(self, word: str) -> bytes:
         ids = self.known.get(word)
@@ -85,22 +87,26 @@ class Coder:
         """The ids of a text without special tokens that keeps together what a word may span."""
         return b"".join(map(self._word, self.words.findall(piece)))
 
+    def _split(self, pieces: list[str]) -> tuple[list[bool], np.ndarray, bytes]:
+        """Of pieces: which are odd, how many ids each other has, and those ids. The others are one text, each behind a space that opens a word."""
+        odd = [not p or p[0].isspace() for p in pieces]
+        sizes = np.zeros(len(pieces), dtype=np.int32)
+        if all(odd):
+            return odd, sizes, b""
+        words = self.words.findall(" " + " ".join([p for p, o in zip(pieces, odd) if not o]))
+        blobs = [self.known.get(w) or self._word(w) for w in words]
+        opens = np.flatnonzero(np.fromiter((w[0] == " " for w in words), dtype=bool, count=len(words)))
+        sizes[~np.array(odd)] = np.add.reduceat(np.fromiter(map(len, blobs), dtype=np.int32, count=len(blobs)) // 4, opens)
+        return odd, sizes, b"".join(blobs)
+
     def _learn(self, new: pa.Array) -> None:
-        """Add pieces to the table: all that open with a non-space are one text, each behind a space that opens a word."""
-        pieces = new.to_pylist()
-        odd = np.fromiter((not p or p[0].isspace() for p in pieces), dtype=bool, count=len(pieces))
-        sizes = np.zeros(len(pieces), dtype=np.int64)
-        flat = np.empty(0, dtype="<u4")
-        if not odd.all():
-            words = self.words.findall(" " + " ".join([p for p, o in zip(pieces, odd.tolist()) if not o]))
-            blobs = [self.known.get(w) or self._word(w) for w in words]
-            opens = np.flatnonzero(np.fromiter((w[0] == " " for w in words), dtype=bool, count=len(words)))
-            sizes[~odd] = np.add.reduceat(np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4, opens)
-            flat = np.frombuffer(b"".join(blobs), dtype="<u4")
+        """Add pieces to the table."""
+        odd, sizes, blobs = zip(*(self._split(new.slice(a, LEARNED).to_pylist()) for a in range(0, len(new), LEARNED)))
+        flat, size = np.frombuffer(b"".join(blobs), dtype="<u4"), np.concatenate(sizes)
         self.pieces = pa.concat_arrays([self.pieces, new])
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.flat, self.sizes, self.odd = (np.concatenate(both) for both in ((self.flat, flat), (self.sizes, sizes), (self.odd, odd)))
-        self.asked = np.concatenate([self.asked, np.full(len(pieces), self.batches)])
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(size, dtype=np.int64) - size])
+        self.flat, self.sizes, self.odd = (np.concatenate(both) for both in ((self.flat, flat), (self.sizes, size), (self.odd, np.concatenate(odd))))
+        self.asked = np.concatenate([self.asked, np.full(len(new), self.batches, dtype=np.int32)])
 
     def _found(self, pieces: pa.Array) -> np.ndarray:
         """Where distinct pieces stand in the table, all of them after this."""
@@ -112,7 +118,7 @@ class Coder:
         missing = at.is_null()
         if at.null_count:
             self._learn(pieces.filter(missing))
-        at = at.fill_null(0).to_numpy().astype(np.int64)
+        at = at.fill_null(0).to_numpy().copy()
         at[missing.to_numpy(zero_copy_only=False)] = known + np.arange(len(self.pieces) - known)
         self.asked[at] = self.batches
         return at
@@ -123,7 +129,7 @@ class Coder:
         keep = np.sort(order[pc.binary_length(self.pieces).to_numpy()[order] <= PIECE_BYTES])
         self.pieces, sizes = self.pieces.take(pa.array(keep)), self.sizes[keep]
         self.flat = self.flat[_runs(self.starts[keep], sizes)]
-        self.starts, self.sizes, self.odd, self.asked = np.cumsum(sizes) - sizes, sizes, self.odd[keep], self.asked[keep]
+        self.starts, self.sizes, self.odd, self.asked = np.cumsum(sizes, dtype=np.int64) - sizes, sizes, self.odd[keep], self.asked[keep]
 
     def _alone(self, text: str) -> bytes:
         if self.by_word and not (self.special and self.special.search(text)):
@@ -156,14 +162,16 @@ class Coder:
         starts, taken = self.starts[at], self.sizes[at]
         taken[np.repeat(alone, np.diff(bounds))] = 0
         starts[first], taken[first] = len(self.flat) + np.cumsum(own) - own, own
-        return flat[_runs(starts, taken)], np.add.reduceat(taken, first)
+        return flat[_runs(starts, taken)], np.add.reduceat(taken, first, dtype=np.int64)
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of runs that begin at ``starts``, one run after the other."""
-    ends = np.cumsum(sizes)
-    places = np.repeat(starts - (ends - sizes), sizes)
-    places += np.arange(len(places))
+    ends = np.cumsum(sizes, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total + int(starts.max(initial=0)) < 1 << 31 else np.int64
+    places = np.repeat((starts - (ends - sizes)).astype(kind), sizes)
+    places += np.arange(total, dtype=kind)
     return places
 
 
