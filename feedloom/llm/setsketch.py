@@ -12,9 +12,10 @@ register has surely got one are never made, and where one is empty all the same
   similarity. A pair goes if the maximum lies below the threshold and is 15 in logarithm more likely than the threshold is.
 * Verification: parities of the sets' hashes give a number of elements in which they surely differ, which excludes most
   pairs just below the threshold; what is left is decided on the full sets.
-* Rest: only in a bucket that then still holds more than one component do sets of different components meet each
-  other, in blocks of bounded size: those outside its largest component against all. Each takes the nearest few that pass, then
-  32 times as many, until none has more: links merge components in between, so few pairs are ever made.
+* Rest: only in a bucket that then, without the least set that all have met, still holds more than one component do sets of
+  different components meet each other, in blocks of bounded size: those outside its largest component against all. Each takes
+  the nearest few that pass; those that have more take 32 times as many, until none has more: links merge components in between,
+  so few pairs are ever made.
   Links are lost to none but the bands.
 """
 
@@ -55,6 +56,8 @@ PAIRS = 50_000
 #: Pairs of an Arrow batch that carries two texts each.
 PAIR_ROWS = 64
 BITMAP_BITS = 24
+#: Slots of the bitmap of buckets that more than one set shares.
+BUCKET_BITS = 26
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEED = np.uint64(0x3C6EF372FE94F82A)
@@ -166,10 +169,19 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = buckets(_matrix(batch.column("sketch")))
-        yield pa.RecordBatch.from_arrays([pa.array(names.reshape(-1)), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], names=["bucket", "node"])
+def _banded(marked: np.ndarray | None = None):
+    """Sketches to (bucket, node); with a bitmap of buckets, those in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = buckets(_matrix(batch.column("sketch"))).reshape(-1)
+            nodes = np.repeat(batch.column("node").to_numpy(), BANDS)
+            if marked is not None:
+                some = slots_set(marked, names.view(np.uint64) & np.uint64((1 << BUCKET_BITS) - 1))
+                names, nodes = names[some], nodes[some]
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(nodes)], names=["bucket", "node"])
+
+    return run
 
 
 def _matrix(values: pa.Array, width: int = M) -> np.ndarray:
@@ -252,27 +264,48 @@ def _grown(roots: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _open_rows(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """(bucket, node, root, largest, all, most): the sets of the buckets of ``met(bucket, node)`` that hold more than one component."""
+    """(bucket, node, root, guest, hosts, guests): the sets of the buckets of ``met(bucket, node)`` that hold more than one component.
+
+    Guests are the sets outside the largest component of their bucket; hosts and guests are numbers of blocks.
+    """
     rooted = met.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     sizes = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
     held = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.sum("size").alias("all"), F.max("size").alias("most"))
-    return stored(rooted.join(held.where(F.col("all") > F.col("most")), "bucket"), "sketch-rest")
+    held = held.where(F.col("all") > F.col("most")).select("bucket", "largest", _blocks(F.col("all")).alias("hosts"), _blocks(F.col("all") - F.col("most")).alias("guests"))
+    return stored(rooted.join(held, "bucket").select("bucket", "node", "root", (F.col("root") != F.col("largest")).alias("guest"), "hosts", "guests"), "sketch-rest")
+
+
+def _still_open(open_rows: DataFrame, roots: DataFrame, asking: DataFrame) -> DataFrame:
+    """Rows of ``open_rows`` for the next round: guests are those of this round that ``asking(node)`` names, with the hosts of their buckets.
+
+    Of two sets of different components one was a guest from the first round on; where it does not ask, the pair has been made.
+    """
+    rows = open_rows.select("bucket", "node", "guest").join(roots, "node", "left").join(asking.withColumn("asks", F.lit(True)), "node", "left")
+    rows = rows.select("bucket", "node", F.coalesce("root", "node").alias("root"), (F.col("guest") & F.coalesce("asks", F.lit(False))).alias("guest"))
+    held = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("guest").cast("int")).alias("asking"), F.min("root").alias("first"), F.max("root").alias("last"))
+    held = held.where((F.col("asking") > 0) & (F.col("first") != F.col("last"))).select("bucket", _blocks(F.col("all")).alias("hosts"), _blocks(F.col("asking")).alias("guests"))
+    return stored(rows.join(held, "bucket").select("bucket", "node", "root", "guest", "hosts", "guests"), "sketch-rest")
+
+
+def _blocks(rows: Column) -> Column:
+    return F.ceil(rows / BLOCK).cast("int")
 
 
 def _rest(open_rows: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
-    """Pairs (a, b, more) of sets that share an open bucket but no component: the nearest ``most`` of each set in each block, and whether it has more.
+    """Pairs (a, b, more_a, more_b) of sets that share an open bucket but no component: the nearest ``most`` of each guest in each block, and which end is a guest that has more.
 
-    The sets outside the largest component of a bucket meet all its sets, in blocks of about BLOCK x BLOCK.
+    The guests of a bucket meet all its sets, in blocks of about BLOCK x BLOCK. A set's sketch is fetched once for all its buckets.
     """
-    blocks = open_rows.withColumn("hosts", F.ceil(F.col("all") / BLOCK).cast("int")).withColumn("guests", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int"))
-    blocks = blocks.join(sets.select("node", "n", "sketch", "parity"), "node")
+    places = open_rows.groupBy("node").agg(F.min("root").alias("root"), F.collect_list(F.struct("bucket", "guest", "hosts", "guests")).alias("places"))
+    blocks = places.join(sets.select("node", "n", "sketch", "parity"), "node").withColumn("place", F.explode("places")).select("node", "root", "n", "sketch", "parity", "place.*")
     cell = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
     host = blocks.withColumn("h", (cell % F.col("hosts")).cast("int")).withColumn("g", F.explode(F.sequence(F.lit(0), F.col("guests") - 1))).withColumn("guest", F.lit(False))
-    guest = blocks.where(F.col("root") != F.col("largest")).withColumn("g", (cell % F.col("guests")).cast("int"))
-    guest = guest.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("hosts") - 1))).withColumn("guest", F.lit(True))
+    guest = blocks.where("guest").withColumn("g", (cell % F.col("guests")).cast("int"))
+    guest = guest.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("hosts") - 1)))
     columns = ["bucket", "h", "g", "guest", "node", "root", "n", "sketch", "parity"]
     cells = host.select(*columns).union(guest.select(*columns)).repartition("bucket", "h", "g").sortWithinPartitions("bucket", "h", "g", "guest")
-    return cells.mapInArrow(_crossed(percent, most), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    pairs = cells.mapInArrow(_crossed(percent, most), "a long, b long, more_a boolean, more_b boolean")
+    return pairs.groupBy("a", "b").agg(F.max("more_a").alias("more_a"), F.max("more_b").alias("more_b"))
 
 
 def _crossed(percent: int, most: int):
@@ -310,7 +343,8 @@ def _crossed(percent: int, most: int):
             places = _places(found[0])
             full = np.isin(found[0], found[0][places >= most])
             found, full = found[:, places < most], full[places < most]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(found[2], found[3])), pa.array(np.maximum(found[2], found[3])), pa.array(full)], names=["a", "b", "more"])
+            a, b = np.minimum(found[2], found[3]), np.maximum(found[2], found[3])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, full & (a == found[3]), full & (b == found[3]))], names=["a", "b", "more_a", "more_b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -361,26 +395,28 @@ def near_copies(docs: DataFrame, percent: int = 85) -> tuple[DataFrame, DataFram
     named = rows.where(F.col("node").isNotNull()).groupBy("node")
     sets = stored(named.agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("parity").alias("parity")), "sketch-sets")
 
-    banded = sets.select("node", "sketch").mapInArrow(_banded, "bucket long, node long")
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1).select("bucket", "center")
+    sketches, schema = sets.select("node", "sketch"), "bucket long, node long"
+    each = sketches.mapInArrow(_banded(), schema).groupBy("bucket").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"))
+    shared = stored(each.where(F.col("size") > 1).select("bucket", "center"), "sketch-shared")
+    banded = sketches.mapInArrow(_banded(bitmap(shared, F.col("bucket"), BUCKET_BITS)), schema)
     met = stored(banded.join(shared, "bucket"), "sketch-buckets")
     stars = met.where(F.col("node") != F.col("center")).select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     tested = stored(_likely(stars, sets, percent), "sketch-pairs")
     links = _verified(rows, sets, tested, percent)
     roots = stored(components(links), "sketch-roots")
-    open_rows, most = _open_rows(met.select("bucket", "node"), roots), WIDER
+    open_rows, most = _open_rows(met.where(F.col("node") != F.col("center")).select("bucket", "node"), roots), WIDER
     while not open_rows.isEmpty():
         near = stored(_rest(open_rows, sets, percent, most), "sketch-near")
         fresh = stored(near.select("a", "b").join(tested, ["a", "b"], "left_anti"), "sketch-pairs")
         found = _verified(rows, sets, fresh, percent)
-        tested, grown = tested.union(fresh), not found.isEmpty()
-        if grown:
+        tested = tested.union(fresh)
+        if not found.isEmpty():
             links, roots = links.union(found), _grown(roots, found)
-        if near.where("more").isEmpty():
+        asking = near.where("more_a").select(F.col("a").alias("node")).union(near.where("more_b").select(F.col("b").alias("node"))).distinct()
+        if asking.isEmpty():
             break
         most *= WIDER
-        if grown:
-            open_rows = _open_rows(open_rows.select("bucket", "node"), roots)
+        open_rows = _still_open(open_rows, roots, asking)
 
     grouped = sets.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))

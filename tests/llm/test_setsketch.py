@@ -109,6 +109,47 @@ def test_families_that_almost_link(spark, texts):
     assert got == plain_members(chained)
 
 
+def rounds_of(monkeypatch):
+    """The rows that each round of the rest is given."""
+    seen, rest = [], setsketch._rest
+
+    def noted(open_rows, *others):
+        seen.append(open_rows.collect())
+        return rest(open_rows, *others)
+
+    monkeypatch.setattr(setsketch, "_rest", noted)
+    return seen
+
+
+def test_pairs_that_met_as_stars_do_not_meet_again(texts, monkeypatch):
+    rounds, rows = rounds_of(monkeypatch), []
+    for k in range(30):
+        base = [f"p{k}w{i}" for i in range(300)]
+        rows += [" ".join(base), " ".join(base[:255] + [f"p{k}z{i}" for i in range(45)])]
+    rows = list(enumerate(rows))
+    members, _ = setsketch.near_copies(texts(rows))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in members.collect()} == plain_members(rows)
+    assert not rounds
+
+
+@pytest.mark.parametrize("block", [1000, 7])
+def test_only_guests_that_have_more_are_asked_again(texts, block, monkeypatch):
+    monkeypatch.setattr(setsketch, "BLOCK", block)
+    monkeypatch.setattr(setsketch, "WIDER", 2)
+    rounds, rng = rounds_of(monkeypatch), random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for family in range(5):
+        words = base[: 300 - 24 * family] + [f"f{family}w{i}" for i in range(24 * family)]
+        rows += [edited(rng, words, rng.randrange(4)) for _ in range(12)]
+    rows = list(enumerate(rows))
+    members, _ = setsketch.near_copies(texts(rows))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in members.collect()} == plain_members(rows)
+    assert rounds
+    guests = [{(r["bucket"], r["node"]) for r in round if r["guest"]} for round in rounds]
+    assert all(later < before for before, later in zip(guests, guests[1:]))
+
+
 def test_query_on_the_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     got = QUERIES["op13_setsketch_copies"](spark, SMALL)
