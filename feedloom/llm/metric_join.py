@@ -122,6 +122,7 @@ def _keyed(common: np.ndarray, n_buckets: int):
 
     A row holds the keys of many sets in one bucket (``at`` says whose each key is), or the
     very common keys that one set cannot do without (``at`` is NULL), sent anywhere.
+    Keys of many sets go as byte planes of their steps in ascending order, ``at`` as byte planes: high planes are nearly constant.
     """
     lasts = {space: np.sort(key) for space, key in ((0, mixed(common ^ _SPACE)), (1, common[(common & np.uint64(1)) == 0]))}
 
@@ -142,7 +143,7 @@ def _keyed(common: np.ndarray, n_buckets: int):
                 if z > a:
                     used, local = np.unique(at[a:z], return_inverse=True)
                     some = info[used]
-                    yield _batch(BLOBS, [b], [key[a:z].tobytes()], [local.astype("<u4").tobytes()], *[[np.ascontiguousarray(some[:, c]).tobytes()] for c in range(4)])
+                    yield _batch(BLOBS, [b], [_planes(np.diff(key[a:z], prepend=np.uint64(0)), "<u8")], [_planes(local, "<u4")], *[[np.ascontiguousarray(some[:, c]).tobytes()] for c in range(4)])
             rows = [(view[0] % n_buckets, k.tobytes(), None, *[int(v).to_bytes(8, "little", signed=True) for v in view]) for view, k in zip(views, late) if len(k)]
             if rows:
                 yield _batch(BLOBS, *zip(*rows))
@@ -172,6 +173,16 @@ def _keyed(common: np.ndarray, n_buckets: int):
     return run
 
 
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """All lowest bytes, then all second ones, and so on."""
+    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unplaned(planes: bytes, kind: str) -> np.ndarray:
+    octets = np.frombuffer(planes, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(octets.T).view(kind).reshape(-1)
+
+
 def _bucket(key: np.ndarray, n_buckets: int) -> np.ndarray:
     """Ranges of keys, numbered in their order."""
     return ((key >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
@@ -186,8 +197,8 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     late_bucket, passed = None, set()
 
     def closed() -> Iterator[pa.RecordBatch]:
-        key = np.concatenate([np.frombuffer(r["keys"], dtype="<u8") for r in held])
-        own = {c: np.concatenate([np.frombuffer(r[c], dtype="<i8")[np.frombuffer(r["at"], dtype="<u4")] for r in held]) for c in ("nodes", "sizes", "spaces", "cold")}
+        key = np.concatenate([np.cumsum(_unplaned(r["keys"], "<u8"), dtype=np.uint64) for r in held])
+        own = {c: np.concatenate([np.frombuffer(r[c], dtype="<i8")[_unplaned(r["at"], "<u4")] for r in held]) for c in ("nodes", "sizes", "spaces", "cold")}
         order = np.lexsort((own["nodes"], key))
         key, own = key[order], {c: v[order] for c, v in own.items()}
         fresh = np.ones(len(key), dtype=bool)
@@ -293,8 +304,22 @@ def _apart(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
 
 
+def _named(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, shingles) of the sets that ``pairs(a, b)`` name, and a few others: a bitmap of fixed size keeps the rest in their task."""
+    marked = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("node")), F.col("node"), BITMAP_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column("node").to_numpy().view(np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)
+            yield batch.filter(pa.array(slots_set(marked, slot)))
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, shingles binary")
+
+
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, shared, total) for ``pairs(a, b)``: sizes of intersection and union."""
+    """(a, b, shared, total) for ``pairs(a, b)``: sizes of intersection and union. Pairs are stored first, so that only sets they name are moved."""
+    pairs = stored(pairs, "region-pairs")
+    sets = _named(sets, pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -250,3 +250,21 @@ def test_leaks_of_the_table_against_word_windows(spark):
     expected = {(d, i) for d, t in docs.items() for i, w in own.items() if w and len(w & windows(t)) >= len(w) / 2}
     found = {(r["doc_id"], r["item_id"]) for r in QUERIES["op2_template_leaks"](spark, SMALL).collect()}
     assert found == expected
+
+
+def test_keys_go_as_planes_and_come_back():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 5000):
+        key, at = np.sort(rng.integers(0, 2**64, n, dtype=np.uint64)), rng.integers(0, 300, n)
+        packed = metric_join._planes(np.diff(key, prepend=np.uint64(0)), "<u8")
+        assert (np.cumsum(metric_join._unplaned(packed, "<u8"), dtype=np.uint64) == key).all()
+        assert (metric_join._unplaned(metric_join._planes(at, "<u4"), "<u4") == at).all()
+
+
+def test_only_sets_that_pairs_name_are_moved(spark):
+    sets = spark.createDataFrame([(k, np.arange(100 + k, 150 + k, dtype="<u8").tobytes()) for k in range(-20, 20)], "node long, shingles binary")
+    pairs = spark.createDataFrame([(-4, 3), (3, 7)], "a long, b long")
+    assert sorted(r["node"] for r in metric_join._named(sets, pairs).collect()) == [-4, 3, 7]
+    found = metric_join._measured(pairs, sets).collect()
+    assert sorted((r["a"], r["b"], r["shared"], r["total"]) for r in found) == [(-4, 3, 43, 57), (3, 7, 46, 54)]
+    assert metric_join._measured(pairs.limit(0), sets).count() == 0
