@@ -122,7 +122,7 @@ def _keyed(common: np.ndarray, n_buckets: int):
 
     A row holds the keys of many sets in one bucket (``at`` says whose each key is), or the
     very common keys that one set cannot do without (``at`` is NULL), sent anywhere.
-    Keys of many sets go as byte planes of their steps in ascending order, ``at`` as byte planes: high planes are nearly constant.
+    Keys of many sets go as byte planes of their steps in ascending order, what belongs to them as byte planes: high planes are nearly constant.
     """
     lasts = {space: np.sort(key) for space, key in ((0, mixed(common ^ _SPACE)), (1, common[(common & np.uint64(1)) == 0]))}
 
@@ -143,7 +143,7 @@ def _keyed(common: np.ndarray, n_buckets: int):
                 if z > a:
                     used, local = np.unique(at[a:z], return_inverse=True)
                     some = info[used]
-                    yield _batch(BLOBS, [b], [_planes(np.diff(key[a:z], prepend=np.uint64(0)), "<u8")], [_planes(local, "<u4")], *[[np.ascontiguousarray(some[:, c]).tobytes()] for c in range(4)])
+                    yield _batch(BLOBS, [b], [_planes(np.diff(key[a:z], prepend=np.uint64(0)), "<u8")], [_planes(local, "<u4")], *[[_planes(some[:, c], "<i8")] for c in range(4)])
             rows = [(view[0] % n_buckets, k.tobytes(), None, *[int(v).to_bytes(8, "little", signed=True) for v in view]) for view, k in zip(views, late) if len(k)]
             if rows:
                 yield _batch(BLOBS, *zip(*rows))
@@ -175,7 +175,7 @@ def _keyed(common: np.ndarray, n_buckets: int):
 
 def _planes(values: np.ndarray, kind: str) -> bytes:
     """All lowest bytes, then all second ones, and so on."""
-    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return np.ascontiguousarray(values, dtype=kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
 def _unplaned(planes: bytes, kind: str) -> np.ndarray:
@@ -198,7 +198,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def closed() -> Iterator[pa.RecordBatch]:
         key = np.concatenate([np.cumsum(_unplaned(r["keys"], "<u8"), dtype=np.uint64) for r in held])
-        own = {c: np.concatenate([np.frombuffer(r[c], dtype="<i8")[_unplaned(r["at"], "<u4")] for r in held]) for c in ("nodes", "sizes", "spaces", "cold")}
+        own = {c: np.concatenate([_unplaned(r[c], "<i8")[_unplaned(r["at"], "<u4")] for r in held]) for c in ("nodes", "sizes", "spaces", "cold")}
         order = np.lexsort((own["nodes"], key))
         key, own = key[order], {c: v[order] for c, v in own.items()}
         fresh = np.ones(len(key), dtype=bool)
@@ -264,7 +264,7 @@ def _regions(able: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the named sets, from one more pass over the texts.
+    """(node, shingles, sketch) of the named sets, from one more pass over the texts; shingles are byte planes of their steps.
 
     A bitmap of fixed size keeps most other sets in their task; the join decides.
     """
@@ -281,7 +281,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(node)
-                rows.append((node, s.tobytes(), parity_sketch(s)))
+                rows.append((node, _planes(np.diff(s, prepend=np.uint64(0)), "<u8"), parity_sketch(s)))
             if rows:
                 yield _batch(SETS, *zip(*rows))
 
@@ -325,7 +325,7 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             shared, total = [], []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+                x, y = (np.cumsum(_unplaned(z, "<u8"), dtype=np.uint64) for z in (x, y))
                 both = len(x) + len(y) - len(np.union1d(x, y)) if len(x) < 1 << 16 else len(np.intersect1d(x, y, assume_unique=True))
                 shared.append(both)
                 total.append(len(x) + len(y) - both)

@@ -262,7 +262,8 @@ def test_keys_go_as_planes_and_come_back():
 
 
 def test_only_sets_that_pairs_name_are_moved(spark):
-    sets = spark.createDataFrame([(k, np.arange(100 + k, 150 + k, dtype="<u8").tobytes()) for k in range(-20, 20)], "node long, shingles binary")
+    steps = [metric_join._planes(np.diff(np.arange(100 + k, 150 + k, dtype="<u8"), prepend=np.uint64(0)), "<u8") for k in range(-20, 20)]
+    sets = spark.createDataFrame(list(zip(range(-20, 20), steps)), "node long, shingles binary")
     pairs = spark.createDataFrame([(-4, 3), (3, 7)], "a long, b long")
     assert sorted(r["node"] for r in metric_join._named(sets, pairs).collect()) == [-4, 3, 7]
     found = metric_join._measured(pairs, sets).collect()
