@@ -5,7 +5,8 @@ equal strings have equal names wherever they lie. Runs of positions named by one
 segments; a segment holds all its strings in full. Names that occur in a single segment
 have no second string and drop out. The others are dealt to shards by name, and each shard
 orders the suffixes of its segments by induced sorting (see ``induced``); neighbours that
-agree in ``length`` bytes form a class, and all but the earliest of a class are removed.
+agree in ``length`` bytes form a class, and all but the earliest of a class are removed. Before it sorts, a shard leaves
+out strings that cannot be alike: strings alike have the short string at one place and so share the longer stretch around it.
 
 Copies are combined before they are moved: a text or segment that a task has met before, earlier in
 the order, is settled there, and a shard sorts each distinct segment once. A text equal to that of
@@ -35,6 +36,9 @@ FLUSH_BYTES = 12 << 20
 #: Names of one bucket while they are counted, and bytes of segments of one shard while they are sorted.
 BUCKET_NAMES = 1_500_000
 SHARD_BYTES = 8 << 20
+#: Stretches, of most of a string each, by which a shard tells strings apart before it sorts them; and how often it does.
+STRETCHES = 8
+NARROWED = 2
 #: Rows of an Arrow batch on their way to shards; each holds the segments of one flush.
 SHARD_ROWS = 32
 #: Size of the bitmap of repeated names: a filter before the shards, which decide.
@@ -46,7 +50,7 @@ SEEN = 200_000
 LAST = (1 << 63) - 1
 NAMES = "bucket long, names binary"
 WORDS = "w long, bits long, n long"
-SEGMENTS = "bucket long, ids binary, hashes binary, starts binary, sizes binary, texts binary"
+SEGMENTS = "bucket long, ids binary, hashes binary, starts binary, sizes binary, anchors binary, texts binary"
 REMOVED = "order_id long, h long, start long, stop long"
 
 
@@ -56,8 +60,8 @@ def rows_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("order_id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("bytes"))
 
 
-def _segments(text: bytes, length: int, short: int = SHORT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Name, first position and number of positions of every segment of a text of at least ``length`` bytes.
+def _segments(text: bytes, length: int, short: int = SHORT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Name, first position, number of positions and place of the short string, from the first position, of every segment of a text of at least ``length`` bytes.
 
     A segment is a run of strings whose leftmost least short string is the same one, not merely an
     equal one: so no string occurs twice in a segment, also in periodic texts.
@@ -74,7 +78,7 @@ def _segments(text: bytes, length: int, short: int = SHORT) -> tuple[np.ndarray,
         right = least[step:] < least[:-step]
         least, at = np.where(right, least[step:], least[:-step]), np.where(right, at[step:], at[:-step])
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return least[first], first, np.diff(np.append(first, len(at)))
+    return least[first], first, np.diff(np.append(first, len(at))), at[first] - first
 
 
 def _fresh_texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[int, int, bytes]]:
@@ -178,7 +182,7 @@ def _dealt(marked: np.ndarray, n_shards: int, length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple[int, int, int]] = {}
-        held: list[tuple[int, int, int, int, int, bytes]] = []
+        held: list[tuple[int, int, int, int, int, int, bytes]] = []
         gone: list[tuple[int, int, int, int]] = []
         size = 0
 
@@ -188,18 +192,18 @@ def _dealt(marked: np.ndarray, n_shards: int, length: int):
             bounds = np.searchsorted(bucket[order], np.arange(n_shards + 1))
             for b in np.flatnonzero(np.diff(bounds)).tolist():
                 own = [held[i] for i in order[bounds[b] : bounds[b + 1]].tolist()]
-                packed = [np.array([s[k] for s in own], dtype="<i8").tobytes() for k in range(1, 5)]
-                yield _batch(SEGMENTS, [b], *[[p] for p in packed], [b"".join(s[5] for s in own)])
+                packed = [np.array([s[k] for s in own], dtype="<i8").tobytes() for k in range(1, 6)]
+                yield _batch(SEGMENTS, [b], *[[p] for p in packed], [b"".join(s[6] for s in own)])
             if gone:
                 packed = [np.array([g[k] for g in gone], dtype="<i8").tobytes() for k in range(4)]
-                yield _batch(SEGMENTS, [gone[0][1] % n_shards], *[[p] for p in packed], [None])
+                yield _batch(SEGMENTS, [gone[0][1] % n_shards], *[[p] for p in packed], [b""], [None])
 
         for order_id, h, text in _fresh_texts(batches, length):
-            names, first, count = _segments(text, length)
+            names, first, count, anchor = _segments(text, length)
             wanted = np.flatnonzero(slots_set(marked, names & np.uint64((1 << NAME_BITS) - 1)))
             shards = _bucket(names[wanted], n_shards).tolist()
             removed: tuple[list[int], list[int]] = ([], [])
-            for b, a, n in zip(shards, first[wanted].tolist(), count[wanted].tolist()):
+            for b, a, n, m in zip(shards, first[wanted].tolist(), count[wanted].tolist(), anchor[wanted].tolist()):
                 segment = text[a : a + n + length - 1]
                 name = xxhash.xxh3_128_digest(segment)
                 if seen.get(name, (LAST, LAST, LAST)) < (order_id, h, a):
@@ -209,7 +213,7 @@ def _dealt(marked: np.ndarray, n_shards: int, length: int):
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen[name] = (order_id, h, a)
-                held.append((b, order_id, h, a, n, segment))
+                held.append((b, order_id, h, a, n, m, segment))
                 size += len(segment)
             gone += [(order_id, h, a, z) for a, z in _joined(*removed)]
             if size >= FLUSH_BYTES or len(gone) >= 100_000:
@@ -254,20 +258,82 @@ def shard_removals(ids: np.ndarray, hashes: np.ndarray, starts: np.ndarray, size
     return owner[later], position[later]
 
 
+class _Distinct:
+    """Distinct segments, each at its earliest place; those at later places are gone."""
+
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.places: list[tuple[int, int, int]] = []
+        self.sizes: list[int] = []
+        self.anchors: list[int] = []
+
+    def add(self, segment: bytes, place: tuple[int, int, int], size: int, anchor: int) -> list[tuple[int, int, int, int]]:
+        """What is removed: order_id, h, start and stop, at most one."""
+        k = self.known.setdefault(segment, len(self.places))
+        if k == len(self.places):
+            self.places.append(place)
+            self.sizes.append(size)
+            self.anchors.append(anchor)
+            return []
+        if place < self.places[k]:
+            place, self.places[k] = self.places[k], place
+        return [(*place, place[2] + len(segment))] if place != self.places[k] else []
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        columns = np.array(self.places, dtype=np.int64).reshape(-1, 3).T
+        return columns[0], columns[1], columns[2], np.array(self.sizes, dtype=np.int64)
+
+    def narrowed(self, length: int) -> tuple[_Distinct, list[tuple[int, int, int, int]]]:
+        """The parts of segments whose strings may occur in another, and what is removed as such a part is met again."""
+        out, gone = _Distinct(), []
+        segments = list(self.known)
+        for k, at, n in zip(*(c.tolist() for c in _met_again(segments, np.array(self.sizes), np.array(self.anchors), length))):
+            i, h, a = self.places[k]
+            gone += out.add(segments[k][at : at + n + length - 1], (i, h, a + at), n, self.anchors[k] - at)
+        return out, gone
+
+
+def _met_again(segments: list[bytes], sizes: np.ndarray, anchors: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the segment, first position and number of positions of every run of strings that may occur in another segment.
+
+    A string that begins ``d`` bytes before its short string holds the stretch from the least to the most that such strings have in common
+    for a range of ``d``; where no other segment has that stretch around its short string, no string of the range occurs there.
+    """
+    raw = np.frombuffer(b"".join(segments), dtype=np.uint8)
+    begins = np.cumsum(sizes + length - 1) - (sizes + length - 1)
+    step = (length - SHORT) // STRETCHES + 1
+    low, high = anchors - sizes + 1, anchors
+    ranges = high // step - low // step + 1
+    of = np.repeat(np.arange(len(segments)), ranges)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(ranges) - ranges, ranges) + (low // step)[of]
+    least, most = number * step, np.minimum(number * step + step - 1, length - SHORT)
+    at = (begins + anchors)[of]
+    stretch = shingles.mixed(shingles.span_hashes(raw, at - least, at - most + length) + number.astype(np.uint64))
+    order = np.argsort(stretch)
+    same = stretch[order][1:] == stretch[order][:-1]
+    again = np.zeros(len(of), dtype=bool)
+    again[order] = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    of, number, least, most = of[again], number[again], np.maximum(least, low[of])[again], np.minimum(most, high[of])[again]
+    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (number[1:] != number[:-1] + 1)])[: len(of)])
+    last = np.append(first[1:], len(of))[: len(first)] - 1
+    return of[first], anchors[of[first]] - most[last], most[last] - least[first] + 1
+
+
 def _sorted_shards(length: int, memory_items: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        ids: list[int] = []
-        hashes: list[int] = []
-        starts: list[int] = []
-        sizes: list[int] = []
+        held = _Distinct()
         gone: list[tuple[int, int, int, int]] = []
         number = None
 
         def closed() -> Iterator[pa.RecordBatch]:
-            arrays = [np.array(x, dtype=np.int64) for x in (ids, hashes, starts, sizes)]
-            if known:
-                owner, position = shard_removals(*arrays, list(known), length, memory_items)
+            rest, found = held, gone
+            for _ in range(NARROWED):
+                if rest.known:
+                    rest, more = rest.narrowed(length)
+                    found = found + more
+            if rest.known:
+                arrays = rest.arrays()
+                owner, position = shard_removals(*arrays, list(rest.known), length, memory_items)
                 order = np.lexsort((position, arrays[1][owner], arrays[0][owner]))
                 own_ids, own_hashes, position = arrays[0][owner][order], arrays[1][owner][order], position[order]
                 new = np.ones(len(position), dtype=bool)
@@ -275,8 +341,8 @@ def _sorted_shards(length: int, memory_items: int):
                 first = np.flatnonzero(new)
                 last = np.append(first[1:], len(position)) - 1
                 yield _batch(REMOVED, own_ids[first], own_hashes[first], position[first], (position[last] if len(first) else position) + length)
-            if gone:
-                yield _batch(REMOVED, *zip(*gone))
+            if found:
+                yield _batch(REMOVED, *zip(*found))
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -289,22 +355,12 @@ def _sorted_shards(length: int, memory_items: int):
                     continue
                 if number is not None and row["bucket"] != number:
                     yield from closed()
-                    known, ids, hashes, starts, sizes, gone = {}, [], [], [], [], []
+                    held, gone = _Distinct(), []
                 number, at = row["bucket"], 0
-                for i, h, a, n in zip(*columns):
+                for i, h, a, n, m in zip(*columns, np.frombuffer(row["anchors"], dtype="<i8").tolist()):
                     segment = row["texts"][at : at + n + length - 1]
                     at += len(segment)
-                    k = known.setdefault(segment, len(ids))
-                    if k == len(ids):
-                        ids.append(i)
-                        hashes.append(h)
-                        starts.append(a)
-                        sizes.append(n)
-                        continue
-                    if (i, h, a) < (ids[k], hashes[k], starts[k]):
-                        (i, h, a), (ids[k], hashes[k], starts[k]) = (ids[k], hashes[k], starts[k]), (i, h, a)
-                    if (i, h, a) != (ids[k], hashes[k], starts[k]):
-                        gone.append((i, h, a, a + len(segment)))
+                    gone += held.add(segment, (i, h, a), n, m)
         yield from closed()
 
     return run

@@ -79,6 +79,62 @@ def test_planted_repeats(spark, texts, monkeypatch, shard_bytes):
     assert found_in(suffix_dedup.removal(texts(rows), memory_items=500)) == plain_removal(rows, 100)
 
 
+def test_strings_that_share_a_short_string_alone_are_not_sorted(spark, texts, monkeypatch):
+    rng, word = random.Random(3), lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common, passage = word(40), word(160)
+    rows = list(enumerate([word(150) + common + word(150) for _ in range(60)] + [word(80) + passage + word(80) for _ in range(5)]))
+
+    def sized(ids, hashes, starts, sizes, segments, length, memory_items):
+        assert sum(map(len, segments)) < 2_000, "segments are sorted that no other can match"
+        return plain(ids, hashes, starts, sizes, segments, length, memory_items)
+
+    plain = suffix_dedup.shard_removals
+    monkeypatch.setattr(suffix_dedup, "shard_removals", sized)
+    held = suffix_dedup._Distinct()
+    for i, text in rows:
+        raw = text.encode()
+        for _, a, n, m in zip(*(c.tolist() for c in suffix_dedup._segments(raw, 100))):
+            held.add(raw[a : a + n + 99], (i, 0, a), n, m)
+    batch = suffix_dedup._batch(
+        suffix_dedup.SEGMENTS,
+        [0],
+        *[[np.array(c, dtype="<i8").tobytes()] for c in (*held.arrays(), held.anchors)],
+        [b"".join(held.known)],
+    )
+    spans = {(r["order_id"], r["start"], r["stop"]) for b in suffix_dedup._sorted_shards(100, 500)([batch]) for r in b.to_pylist()}
+    gone = {i: sum(z - a for a, z in suffix_dedup._joined(*map(list, zip(*sorted((a, z) for j, a, z in spans if j == i))))) for i in {j for j, *_ in spans}}
+    assert gone == {i: n for i, (_, n, _, _) in plain_removal(rows, 100).items() if n} and len(gone) == 4
+    assert found_in(suffix_dedup.removal(texts(rows), memory_items=500)) == plain_removal(rows, 100)
+
+
+@pytest.mark.parametrize("length", [25, 26, 31, 100, 140])
+def test_narrowed_segments_keep_all_that_recurs(length):
+    rng = random.Random(length)
+    for _ in range(30):
+        pieces = ["".join(rng.choice("ab") for _ in range(rng.randint(20, 160))) for _ in range(4)]
+        rows = [(i, "".join(rng.choice(pieces)[rng.randrange(20) :] for _ in range(rng.randint(1, 5)))) for i in range(12)]
+        held = suffix_dedup._Distinct()
+        gone = []
+        for i, text in rows:
+            raw = text.encode()
+            if len(raw) >= length:
+                for _, a, n, m in zip(*(c.tolist() for c in suffix_dedup._segments(raw, length))):
+                    gone += held.add(raw[a : a + n + length - 1], (i, 0, a), n, m)
+        for _ in range(3):
+            if held.known:
+                held, more = held.narrowed(length)
+                gone += more
+        found = [np.zeros(len(t), dtype=bool) for _, t in rows]
+        for i, _, a, z in gone:
+            found[i][a:z] = True
+        if held.known:
+            ids, hashes, starts, sizes = held.arrays()
+            owner, at = suffix_dedup.shard_removals(ids, hashes, starts, sizes, list(held.known), length, 500)
+            for i, a in zip(ids[owner].tolist(), at.tolist()):
+                found[i][a : a + length] = True
+        assert [int(f.sum()) for f in found] == [plain_removal(rows, length)[i][1] for i, _ in rows]
+
+
 def test_the_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").collect()]
     assert found_in(QUERIES["op4_induced_suffixes"](spark, SMALL)) == plain_removal(rows, 100)
