@@ -42,3 +42,30 @@ def test_terms_are_computed_once_per_scan(spark, sf_dir):
     """The tokeniser must not be repeated in filters below the generator."""
     shown = plan(QUERIES["top_words"](spark, sf_dir)).split("== Physical Plan ==")[1]
     assert shown.count("lower(") <= 2
+
+
+def test_texts_do_not_move_to_meet_bounded_labels(spark, sf_dir, monkeypatch):
+    from feedloom.sources import standins as st
+
+    monkeypatch.setattr(st, "fits_broadcast", lambda df, limit: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1") or True)
+    try:
+        met = st.labelled_texts(spark, sf_dir)
+        shown = plan(met)
+        assert "BroadcastHashJoin" in shown and "SortMergeJoin" not in shown
+        monkeypatch.setattr(st, "fits_broadcast", lambda df, limit: False)
+        apart = st.labelled_texts(spark, sf_dir)
+        assert "SortMergeJoin" in plan(apart)
+        assert sorted(map(tuple, apart.select("id", "label").collect())) == sorted(map(tuple, met.select("id", "label").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_counts_move_once_by_the_words_that_terms_begin_with(spark):
+    from feedloom.operators import terms
+
+    docs = spark.createDataFrame([(1, 0, ["a", "a b", "a b c", "a b d", ""]), (2, 0, ["a b", "a b c", None]), (3, 1, ["x y z w"])], "id int, label int, terms array<string>")
+    found = terms.class_tfidf(docs)
+    shown = plan(found).split("== Physical Plan ==")[1]
+    moved = [line for line in shown.split("\n") if "Exchange hashpartitioning" in line and ("term" in line or "_groupingexpression" in line or "_w0" in line)]
+    assert moved and all("substring_index(term" in line and "REPARTITION_BY_COL" in line for line in moved), moved
+    assert {(r["label"], r["term"]) for r in found.collect()} == {(0, "a"), (0, "a b"), (0, "a b c"), (0, "a b d"), (0, ""), (1, "x y z w")}
