@@ -69,3 +69,17 @@ def test_counts_move_once_by_the_words_that_terms_begin_with(spark):
     moved = [line for line in shown.split("\n") if "Exchange hashpartitioning" in line and ("term" in line or "_groupingexpression" in line or "_w0" in line)]
     assert moved and all("substring_index(term" in line and "REPARTITION_BY_COL" in line for line in moved), moved
     assert {(r["label"], r["term"]) for r in found.collect()} == {(0, "a"), (0, "a b"), (0, "a b c"), (0, "a b d"), (0, ""), (1, "x y z w")}
+
+
+def test_partial_lengths_do_not_grow_with_the_partitions(spark):
+    from feedloom.operators import terms
+
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        docs = spark.createDataFrame([(i, 0, [f"w{k}" for k in range(60)]) for i in range(5)], "id int, label int, terms array<string>")
+        found = terms.class_tfidf(docs)
+        assert found.count() == 60
+        tasks = terms.LENGTH_TASKS * spark.sparkContext.defaultParallelism
+        assert f"Coalesce {tasks}" in plan(found).split("== Physical Plan ==")[1] and tasks < 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
